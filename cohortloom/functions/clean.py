@@ -89,7 +89,9 @@ def one_hot(
         message = F.concat(F.lit(f"{source}: unlisted value "), F.coalesce(c, F.lit("null")))
         value = F.when(F.coalesce(known, F.lit(False)), c).otherwise(F.raise_error(message))
     flags = {new: F.coalesce(value == v, F.lit(False)) for v, new in names.items() if new}
-    return df.withColumns(flags).drop(*({source} - set(flags)))
+    # names are compared without case: a flag may take over the name of its source
+    others = [F.col(f"`{n}`") for n in df.columns if n.lower() != source.lower()]
+    return df.select(*others, *[flag.alias(new) for new, flag in flags.items()])
 
 
 def month_index(c: str | Column) -> Column:

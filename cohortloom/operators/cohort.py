@@ -126,16 +126,22 @@ def rebuilt_versus_source(
     on = ["NNI_2", "Date_Mammo"]
     people = correspondence.select("id_random").join(identity.select("id_random", "NNI_2"), "id_random", "left")
     rebuilt = published.join(people, "id_random", "left")
-    left = keys.keep_last(source, on, order_by).select(*on, F.col(measure).alias("original"), F.lit(True).alias("_o"))
-    right = keys.keep_last(rebuilt, on, order_by).select(*on, F.col(measure).alias("rebuilt"), F.lit(True).alias("_r"))
-    same = (left["NNI_2"].eqNullSafe(right["NNI_2"])) & (left["Date_Mammo"].eqNullSafe(right["Date_Mammo"]))
+    left = keys.keep_last(source, on, order_by).select(
+        F.col("NNI_2").alias("number_o"), F.col("Date_Mammo").alias("date_o"),
+        F.col(measure).alias("original"), F.lit(True).alias("has_o"),
+    )
+    right = keys.keep_last(rebuilt, on, order_by).select(
+        F.col("NNI_2").alias("number_r"), F.col("Date_Mammo").alias("date_r"),
+        F.col(measure).alias("rebuilt"), F.lit(True).alias("has_r"),
+    )
+    same = F.col("number_o").eqNullSafe(F.col("number_r")) & F.col("date_o").eqNullSafe(F.col("date_r"))
     return left.join(right, same, "full_outer").select(
-        F.coalesce(left["NNI_2"], right["NNI_2"]).alias("NNI_2"),
-        F.coalesce(left["Date_Mammo"], right["Date_Mammo"]).alias("Date_Mammo"),
+        F.coalesce("number_o", "number_r").alias("NNI_2"),
+        F.coalesce("date_o", "date_r").alias("Date_Mammo"),
         "original",
         "rebuilt",
-        F.col("_o").isNotNull().alias("in_source"),
-        F.col("_r").isNotNull().alias("in_rebuilt"),
+        F.col("has_o").isNotNull().alias("in_source"),
+        F.col("has_r").isNotNull().alias("in_rebuilt"),
     )
 
 

@@ -49,12 +49,6 @@ def write_progress(progress: DataFrame, folder: str) -> None:
     ).json(folder)
 
 
-def read_written_progress(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema("uploaded bigint, total bigint, worker int").json(folder).select(
-        "worker", "uploaded", "total"
-    )
-
-
 class BrokenSeal(ValueError):
     pass
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("key_queries",)
+MODULES = ("key_queries", "flow_queries", "report_queries")
 
 
 def _load() -> None:
