@@ -54,14 +54,25 @@ def to_nullable_int(c: str | Column) -> Column:
     return sentinel_to_null(col(c).cast("string")).cast("bigint")
 
 
-def csv_null(c: str | Column) -> Column:
-    return sentinel_to_null(c, CSV_NULL_TOKENS)
+def csv_null(name: str) -> Column:
+    """Column of a CSV file with the missing-value tokens as null."""
+    tokens = ", ".join(f"'{t}'" for t in CSV_NULL_TOKENS)
+    return F.expr(f"CASE WHEN `{name}` NOT IN ({tokens}) THEN `{name}` END")
 
 
-def decimal_comma(c: str | Column, kind: str = "double") -> Column:
-    """Number written with a decimal comma and blanks between thousands."""
-    digits = F.regexp_replace(F.regexp_replace(col(c), "[  ]", ""), ",", ".")
-    return digits.try_cast(kind)
+def plain_number(c: str | Column) -> Column:
+    """Decimal comma to point, blanks between thousands removed."""
+    return F.translate(col(c), ",  ", ".")
+
+
+def decimal_comma(c: str | Column) -> Column:
+    return F.nanvl(plain_number(c).try_cast("double"), F.lit(None))
+
+
+def whole_number(c: str | Column) -> Column:
+    """Integer, also when written with decimals."""
+    digits = plain_number(c)
+    return F.coalesce(digits.try_cast("bigint"), digits.try_cast("decimal(38,6)").cast("bigint"))
 
 
 def strict_date(c: str | Column) -> Column:
@@ -73,25 +84,25 @@ def tolerant_date(c: str | Column) -> Column:
     return F.try_to_timestamp(col(c), F.lit("d/M/yyyy")).cast("timestamp_ntz")
 
 
-def one_hot(
-    df: DataFrame, source: str, names: Mapping[str, str | None], strict: bool = True
-) -> DataFrame:
-    """Replace `source` by one non-null flag per named value.
+def one_hot_flags(source: str, names: Mapping[str, str | None], strict: bool = True) -> dict[str, Column]:
+    """One non-null flag per named value of the source column.
 
     `names` maps value to new column; a value mapped to None is known but not kept.
     Strict mode raises on any value outside the mapping, nulls included; one blank is
     always accepted.
     """
-    c = F.col(source)
-    known = c.isin(*names, " ")
+    c = F.col(f"`{source}`")
     value = c
     if strict:
         message = F.concat(F.lit(f"{source}: unlisted value "), F.coalesce(c, F.lit("null")))
-        value = F.when(F.coalesce(known, F.lit(False)), c).otherwise(F.raise_error(message))
-    flags = {new: F.coalesce(value == v, F.lit(False)) for v, new in names.items() if new}
-    # names are compared without case: a flag may take over the name of its source
+        value = F.when(c.isin(*names, " "), c).otherwise(F.raise_error(message))
+    return {new: F.coalesce(value == v, F.lit(False)) for v, new in names.items() if new}
+
+
+def one_hot(df: DataFrame, source: str, names: Mapping[str, str | None], strict: bool = True) -> DataFrame:
+    """Replace a column by the flags of its values; a flag may take over its name."""
     others = [F.col(f"`{n}`") for n in df.columns if n.lower() != source.lower()]
-    return df.select(*others, *[flag.alias(new) for new, flag in flags.items()])
+    return df.select(*others, *[flag.alias(new) for new, flag in one_hot_flags(source, names, strict).items()])
 
 
 def month_index(c: str | Column) -> Column:

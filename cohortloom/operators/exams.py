@@ -198,6 +198,12 @@ def retrieval_order(exams: DataFrame, appts: DataFrame, person: str, date: str)
     )
 
 
+def with_any_study(exams: DataFrame, appts: DataFrame, person: str) -> DataFrame:
+    """Exams of people who have at least one imaging appointment."""
+    people = appts.select(F.col("person_id").alias(person)).distinct()
+    return exams.join(people, person, "left_semi")
+
+
 def unmatched_people(appts: DataFrame, exams: DataFrame, person: str) -> DataFrame:
     """People with images who are absent from screening."""
     known = exams.select(F.col(person).alias("person_id"))

@@ -14,6 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortloom.session import spread
 from cohortloom.spec import FOLLOW_UP, POPULATION, RISK, SCREENING
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -32,8 +33,10 @@ def pick(expr: str, *values: str | None) -> str:
 
 
 def french_date(ts: str) -> str:
-    t = text(ts)
-    return f"substring({t}, 9, 2) || '/' || substring({t}, 6, 2) || '/' || substring({t}, 1, 4)"
+    return (
+        f"lpad(CAST(day({ts}) AS STRING), 2, '0') || '/' || lpad(CAST(month({ts}) AS STRING), 2, '0') || '/' || "
+        f"CAST(year({ts}) AS STRING)"
+    )
 
 
 NNI = (
@@ -400,7 +403,7 @@ RAW_POSITIONS = {
     "orders": {"_file": "'f'", "_block": "0", "_line": "o_orderkey"},
     "part": {"_file": "'f'", "_block": "0", "_line": "p_partkey"},
     "lineitem": {
-        "_file": "CAST(l_shipdate AS STRING)",
+        "_file": "CAST(CAST(l_shipdate AS DATE) AS STRING)",
         "_block": "l_partkey * 1000000 + l_suppkey",
         "_line": "l_linenumber",
     },
@@ -435,6 +438,8 @@ class Data:
     def view(self, name: str) -> DataFrame:
         table, columns, condition = VIEWS[name]
         df = self.table(table)
+        if name.startswith("r_"):  # text of every column is made per row
+            df = spread(df)
         if condition:
             df = df.filter(condition)
         return df.selectExpr(*[f"{e} AS `{n}`" for n, e in columns.items()])

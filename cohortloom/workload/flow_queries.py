@@ -535,25 +535,18 @@ def coherence_sql(name: str, cols: tuple[str, ...], condition: str) -> str:
 
 @query("agg_09_result_coherence", " UNION ALL ".join(coherence_sql(*c) for c in COHERENCE), EXAMS)
 def _(d):
-    base = exams.match_studies(exams_with_history(d), appts(d), "id_bci", "Date_Mammo")
-    rows = filters.with_results(base.filter(F.col("DICOM_Studies").isNotNull())).withColumn(
-        "has_mammogram", F.col("DICOM_Study").isNotNull().cast("int")
+    base = exams.match_studies(exams.with_any_study(exam_rows(d), appts(d), "id_bci"), appts(d), "id_bci", "Date_Mammo")
+    rows = filters.with_results(base).withColumn("has_mammogram", F.col("DICOM_Study").isNotNull().cast("int"))
+    shown = filters.positive() & filters.with_images()
+    return reports.coherence_reports(
+        rows,
+        {
+            "results": (["L1L2_positif", "L1_Result", "L2_Result"], None),
+            "results_images": (["has_mammogram", "L1L2_positif", "L1_Result", "L2_Result"], None),
+            "first_reading": (["L1_Result", "L1_ACR_SD", "L1_ACR_SG"], shown),
+            "second_reading": (["L2_Result", "L2_ACR_SD", "L2_ACR_SG"], shown),
+        },
     )
-    positive = rows.filter(filters.positive() & filters.with_images())
-    parts = {
-        "results": (rows, ["L1L2_positif", "L1_Result", "L2_Result"]),
-        "results_images": (rows, ["has_mammogram", "L1L2_positif", "L1_Result", "L2_Result"]),
-        "first_reading": (positive, ["L1_Result", "L1_ACR_SD", "L1_ACR_SG"]),
-        "second_reading": (positive, ["L2_Result", "L2_ACR_SD", "L2_ACR_SG"]),
-    }
-    out = None
-    for name, (df, cols) in parts.items():
-        counted = reports.coherence(df, cols).select(
-            F.lit(name).alias("report"),
-            F.concat_ws("/", *[F.col(c).cast("string") for c in cols]).alias("combination"), "n",
-        )
-        out = counted if out is None else out.unionByName(counted)
-    return out
 
 
 VIEW_COUNTS = """vc AS (SELECT study_uid,
@@ -775,7 +768,7 @@ WITHOUT_STUDY = """SELECT CAST(year(day) AS BIGINT) AS year, CAST(count(*) AS BI
 @query("set_04_dates_without_study", WITHOUT_STUDY.format(more=""), EXAMS)
 def _(d):
     people = d.v_mapping
-    rows = exams_with_history(d).filter(F.col("DICOM_Studies").isNotNull()).join(people, "id_bci")
+    rows = exams.with_any_study(exam_rows(d), appts(d), "id_bci").join(people, "id_bci")
     out = exams.dates_without_study(rows, appts(d), "id_bci", "id_random", "Date_Mammo")
     return out.withColumn("year", F.col("year").cast("bigint"))
 

@@ -194,8 +194,7 @@ def _(d):
 def _(d):
     from cohortloom.operators import exams
 
-    known = appts(d).select(F.col("person_id").alias("id_bci")).distinct()
-    rows = exams.match_studies(exam_rows(d).join(known, "id_bci", "left_semi"), appts(d), "id_bci", "Date_Mammo")
+    rows = exams.match_studies(exams.with_any_study(exam_rows(d), appts(d), "id_bci"), appts(d), "id_bci", "Date_Mammo")
     rows = rows.filter(F.col("DICOM_Study").isNull()).join(d.v_mapping, "id_bci")
     out = exams.dates_without_study(rows, appts(d), "id_bci", "id_random", "Date_Mammo")
     return out.withColumn("year", F.col("year").cast("bigint"))
@@ -261,6 +260,8 @@ EXAM_COLUMNS = {
     **typed_sql("d", spec.SCREENING),
     **{k: v for k, v in typed_sql("s", spec.FOLLOW_UP).items() if k not in (*spec.IDS, "id_event", "Date_Mammo")},
     **{k: v for k, v in typed_sql("r", spec.RISK).items() if k not in (*spec.IDS, "id_event", "Date_Mammo")},
+    # an exam without follow-up has no flag, neither true nor false
+    "KS_confirme": """CASE WHEN s."KS_Confirme" = 'KS_confirmé' THEN 'true' WHEN s.rn IS NOT NULL THEN 'false' END""",
     "id_random": "m.id_random",
     "code_adicap": "a.code", "adicap": "a.libelle", "code_adicap2": "a2.code", "adicap2": "a2.libelle",
 }
