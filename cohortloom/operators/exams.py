@@ -17,6 +17,8 @@ from cohortloom.functions.clean import month_index
 from cohortloom.functions.history import parse_history
 
 MAX_UIDS_PER_PART = 50_000
+# A nested history is repeated on every exam of its person, hence a lower bound there.
+MAX_UIDS_ON_EXAM = 200
 
 
 def appointments(index: DataFrame) -> DataFrame:
@@ -72,7 +74,7 @@ def person_summary(appts: DataFrame) -> DataFrame:
 
 
 def attach_history(
-    exams: DataFrame, appts: DataFrame, person: str, max_uids: int = MAX_UIDS_PER_PART
+    exams: DataFrame, appts: DataFrame, person: str, max_uids: int = MAX_UIDS_ON_EXAM
 ) -> DataFrame:
     """Add the nested history of the person to each exam as `DICOM_Studies`.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,8 @@ def with_images() -> Column:
     return F.col(MATCHED).isNotNull()
 
 
-def apply_filter(df: DataFrame, field: str | None = None, value: str | None = None) -> DataFrame:
-    """Exams with imaging history, plus one named, flag or equality condition.
+def filter_condition(field: str | None = None, value: str | None = None) -> Column:
+    """Imaging history present, plus one named, flag or equality condition.
 
     The named positive filter needs the matched study column.
     """
@@ -47,7 +49,20 @@ def apply_filter(df: DataFrame, field: str | None = None, value: str | None = No
         wanted = F.col(field) == F.lit(value == "True")
     else:
         wanted = F.col(field) == F.lit(value)
-    return df.filter(wanted & F.col(HISTORY).isNotNull())
+    return wanted & F.col(HISTORY).isNotNull()
+
+
+def apply_filter(df: DataFrame, field: str | None = None, value: str | None = None) -> DataFrame:
+    return df.filter(filter_condition(field, value))
+
+
+def label_matches(df: DataFrame, used: Mapping[str, tuple[str | None, str | None]]) -> DataFrame:
+    """One row per exam and filter it passes, with the filter's label; one pass over the exams."""
+    labels = F.filter(
+        F.array(*[F.when(filter_condition(*args), F.lit(name)) for name, args in used.items()]),
+        lambda label: label.isNotNull(),
+    )
+    return df.withColumn("used", F.explode(labels))
 
 
 def test_cohort(df: DataFrame) -> DataFrame:

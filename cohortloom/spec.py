@@ -273,7 +273,7 @@ PUBLISHED: tuple[tuple[str, str, str], ...] = (
     ("Age_ATCD_Famil_Fille", "ATCD_Age_Cancer_Fille", PROPERTY),
     ("ATCD_Famil_Autre", "ATCD_Cancer_Autre", PROPERTY),
     ("Age_ATCD_Famil_Autre", "ATCD_Age_Cancer_Autre", PROPERTY),
-    ("dicom_studies", "DICOM_Studies", TECHNICAL),
+    ("DICOM_Studies", "DICOM_Studies", TECHNICAL),
 )
 # End of fixed values.
 

@@ -120,11 +120,7 @@ def _(d):
         "none": (None, None), "acr5": ("GET_ACR5", None), "positive": ("GET_POSITIVE_WITH_IMG_ONLY", None),
         "flag": ("L1L2_positif", "False"), "value": ("L1_ACR_SG", "3"),
     }
-    parts = [filters.apply_filter(base, *a).select(F.lit(n).alias("used"), "id_event") for n, a in used.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return filters.label_matches(base, used).select("used", "id_event")
 
 
 @query("flt_02_any_acr5", f"SELECT id_event FROM v_depistage WHERE {ACR5}")
@@ -671,8 +667,9 @@ def _(d):
 
 @query("win_02_first_study_near_exam", "SELECT id_event, dicom_study FROM ex WHERE has_history", EXAMS)
 def _(d):
-    nested = exams_with_history(d).filter(F.col("DICOM_Studies").isNotNull())
-    return nested.select("id_event", history.first_uid_near("DICOM_Studies", "Date_Mammo").alias("dicom_study"))
+    imaged = exams.with_any_study(exam_rows(d), appts(d), "id_bci")
+    matched = exams.match_studies(imaged, appts(d), "id_bci", "Date_Mammo")
+    return matched.select("id_event", F.col("DICOM_Study").alias("dicom_study"))
 
 
 @query("win_03_renumber", "SELECT id_bci, CAST(row_number() OVER (ORDER BY nom DESC, id_bci) AS BIGINT) AS position FROM v_population")

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from cohortloom import spec
 from cohortloom.functions import clean
+from cohortloom.functions.history import history_json
 from cohortloom.functions.uids import pseudo_uid, shard_of
 from cohortloom.operators import cohort, duplicates, images, keys, numbering, profile, reports, shard
 from cohortloom.plans.catalog import Cohort
@@ -16,7 +17,7 @@ from cohortloom.sources import cohort_list, extracts, imaging, inventory, pages,
 from cohortloom.streaming import arrivals
 from cohortloom.workload.fixtures import VIEWS, Data
 from cohortloom.workload.flow_queries import (
-    APPTS, EXAMS, FLAGSHIP_CTES, NEAR, STUDIES_SQL, WITHOUT_STUDY, appts, exam_rows, linked, population_with_ids, round_trip_rows,
+    APPTS, EXAMS, FLAGSHIP_CTES, HISTORY_SQL, NEAR, STUDIES_SQL, WITHOUT_STUDY, appts, exam_rows, linked, population_with_ids, round_trip_rows,
     studies, studies_out,
 )
 from cohortloom.workload.key_queries import GUID_CLEAN, GUID_KEYED, LINK_SQL
@@ -269,7 +270,7 @@ PSEUDO_SQL = (
     "SELECT "
     + ", ".join(f'{EXAM_COLUMNS[source]} AS "{name}"' for source, name, _ in spec.PUBLISHED if source in EXAM_COLUMNS)
     + f""", {AGE_SQL.format(c='r."Age_Mammo"')} AS "Age_Mammo",
-    i.n AS dicom_appointments, i.u AS dicom_uids, i.f AS dicom_files, n.uid AS "DICOM_Study", d._line AS "_l"
+    i.n AS dicom_appointments, i.u AS dicom_uids, i.f AS dicom_files, n.uid AS "DICOM_Study", h.dicom_studies AS "DICOM_Studies", d._line AS "_l"
     FROM {last_sql('r_depistage', 'Id_event')} d LEFT JOIN {last_sql('r_suivi', 'id_event')} s ON s.id_event = d."Id_event"
     LEFT JOIN {last_sql('r_risque', 'id_event')} r ON r.id_event = d."Id_event"
     LEFT JOIN r_adicap a ON s.k_adicap = a.code LEFT JOIN r_adicap a2 ON s.k_adicap2 = a2.code
@@ -278,6 +279,7 @@ PSEUDO_SQL = (
       FROM appts GROUP BY 1) i ON CAST(i.person_id AS VARCHAR) = d.id_bci
     LEFT JOIN (SELECT id_event, uid FROM (SELECT e.id_event, a.uid, row_number() OVER (PARTITION BY e.id_event ORDER BY a.ts, a.uid) AS rn
       FROM v_depistage e JOIN appts a ON a.person_id = e.id_bci AND {NEAR}) t WHERE rn = 1) n ON CAST(n.id_event AS VARCHAR) = d."Id_event"
+    LEFT JOIN ({HISTORY_SQL}) h ON CAST(h.person_id AS VARCHAR) = d.id_bci
     """
 )
 PSEUDO_CTES = APPTS + f""",
@@ -292,8 +294,8 @@ pseudo AS ({PSEUDO_SQL})"""
     PSEUDO_CTES,
 )
 def _(d):
-    table = cohort_of(d).depistage_pseudo()
-    shown = {}
+    table = cohort_of(d).depistage_pseudo().drop("DICOM_Studies_split")
+    shown = {"DICOM_Studies": history_json("DICOM_Studies")}
     for f in table.schema.fields:
         if isinstance(f.dataType, T.BooleanType):
             shown[f.name] = F.col(f.name).cast("string")
@@ -382,6 +384,52 @@ def _(d):
     return out
 
 
+@query(
+    "joi_12_column_metadata",
+    """SELECT t.c AS "column", t.sensitivity, CAST(t.n AS BIGINT) AS held, t.sensitivity IN ('pseudonym', 'event_date') AS hidden FROM (
+    SELECT 'id_random' AS c, 'pseudonym' AS sensitivity, (SELECT count(id_random) FROM v_mapping) AS n
+    UNION ALL SELECT 'date_naiss', 'event_date', (SELECT count(date_naiss) FROM v_population)
+    UNION ALL SELECT 'segment', 'property', (SELECT count(segment) FROM v_population)) t""",
+)
+def _(d):
+    kinds = {"id_random": "pseudonym", "date_naiss": "event_date", "segment": "property"}
+    people = population_with_ids(d)
+    tagged = people.select(*[F.col(c).alias(c, metadata={"sensitivity": k}) for c, k in kinds.items()])
+    counts = profile.value_counts(tagged).filter(F.col("value").isNotNull())
+    held = counts.groupBy("column").agg(F.sum("n").alias("held"))
+    described = held.join(cohort.column_metadata(tagged).select("column", "sensitivity"), "column")
+    return described.withColumn("hidden", F.col("column").isin(*cohort.columns_of_class(tagged, "pseudonym", "event_date")))
+
+
+@query(
+    "export_studies_flow",
+    """SELECT id_random, strftime(ts, '%Y-%m-%d') AS date, CAST(count(*) AS BIGINT) AS studies FROM (
+      SELECT DISTINCT p.id_random, a.ts, a.uid FROM pseudo p JOIN v_mapping m ON p.id_random = m.id_random
+      JOIN appts a ON a.person_id = m.id_bci WHERE p."Date_Mammo" IS NOT NULL AND p.id_random NOT IN (SELECT id_random FROM refused)) t GROUP BY 1, 2""",
+    PSEUDO_CTES,
+)
+def _(d):
+    folder = scratch_path(d.spark, "export")
+    cohort_of(d).export_studies(folder, ORG_ROOT, SHARDS)
+    written = d.spark.read.schema("id_random bigint, date timestamp_ntz, study_pseudo_id string").option("header", True).csv(
+        f"{folder}/studies.csv"
+    )
+    return written.groupBy("id_random", F.date_format("date", "yyyy-MM-dd").alias("date")).agg(
+        F.countDistinct("study_pseudo_id").alias("studies")
+    )
+
+
+@query(
+    "export_registry_flow",
+    """SELECT m.id_random, p."NNI_2" FROM r_population p JOIN v_mapping m ON CAST(m.id_bci AS VARCHAR) = p.id_bci
+    WHERE p."NNI_2" IS NOT NULL AND p."NNI_2" NOT IN (SELECT nir FROM v_refusals)""",
+)
+def _(d):
+    folder = scratch_path(d.spark, "registry-flow")
+    cohort_of(d).export_registry(folder, DEPOSIT, PROJECT, PROJECT_NUMBER)
+    return registry.read_registry_file(d.spark, f"{folder}/safe")
+
+
 # --- shards and resume --------------------------------------------------------------------
 
 SHARDS = 4

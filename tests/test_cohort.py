@@ -78,12 +78,13 @@ def test_exam_table(study):
     assert c.star().count() == c.depistage_df().count()
     out = {r.id_random: r for r in c.depistage_pseudo().collect()}
     assert set(out) == {101, 103}  # 102 refuses, the exam without person has no key
+    assert [tuple(h)[1:] for h in out[101].DICOM_Studies] == [(["u1"], 2)] and not out[101].DICOM_Studies_split
     assert out[101].DICOM_Study == "u1" and out[101].dicom_files == 2 and out[101].Anapath_adicap == "lésion"
     assert out[103].DICOM_Study is None and out[103].dicom_appointments == 1 and out[103].Anapath_adicap is None
     assert c.table("depistage_pseudo").na.count() == 1
     names = c.depistage_pseudo().columns
     assert not set(names) & set(spec.IDENTIFYING)
-    published = [n for _, n, _ in spec.PUBLISHED if n != "DICOM_Studies"]
+    published = [n for _, n, _ in spec.PUBLISHED]
     assert names[: len(published)] == published
     assert cohort.columns_of_class(c.depistage_pseudo(), "pseudonym") == ["id_random"]
     assert "Date_Mammo" not in cohort.hide_classes(c.depistage_pseudo(), "event_date").columns

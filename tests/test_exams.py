@@ -54,7 +54,7 @@ def test_matching_equals_brute_force(world):
 def test_matching_over_nested_form_agrees(world):
     index, exam_df, _, _ = world
     appts = exams.appointments(index)
-    nested = exams.attach_history(exam_df, appts, "id_bci")
+    nested = exams.attach_history(exam_df, appts, "id_bci", max_uids=10_000)
     nested = nested.select("id_event", history.first_uid_near("DICOM_Studies", "Date_Mammo").alias("s"))
     flat = exams.match_studies(exam_df, appts, "id_bci", "Date_Mammo").select("id_event", F.col("DICOM_Study").alias("s"))
     assert rows(nested) == rows(flat)
