@@ -511,6 +511,26 @@ def _(d):
     return out.withColumn("bin_start", F.round("bin_start", 6))
 
 
+def count_histogram_sql(name: str, condition: str, bins: int) -> str:
+    """A range with one value only is widened by a half on both sides."""
+    return f"""SELECT '{name}' AS range, bin, round(lo + (bin - 1) * (hi - lo) / {bins}, 6) AS bin_start, CAST(count(*) AS BIGINT) AS n FROM (
+      SELECT least(CAST(floor({bins} * (x - lo) / (hi - lo)) AS BIGINT) + 1, {bins}) AS bin, lo, hi FROM (
+        SELECT x, CASE WHEN a = b THEN a - 0.5 ELSE a END AS lo, CASE WHEN a = b THEN b + 0.5 ELSE b END AS hi FROM (
+          SELECT CAST(images AS DOUBLE) AS x, CAST(min(images) OVER () AS DOUBLE) AS a, CAST(max(images) OVER () AS DOUBLE) AS b
+          FROM per_appointment WHERE {condition}) t) u) v GROUP BY bin, lo, hi"""
+
+
+@query(
+    "agg_08_image_count_histograms",
+    count_histogram_sql("up_to_12", "images <= 12", 12) + " UNION ALL " + count_histogram_sql("more_than_12", "images > 12", 50),
+    GUID_KEYED + f""", per_appointment AS (SELECT person_id, appointment_date, count(center_name) AS images FROM guid
+      WHERE {LINK_SQL} AND person_id IS NOT NULL GROUP BY 1, 2)""",
+)
+def _(d):
+    out = reports.image_count_histograms(reports.images_per_appointment(linked(d)))
+    return out.withColumn("bin_start", F.round("bin_start", 6))
+
+
 COHERENCE = (
     ("results", ("positif", "l1_result", "l2_result"), "true"),
     ("results_images", ("has_mammogram", "positif", "l1_result", "l2_result"), "true"),

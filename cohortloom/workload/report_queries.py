@@ -304,7 +304,17 @@ def _(d):
     return table.withColumns(shown)
 
 
-@query("pse_03_pseudo_uids")
+def uid_sql(person: str, uid: str) -> str:
+    digest = f"sha256(CAST({person} AS VARCHAR) || '|' || {uid})"
+    numbers = [f"CAST(CAST('0x' || substring({digest}, {start}, 15) AS BIGINT) AS VARCHAR)" for start in (1, 16)]
+    return f"'{ORG_ROOT}.' || {numbers[0]} || '.' || {numbers[1]}"
+
+
+@query(
+    "pse_03_pseudo_uids",
+    f"SELECT id_random, {uid_sql('id_random', 'study_id')} AS study_pseudo_id FROM ({STUDIES_SQL.format(source='appts', where='')}) s",
+    APPTS,
+)
 def _(d):
     return studies(d).select("id_random", pseudo_uid("id_random", "study_id", ORG_ROOT).alias("study_pseudo_id"))
 
@@ -321,7 +331,18 @@ def _(d):
     )
 
 
-@query("pse_05_patch_rows")
+@query(
+    "pse_05_patch_rows",
+    "SELECT "
+    + ", ".join(
+        f'{value} AS "{name}"'
+        for value, name in zip(
+            (uid_sql("study_key", "study_uid"), uid_sql("study_key", "sop_uid"), "laterality", "view_code", "view_meaning", "view_scheme"),
+            images.PATCH_COLUMNS,
+        )
+    )
+    + " FROM v_image_meta",
+)
 def _(d):
     return images.patch_rows(d.v_image_meta, ORG_ROOT, id_random="study_key")
 
