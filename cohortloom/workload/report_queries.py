@@ -9,15 +9,15 @@ from pyspark.sql import types as T
 from cohortloom import spec
 from cohortloom.functions import clean
 from cohortloom.functions.history import history_json
-from cohortloom.functions.uids import pseudo_uid, shard_of
+from cohortloom.functions.uids import pseudo_uid
 from cohortloom.operators import cohort, duplicates, images, keys, numbering, profile, reports, shard
 from cohortloom.plans.catalog import Cohort
 from cohortloom.session import scratch_path
 from cohortloom.sources import cohort_list, extracts, imaging, inventory, pages, registry, sinks
 from cohortloom.streaming import arrivals
-from cohortloom.workload.fixtures import VIEWS, Data
+from cohortloom.workload.fixtures import Data
 from cohortloom.workload.flow_queries import (
-    APPTS, EXAMS, FLAGSHIP_CTES, HISTORY_SQL, NEAR, STUDIES_SQL, WITHOUT_STUDY, appts, exam_rows, linked, population_with_ids, round_trip_rows,
+    APPTS, EXAMS, FLAGSHIP_CTES, HISTORY_SQL, NEAR, STUDIES_SQL, WITHOUT_STUDY, appts, exam_rows, population_with_ids, round_trip_rows,
     studies, studies_out,
 )
 from cohortloom.workload.key_queries import GUID_CLEAN, GUID_KEYED, LINK_SQL
@@ -476,7 +476,6 @@ def _(d):
 @query(
     "shd_02_resume_by_position",
     """SELECT study_id, shard, CAST(rn AS BIGINT) AS position FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY study_id) AS rn,
-    CAST(count(*) OVER (PARTITION BY shard) / (shard + 2) AS BIGINT) AS unused,
     count(*) OVER (PARTITION BY shard) // (shard + 2) AS done FROM st) t WHERE rn > CASE WHEN shard = 3 THEN 0 ELSE done END""",
     STUDY_CTES,
 )

@@ -134,6 +134,12 @@ def test_logs_inventory_progress(spark, tmp_path):
 def test_last_modification_in_summer(spark):
     df = spark.sql("SELECT '/p/worker2_progress.json' AS path, TIMESTAMP_NTZ'2021-07-01 22:30:00' AS modificationTime")
     assert tuple(inventory.last_modifications(df).first()) == (2, "02-07-2021 00:30:00")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        zoned = spark.sql("SELECT '/p/worker2_progress.json' AS path, TIMESTAMP'2021-07-01 22:30:00Z' AS modificationTime")
+        assert tuple(inventory.last_modifications(zoned).first()) == (2, "02-07-2021 00:30:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_materialise_keeps_or_refreshes(spark, tmp_path):
