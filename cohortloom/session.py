@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,15 +25,12 @@ def build_session(app: str = "cohortloom", master: str | None = None, **conf: st
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder all executors can see; a private one is made only on a local master."""
+    """Folder all executors can see: the checkpoint folder, or the warehouse where none is named.
+
+    A cluster's warehouse is shared by definition, so no machine-local folder is ever used.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    root = tempfile.mkdtemp(prefix="cohortloom-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    return root or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
