@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import wu_manber
+from cohortloom.llm import packing, wu_manber
 from cohortloom.llm.text import lower_sql, table
 
 QUERIES, ORACLES = {}, {}
@@ -38,3 +38,8 @@ FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 )
 def op10(spark, folder):
     return wu_manber.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op7_pack")
+def op7(spark, folder):
+    return packing.packed(table(spark, folder, "documents"))
