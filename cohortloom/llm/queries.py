@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import packing, wu_manber
+from cohortloom.llm import packing, repair_store, wu_manber, zstd_quality
 from cohortloom.llm.text import lower_sql, table
 
 QUERIES, ORACLES = {}, {}
@@ -43,3 +43,13 @@ def op10(spark, folder):
 @query("op7_pack")
 def op7(spark, folder):
     return packing.packed(table(spark, folder, "documents"))
+
+
+@query("op4_token_shards")
+def op4(spark, folder):
+    return repair_store.read_documents(repair_store.write_shards(table(spark, folder, "documents")))
+
+
+@query("op6_quality")
+def op6(spark, folder):
+    return zstd_quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -150,14 +150,19 @@ def find_benchmark(
 
 def _prepared(spark, benchmark, item, item_text, window, block_words):
     for block in _blocks(benchmark, item, item_text, block_words):
-        yield spark.sparkContext.broadcast(([name for name, _ in block], search_tables([t for _, t in block], window)))
+        tables = [vars(t) for t in search_tables([words for _, words in block], window)]  # plain values travel
+        yield spark.sparkContext.broadcast(([name for name, _ in block], tables))
 
 
 def _scanner(shared, schema):
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        names, tables = shared.value
+        names, plain = shared.value
+        tables = []
+        for values in plain:
+            tables.append(SearchTable.__new__(SearchTable))
+            vars(tables[-1]).update(values)
         for batch in batches:
             texts, before, known = utf8(batch.column(1)), batch.column(3), batch.column(4)
             counts, spans, items = [], [], []
