@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import packing, repair_store, wu_manber, zstd_quality
+from cohortloom.llm import langid, packing, repair_store, wu_manber, zstd_quality
 from cohortloom.llm.text import lower_sql, table
 
 QUERIES, ORACLES = {}, {}
@@ -53,3 +53,8 @@ def op4(spark, folder):
 @query("op6_quality")
 def op6(spark, folder):
     return zstd_quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op8_language")
+def op8(spark, folder):
+    return langid.languages_of(table(spark, folder, "documents"))
