@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import langid, packing, repair_store, wu_manber, zstd_quality
+from cohortloom.llm import langid, packing, pivot_index, repair_store, wu_manber, zstd_quality
 from cohortloom.llm.text import lower_sql, table
 
 QUERIES, ORACLES = {}, {}
@@ -58,3 +58,8 @@ def op6(spark, folder):
 @query("op8_language")
 def op8(spark, folder):
     return langid.languages_of(table(spark, folder, "documents"))
+
+
+@query("op9_vector_duplicates")
+def op9(spark, folder):
+    return pivot_index.near_duplicates(table(spark, folder, "embeddings"))
