@@ -10,14 +10,13 @@ from __future__ import annotations
 import os
 import re
 import sys
-from itertools import chain
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 
 #: Distinct pieces that a worker remembers before it starts over.
-REMEMBERED = 700_000
+REMEMBERED = 1_000_000
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -31,26 +30,27 @@ def default_tokenizer() -> str:
 class _Pieces(dict):
     """Piece to its number; an unseen piece is numbered and queued for the tokenizer."""
 
-    def __init__(self, prefix: str, queue: list, owner: "Encoder"):
+    def __init__(self, prefix: str, owner: "Encoder"):
         super().__init__()
-        self.prefix, self.queue, self.owner = prefix, queue, owner
+        self.prefix, self.owner = prefix, owner
 
     def __missing__(self, piece: str) -> int:
         if not piece or piece[0].isspace() or piece[-1].isspace():
-            # not cut safely; the first piece is not marked unless it ends in white space
-            self[piece] = -1
+            self[piece] = -1  # not cut safely
             return -1
-        if piece[-1] in ".,;:!?" and piece[-2:-1].isalpha():  # a mark after a letter is cut off by the pre-tokenizer
-            parts = self[piece[:-1]], self.owner.first[piece[-1]]
+        if piece[-1] in ".,;:!?" and piece[-2:-1].isalpha():  # the pre-tokenizer cuts such a mark off a letter
+            number = self.owner.joined(self[piece[:-1]], self.owner.first[piece[-1]])
         else:
-            parts = self.prefix + piece
-        number = self[piece] = self.owner.size + len(self.queue)
-        self.queue.append(parts)
+            number = self.owner.queued(self.prefix + piece)
+        self[piece] = number
         return number
 
 
 class Encoder:
-    """`encode` gives the ids of several texts, one after the other, and the number for each."""
+    """`encode` gives the ids of several texts, one after the other, and the number for each.
+
+    Unseen pieces go to the tokenizer in lines: a line end is a piece of its own with an id of its own.
+    """
 
     def __init__(self, path: str | None = None, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,51 +58,71 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path or default_tokenizer())
         self.remembered = remembered
+        (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self._forget()
 
     def _forget(self) -> None:
-        self.size, self.queue = 0, []
-        self.first = _Pieces("", self.queue, self)
-        self.later = _Pieces(" ", self.queue, self)
+        self.size, self.lines, self.odd, self.pairs = 0, ([], []), ([], []), ([], [])
+        self.first, self.later = _Pieces("", self), _Pieces(" ", self)
         self.flat = np.zeros(0, np.uint32)
         self.begin = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
 
+    def _number(self, queue: tuple[list, list], what) -> int:
+        queue[0].append(self.size)
+        queue[1].append(what)
+        self.size += 1
+        return self.size - 1
+
+    def queued(self, text: str) -> int:
+        return self._number(self.lines if len(text.split()) == 1 and text.lstrip(" ").isprintable() else self.odd, text)
+
+    def joined(self, stem: int, mark: int) -> int:
+        return self._number(self.pairs, (stem, mark))
+
     def _learn(self) -> None:
-        if not self.queue:
+        if len(self.begin) == self.size:
             return
-        new = iter(self.tokenizer.encode_batch_fast([x for x in self.queue if isinstance(x, str)], add_special_tokens=False))
-        ids: list[list[int]] = []
-        for x in self.queue:
-            ids.append(next(new).ids if isinstance(x, str) else self._ids(x[0], ids) + self._ids(x[1], ids))
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
-        begin = len(self.flat) + np.cumsum(length) - length
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, length.sum())])
-        self.begin, self.length = np.concatenate([self.begin, begin]), np.concatenate([self.length, length])
-        self.size += len(self.queue)
-        self.queue.clear()
-
-    def _ids(self, number: int, new: list[list[int]]) -> list[int]:
-        if number >= self.size:
-            return new[number - self.size]
-        return self.flat[self.begin[number] : self.begin[number] + self.length[number]].tolist()
+        grown = self.size - len(self.begin)
+        self.begin, self.length = (np.concatenate([x, np.zeros(grown, np.int64)]) for x in (self.begin, self.length))
+        numbers, texts = self.lines
+        if texts:
+            blocks = ["\n".join(texts[k : k + 1000]) + "\n" for k in range(0, len(texts), 1000)]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(blocks, add_special_tokens=False)])
+            ends = np.flatnonzero(ids == self.line_end)
+            self._add(numbers, ids, np.concatenate([[0], ends[:-1] + 1]), ends)
+        numbers, texts = self.odd
+        if texts:
+            ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ends = np.cumsum([len(x) for x in ids])
+            self._add(numbers, np.concatenate(ids), np.concatenate([[0], ends[:-1]]), ends)
+        numbers, parts = self.pairs
+        if parts:
+            parts = np.array(parts)
+            ends = np.cumsum(self.length[parts].sum(axis=1))
+            self._add(numbers, self._expand(parts.ravel()), np.concatenate([[0], ends[:-1]]), ends)
+        self.lines, self.odd, self.pairs = ([], []), ([], []), ([], [])
+
+    def _add(self, numbers, ids, begin, end) -> None:
+        self.begin[numbers] = len(self.flat) + begin
+        self.length[numbers] = end - begin
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _expand(self, numbers: np.ndarray) -> np.ndarray:
+        length = self.length[numbers]
+        ends = np.cumsum(length)
+        return self.flat[np.repeat(self.begin[numbers] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids and the number of ids of each text; an empty text has none."""
         if self.size > self.remembered:
             self._forget()
-        numbers, counts = [], []
-        for text in texts:
-            own = self._numbers(text)
-            numbers.append(own)
-            counts.append(len(own))
+        numbers = [self._numbers(text) for text in texts]
         self._learn()
         which = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
-        length = self.length[which]
-        ends = np.cumsum(length)
-        ids = self.flat[np.repeat(self.begin[which] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
-        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        return ids, np.diff(upto)
+        upto = np.concatenate([[0], np.cumsum(self.length[which])])
+        counts = upto[np.concatenate([[0], np.cumsum([len(n) for n in numbers])]).astype(np.int64)]
+        return self._expand(which), np.diff(counts)
 
     def _numbers(self, text: str) -> np.ndarray:
         if not text:
@@ -117,11 +137,10 @@ class Encoder:
         return np.array([self._forced(self.first, pieces[0]), *[self._forced(self.later, p) for p in pieces[1:]]], np.int64)
 
     def _forced(self, known: _Pieces, piece: str) -> int:
-        """Number of a piece that may begin or end in white space, kept under a key of its own."""
-        key = known.prefix + "\0" + piece
+        """Number of a piece that may begin or end in white space, under a key that no piece of a split has."""
+        key = " " + piece
         if key not in known:
-            known[key] = self.size + len(self.queue)
-            self.queue.append(known.prefix + piece)
+            known[key] = self._number(self.odd, known.prefix + piece)
         return known[key]
 
 
