@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import langid, packing, pivot_index, repair_store, wu_manber, zstd_quality
+from cohortloom.llm import langid, packing, pivot_index, repair_store, suffix_repeats, wu_manber, zstd_quality
 from cohortloom.llm.text import lower_sql, table
 
 QUERIES, ORACLES = {}, {}
@@ -63,3 +63,22 @@ def op8(spark, folder):
 @query("op9_vector_duplicates")
 def op9(spark, folder):
     return pivot_index.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query(
+    "op2_repeated_passages",
+    """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT r, i, md5(substr(x, 2 * i + 1, 400)) AS m FROM (SELECT r, x, unnest(range(0, len(x) // 2 - 199)) AS i FROM d WHERE len(x) >= 400)),
+again AS (SELECT m FROM w GROUP BY m HAVING count(*) > 1),
+hit AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS fresh FROM w SEMI JOIN again USING (m)),
+run AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS k FROM hit) GROUP BY r, k),
+part AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM run),
+gone AS (SELECT r, sum(b - a) AS n, count(*) AS k, max(b) AS last, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head FROM part JOIN d USING (r) GROUP BY r)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(k, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN gone USING (r)
+""",
+)
+def op2(spark, folder):
+    return suffix_repeats.removed(table(spark, folder, "documents"))
