@@ -41,8 +41,11 @@ _HEAD = "<4s5I"
 
 def frequent_pairs(symbols: np.ndarray, end_id: int, least: int, most: int) -> list[tuple[int, int]]:
     """The most frequent pairs such that no symbol is a left one and a right one, so none overlap."""
-    left, right = symbols[:-1].astype(np.uint64), symbols[1:].astype(np.uint64)
-    keys = (left << np.uint64(32) | right)[(left != end_id) & (right != end_id)]
+    kind, bits = (np.uint32, 16) if symbols.max(initial=0) < 1 << 16 else (np.uint64, 32)
+    plain = symbols.astype(kind)
+    keys = plain[:-1] << kind(bits) | plain[1:]
+    apart = symbols != end_id
+    keys = keys[apart[:-1] & apart[1:]]
     if len(keys) == 0:
         return []
     keys.sort()
@@ -52,7 +55,7 @@ def frequent_pairs(symbols: np.ndarray, end_id: int, least: int, most: int) -> l
     often = often[np.argsort(-count[often], kind="stable")][: 4 * most]
     lefts, rights, chosen = set(), set(), []
     for key in keys[edge[often]].tolist():
-        a, b = key >> 32, key & 0xFFFFFFFF
+        a, b = key >> bits, key & ((1 << bits) - 1)
         if a != b and a not in rights and b not in lefts:
             lefts.add(a)
             rights.add(b)
@@ -72,10 +75,12 @@ def replaced(symbols: np.ndarray, pairs: list[tuple[int, int]], first: int) -> n
     grid = np.zeros((len(lefts) + 1, len(rights) + 1), np.int32)
     a, b = np.array(pairs).T
     grid[row[a], column[b]] = np.arange(1, len(pairs) + 1)
-    rule = grid[row[symbols[:-1]], column[symbols[1:]]]
-    at = np.flatnonzero(rule)
+    r, c = row[symbols[:-1]], column[symbols[1:]]
+    at = np.flatnonzero((r > 0) & (c > 0))
+    rule = grid[r[at], c[at]]
+    at, rule = at[rule > 0], rule[rule > 0]
     out = symbols.copy()
-    out[at] = first + rule[at] - 1
+    out[at] = first + rule - 1
     keep = np.ones(len(out), bool)
     keep[at + 1] = False
     return out[keep]

@@ -15,8 +15,8 @@ from types import ModuleType
 import numpy as np
 import pyarrow as pa
 
-#: Distinct pieces that a worker remembers before it starts over.
-REMEMBERED = 1_000_000
+#: Distinct pieces that a worker remembers; the first ones stay, later ones are known for a batch.
+REMEMBERED = 700_000
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -43,6 +43,8 @@ class _Pieces(dict):
         else:
             number = self.owner.queued(self.prefix + piece)
         self[piece] = number
+        if number >= self.owner.remembered:
+            self.owner.passing.append((self, piece))
         return number
 
 
@@ -59,15 +61,22 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path or default_tokenizer())
         self.remembered = remembered
         (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self._forget()
-
-    def _forget(self) -> None:
+        self.passing: list[tuple[dict, str]] = []
         self.size, self.lines, self.odd, self.pairs = 0, ([], []), ([], []), ([], [])
         self.first, self.later = _Pieces("", self), _Pieces(" ", self)
         self.flat = np.zeros(0, np.uint32)
         self.begin = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
 
+    def _forget(self) -> None:
+        """Back to the pieces remembered first, which are the frequent ones."""
+        for known, piece in self.passing:
+            del known[piece]
+        self.passing.clear()
+        self.size = min(self.size, self.remembered)
+        self.begin, self.length = self.begin[: self.size], self.length[: self.size]
+        self.flat = self.flat[: int((self.begin + self.length).max(initial=0))]
+
     def _number(self, queue: tuple[list, list], what) -> int:
         queue[0].append(self.size)
         queue[1].append(what)
@@ -115,7 +124,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids and the number of ids of each text; an empty text has none."""
-        if self.size > self.remembered:
+        if self.passing:
             self._forget()
         numbers = [self._numbers(text) for text in texts]
         self._learn()
@@ -141,6 +150,8 @@ class Encoder:
         key = " " + piece
         if key not in known:
             known[key] = self._number(self.odd, known.prefix + piece)
+            if known[key] >= self.remembered:
+                self.passing.append((known, key))
         return known[key]
 
 
