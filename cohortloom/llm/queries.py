@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import langid, packing, pivot_index, repair_store, suffix_repeats, wu_manber, zstd_quality
+from cohortloom.llm import jaccard_join, langid, packing, pivot_index, repair_store, suffix_repeats, wu_manber, zstd_quality
 from cohortloom.llm.text import lower_sql, table
 
 QUERIES, ORACLES = {}, {}
@@ -82,3 +82,21 @@ FROM d LEFT JOIN gone USING (r)
 )
 def op2(spark, folder):
     return suffix_repeats.removed(table(spark, folder, "documents"))
+
+
+@query(
+    "op3_jaccard_join",
+    f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all({lower_sql("text")}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT r, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE [array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)] END)) AS g FROM d),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS x, b.r AS y, count(*) AS i FROM s AS a JOIN s AS b ON a.g = b.g AND a.r < b.r GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n AS nx ON nx.r = x JOIN n AS ny ON ny.r = y WHERE 100 * i >= 80 * (nx.n + ny.n - i)),
+both_ways AS (SELECT x AS a, y AS b FROM e UNION SELECT y, x FROM e),
+reach(a, b) AS (SELECT r, r FROM d UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM d LEFT JOIN n USING (r) JOIN (SELECT a AS r, min(t.doc_id) AS component_id FROM reach JOIN d AS t ON t.r = reach.b GROUP BY a) USING (r)
+""",
+)
+def op3(spark, folder):
+    return jaccard_join.similar(table(spark, folder, "documents"))
