@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import map_texts, mix, pieces, utf8
+from cohortloom.llm.text import map_texts, mix, parts, pieces, utf8
 from cohortloom.llm.zstd_quality import fold
 
 BITS, ORDERS = 15, (1, 2, 3)
@@ -65,7 +65,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     def run(batches):
         total = np.zeros(1 << BITS, np.int64)
         rows = 0
-        for batch in batches:
+        for batch in parts(batches):
             known = [t or b"" for t in utf8(batch.column(0))]
             rows += len(known)
             for piece in pieces(known, PART_BYTES):

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import PIECE_BYTES, carried
+from cohortloom.llm.text import PIECE_BYTES, carried, parts
 from cohortloom.llm.token_ids import encoder, strings
 from cohortloom.session import durable
 
@@ -143,7 +143,7 @@ def cut(docs: DataFrame, text: str = "text", carry: list[str] | None = None, cap
 
     def run(batches):
         work, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), {}
-        for batch in batches:
+        for batch in parts(batches):
             texts = strings(batch.column(1))
             at = 0
             while at < len(texts):

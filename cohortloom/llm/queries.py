@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import jaccard_join, langid, packing, pivot_index, repair_store, suffix_repeats, wu_manber, zstd_quality
+from cohortloom.llm import gru_lm, jaccard_join, langid, packing, pivot_index, repair_store, suffix_repeats, wu_manber, zstd_quality
 from cohortloom.llm.text import lower_sql, table
 
 QUERIES, ORACLES = {}, {}
@@ -100,3 +100,8 @@ FROM d LEFT JOIN n USING (r) JOIN (SELECT a AS r, min(t.doc_id) AS component_id
 )
 def op3(spark, folder):
     return jaccard_join.similar(table(spark, folder, "documents"))
+
+
+@query("op1_lm_score")
+def op1(spark, folder):
+    return gru_lm.likelihood(table(spark, folder, "documents"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import PIECE_BYTES
+from cohortloom.llm.text import PIECE_BYTES, parts
 from cohortloom.llm.token_ids import encoder, strings
 from cohortloom.session import durable
 
@@ -192,7 +192,7 @@ def write_shards(docs: DataFrame, doc: str = "doc_id", text: str = "text", token
             names, kept, size = [], [], 0
             return out
 
-        for batch in batches:
+        for batch in parts(batches):
             ids_of, texts, at = batch.column(0).to_pylist(), strings(batch.column(1)), 0
             while at < len(texts):
                 upto, length = at, 0

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import mix
+from cohortloom.llm.text import mix, parts
 from cohortloom.session import durable
 
 WIDTH, GRAM = 200, 32
@@ -196,7 +196,7 @@ class _Texts:
 
 def _positions(table: DataFrame, width: int, gram: int) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             names, copies = batch.column(0), batch.column(1)
             for number, at, keys in sync_positions(batch.column(2).to_pylist(), width, gram):
                 yield pa.RecordBatch.from_arrays(
@@ -228,7 +228,7 @@ def _occurrences(texts: _Texts, kept: DataFrame, width: int, gram: int) -> DataF
     """h, at, key and the digest c of the surroundings, for positions whose key occurs again."""
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             h, copies, places = [], [], batch.column(3).to_pylist()
             at, key, c = [], [], []
             for name, n, text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), places):
@@ -254,7 +254,7 @@ def _suffixes(texts: _Texts, firsts: DataFrame, width: int, gram: int) -> DataFr
     def run(batches):
         for batch in batches:
             rows, seen = [], {}
-            for text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, own in ((t, o) for part in parts([batch]) for t, o in zip(part.column(0).to_pylist(), part.column(1).to_pylist())):
                 for x in own:
                     left, right = _surroundings(text, x["at"], width, gram)
                     if not x["crowded"]:
@@ -370,7 +370,7 @@ def dedup_texts(docs: DataFrame, text: str = "text", width: int = WIDTH, gram: i
     found = find_repeats(texts, width, gram).groupBy("h").agg(F.collect_set(F.struct("start", "end")).alias("found"))
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             out = [[] for _ in range(6)]
             for h, copies, text, own in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 spans = [(0, len(text))] if copies > 1 and len(text) >= width else merged([(s["start"], s["end"]) for s in own or ()])

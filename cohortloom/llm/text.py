@@ -1,4 +1,4 @@
-"""Shared helpers: whole texts as bytes inside Arrow tasks, carried columns, scratch pieces."""
+"""Shared helpers: whole texts as bytes inside Arrow tasks, carried columns, bounded pieces."""
 
 from __future__ import annotations
 
@@ -23,6 +23,13 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def parts(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Record batches in parts of few rows, so few texts at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def pieces(texts: list[bytes], limit: int = PIECE_BYTES) -> Iterator[slice]:
     """Slices of neighbouring texts with about `limit` bytes; a longer text makes a piece alone."""
     start, size = 0, 0
@@ -60,10 +67,9 @@ def map_texts(
 
     def run(batches):
         work = start()
-        for batch in batches:
-            if batch.num_rows:
-                made = work(utf8(batch.column(1)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, k) for x, k in zip(made, kinds)]], names=names)
+        for batch in parts(batches):
+            made = work(utf8(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, k) for x, k in zip(made, kinds)]], names=names)
 
     return slim.mapInArrow(run, schema)
 

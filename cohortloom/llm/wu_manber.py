@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import carried, utf8
+from cohortloom.llm.text import carried, parts, utf8
 
 WINDOW = 10
 #: Words of benchmark text whose tables are broadcast at once.
@@ -163,7 +163,7 @@ def _scanner(shared, schema):
         for values in plain:
             tables.append(SearchTable.__new__(SearchTable))
             vars(tables[-1]).update(values)
-        for batch in batches:
+        for batch in parts(batches):
             texts, before, known = utf8(batch.column(1)), batch.column(3), batch.column(4)
             counts, spans, items = [], [], []
             for i, content in enumerate(texts):
