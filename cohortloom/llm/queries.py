@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import gru_lm, jaccard_join, langid, packing, pivot_index, repair_store, suffix_repeats, wu_manber, zstd_quality
+import corpus_pipeline
+from cohortloom.llm import gru_lm, jaccard_join, langid, packing, pivot_index, repair_store, suffix_repeats, wrappers, wu_manber, zstd_quality
 from cohortloom.llm.text import lower_sql, table
 
 QUERIES, ORACLES = {}, {}
 
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 
 def query(name, sql=None):
     def register(build):
@@ -105,3 +110,8 @@ def op3(spark, folder):
 @query("op1_lm_score")
 def op1(spark, folder):
     return gru_lm.likelihood(table(spark, folder, "documents"))
+
+
+@query("op5_main_text")
+def op5(spark, folder):
+    return wrappers.main_texts(table(spark, folder, "pages"))
