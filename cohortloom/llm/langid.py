@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import map_texts, mix, parts, pieces, utf8
+from cohortloom.llm.text import map_texts, mix, parts, pieces, small_batches, utf8
 from cohortloom.llm.zstd_quality import fold
 
 BITS, ORDERS = 15, (1, 2, 3)
@@ -128,6 +128,7 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def fit(known: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, weights (with idf and temperature inside) and intercepts from rows id, text, lang."""
+    small_batches(known.sparkSession)
     frequency, rows = document_frequencies(known.select("text"))
     languages = sorted(r["lang"] for r in known.select("lang").distinct().collect())
     if not languages:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import PIECE_BYTES, parts
+from cohortloom.llm.text import PIECE_BYTES, parts, small_batches
 from cohortloom.llm.token_ids import encoder, strings
 from cohortloom.session import durable
 
@@ -175,6 +175,7 @@ def write_shards(docs: DataFrame, doc: str = "doc_id", text: str = "text", token
     schema = T.StructType(
         [T.StructField("part", T.IntegerType()), T.StructField("nth", T.LongType()), T.StructField("before", T.LongType()), T.StructField("tokens", T.LongType()), T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("payload", T.BinaryType())]
     )
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col(f"`{doc}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
 
     def run(batches):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import mix, parts
+from cohortloom.llm.text import mix, parts, small_batches
 from cohortloom.session import durable
 
 WIDTH, GRAM = 200, 32
@@ -184,6 +184,7 @@ class _Texts:
 
     def __init__(self, texts: DataFrame):
         self.spark = texts.sparkSession
+        small_batches(self.spark)
         self.name = f"repeats_{uuid.uuid4().hex}"
         pieces = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         distinct = texts.groupBy("h").agg(F.count("*").alias("copies"), F.first("text").alias("text"))

@@ -12,6 +12,14 @@ from pyspark.sql import types as T
 
 #: Bytes of text that a task works on at once; its arrays are a small multiple of this.
 PIECE_BYTES = 1 << 20
+#: Bytes of an Arrow batch between Spark and a task's Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark) -> None:
+    """Arrow batches of BATCH_BYTES at most in this session: texts are wide, the default is meant for narrow rows."""
+    for key, most in (("maxBytesPerBatch", BATCH_BYTES), ("maxRecordsPerBatch", 5000)):
+        spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 def table(spark, folder: str, name: str) -> DataFrame:
@@ -30,6 +38,19 @@ def parts(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, rows)
 
 
+def gathered(batches, limit: int) -> Iterator[pa.RecordBatch]:
+    """Record batches put together until they have about `limit` bytes."""
+    kept, size = [], 0
+    for batch in batches:
+        kept.append(batch)
+        size += batch.nbytes
+        if size >= limit:
+            yield from pa.Table.from_batches(kept).combine_chunks().to_batches()
+            kept, size = [], 0
+    if kept:
+        yield from pa.Table.from_batches(kept).combine_chunks().to_batches()
+
+
 def pieces(texts: list[bytes], limit: int = PIECE_BYTES) -> Iterator[slice]:
     """Slices of neighbouring texts with about `limit` bytes; a longer text makes a piece alone."""
     start, size = 0, 0
@@ -44,6 +65,7 @@ def pieces(texts: list[bytes], limit: int = PIECE_BYTES) -> Iterator[slice]:
 
 def carried(df: DataFrame, carry: list[str] | None, text: str = "text") -> DataFrame:
     """`row`, a struct of the carried columns (all by default), and `text`: other names cannot clash."""
+    small_batches(df.sparkSession)
     kept = F.struct(*[F.col(f"`{c}`") for c in (df.columns if carry is None else carry)])
     return df.select(kept.alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
 
