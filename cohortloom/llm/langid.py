@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import map_texts, mix, parts, pieces, small_batches, utf8
+from cohortloom.llm.text import map_texts, mix, parts, pieces, share_by_hash, small_batches, utf8
 from cohortloom.llm.zstd_quality import fold
 
 BITS, ORDERS = 15, (1, 2, 3)
@@ -130,12 +130,17 @@ def fit(known: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, weights (with idf and temperature inside) and intercepts from rows id, text, lang."""
     small_batches(known.sparkSession)
     frequency, rows = document_frequencies(known.select("text"))
-    languages = sorted(r["lang"] for r in known.select("lang").distinct().collect())
+    there = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row for each language
+    languages = sorted(there)
     if not languages:
         return [], np.zeros((1 << BITS, 0), np.float32), np.zeros(0)
     known = known.withColumn("place", F.xxhash64("id", "text"))
     first = Window.partitionBy("lang").orderBy("place")
-    picked = known.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= SAMPLE_ROWS // len(languages) + 1)
+    wanted = SAMPLE_ROWS // len(languages) + 1
+    enough = F.lit(False)
+    for lang in languages:
+        enough = enough | ((F.col("lang") == lang) & share_by_hash(F.col("place"), wanted, there[lang]))
+    picked = known.where(enough).withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= wanted)
     picked = picked.withColumn("bytes", F.sum(F.octet_length("text")).over(first.rowsBetween(Window.unboundedPreceding, 0)))
     sample = picked.where(F.col("bytes") <= SAMPLE_BYTES // len(languages)).orderBy("place").select("text", "lang").collect()
     idf = np.where(frequency > 0, np.log((1 + rows) / (1 + frequency)) + 1, 0.0)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.graph import components
+from cohortloom.llm.text import share_by_hash
 from cohortloom.session import durable
 
 COSINE = 0.93
@@ -50,8 +51,9 @@ def unit(data) -> np.ndarray:
 
 def choose_pivots(distinct: DataFrame, number: int | None = None) -> dict[int, np.ndarray]:
     """Pivots by dimension; the sample has MOST_PIVOTS vectors at most."""
-    number = number or min(MOST_PIVOTS, max(LEAST_PIVOTS, int(distinct.count() ** 0.5)))
-    rows = distinct.orderBy(F.xxhash64("id", "data"), "id").limit(number).select("data").collect()
+    there = distinct.count()
+    number = number or min(MOST_PIVOTS, max(LEAST_PIVOTS, int(there**0.5)))
+    rows = distinct.where(share_by_hash(F.col("data"), number, there)).orderBy(F.xxhash64("id", "data"), "id").limit(number).select("data").collect()
     by_size: dict[int, list] = {}
     for row in rows:
         by_size.setdefault(len(row["data"]) // 8, []).append(row["data"])

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import map_texts
+from cohortloom.llm.text import map_texts, share_by_hash
 
 #: The classifier is fitted on at most so many labelled rows and bytes of either class.
 SAMPLE_ROWS, SAMPLE_BYTES = 2000, 8_000_000
@@ -125,7 +125,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, keep, doc: str = "doc_id
     known = labels.select(F.col(f"`{doc}`").alias("id"), F.col(f"`{label}`").cast("int").alias("q")).where("id IS NOT NULL AND q IS NOT NULL")
     known = known.groupBy("id").agg(F.min("q").alias("q"), F.max("q").alias("top")).where("q = top AND q IN (0, 1)").drop("top")
     known = known.where(keep("id")).withColumn("place", F.xxhash64("id"))
-    first = [known.where(F.col("q") == q).orderBy("place", "id").limit(SAMPLE_ROWS) for q in (0, 1)]
+    there = {r["q"]: r["n"] for r in known.groupBy("q").agg(F.count("*").alias("n")).collect()}  # two rows
+    first = [known.where((F.col("q") == q) & share_by_hash(F.col("place"), SAMPLE_ROWS, there.get(q, 0))).orderBy("place", "id").limit(SAMPLE_ROWS) for q in (0, 1)]
     picked = first[0].union(first[1])  # 2 * SAMPLE_ROWS rows at most
     texts = docs.select(F.col(f"`{doc}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).where("text IS NOT NULL")
     found = texts.join(F.broadcast(picked), "id").dropDuplicates(["id"])
