@@ -11,7 +11,8 @@ from cohortloom.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = build_session(
         "cohortloom-tests",
         "local[4]",
@@ -19,6 +20,8 @@ def spark():
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="6g",
+        spark__checkpoint__dir=str(shared / "checkpoints"),
+        spark__sql__warehouse__dir=str(shared / "warehouse"),
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
