@@ -134,19 +134,20 @@ def intervals(common: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
             stack.append((value, first))
 
 
-def repeats(lefts: list[bytes], rights: list[bytes], copies: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each suffix (its left and right surroundings): bytes before and after it that lie in a
+def repeats(groups: list[int], lefts: list[bytes], rights: list[bytes], copies: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each suffix (what it is dealt by, its left and right surroundings): bytes before and after it that lie in a
     repeat of `width` bytes or more, and the number of a suffix that names its widest group."""
     n = len(lefts)
     before, after, group = np.zeros(n, np.int64), np.zeros(n, np.int64), np.arange(n)
-    order = np.array(sorted(range(n), key=rights.__getitem__), np.int64)
+    order = np.array(sorted(range(n), key=lambda i: (groups[i], rights[i])), np.int64)
+    dealt = np.array(groups, np.int64)[order]
     right, right_size = _padded([rights[i] for i in order], width)
     back = [lefts[i][::-1] for i in order]
     left, left_size = _padded(back, max(1, max(map(len, back), default=1)))
     rank = np.empty(n, np.int64)
     rank[np.array(sorted(range(n), key=back.__getitem__), np.int64)] = np.arange(n)
     near = np.arange(1, n)
-    common = np.concatenate([[0], _common(right, right_size, near - 1, near)]) if n else near
+    common = np.concatenate([[0], np.where(dealt[1:] == dealt[:-1], _common(right, right_size, near - 1, near), 0)]) if n else near
     longest = left.shape[1]
     for height, first, end in intervals(common, max(1, width - longest)):
         members = np.arange(first, end)
@@ -256,24 +257,29 @@ def _suffixes(texts: _Texts, firsts: DataFrame, width: int, gram: int) -> DataFr
         for batch in batches:
             rows, seen = [], {}
             for text, own in ((t, o) for part in parts([batch]) for t, o in zip(part.column(0).to_pylist(), part.column(1).to_pylist())):
+                counted = set()  # places of this text; two positions can lead to the same one
                 for x in own:
                     left, right = _surroundings(text, x["at"], width, gram)
                     if not x["crowded"]:
                         rows.append((x["key"], x["c"], x["n"], left, right, x["c"], 0))
                         continue
-                    whole = left + right
+                    if x["n"] > 1:  # repeated whole: known by itself, in a group of its own
+                        rows.append((int.from_bytes(x["c"][:8], "little", signed=True), x["c"], x["n"], left, right, x["c"], 0))
                     for shift in range(0, len(left) + 1, STEP):
-                        begin = len(left) - shift
-                        body = whole[begin : begin + width - STEP]
+                        begin = x["at"] - shift
+                        body = text[begin : begin + width - STEP]
                         if len(body) < width - STEP:
-                            break
-                        a, b = whole[max(0, begin - STEP + 1) : begin], whole[begin : begin + width]
+                            continue  # the text ends before; places further left have more of it
+                        a, b = text[max(0, begin - STEP + 1) : begin], text[begin : begin + width]
                         c = _digest(b"crowded", a, b)
-                        rows.append((None, c, None, None, None, x["c"], shift))
+                        if x["n"] == 1:
+                            rows.append((None, c, None, None, None, x["c"], shift))
                         if c not in seen:
                             g = int.from_bytes(_digest(body)[:8], "little", signed=True)
                             seen[c] = [g, c, 0, a, b, None, None]
-                        seen[c][2] += x["n"]
+                        if begin not in counted:
+                            seen[c][2] += 1
+                        counted.add(begin)
             rows += map(tuple, seen.values())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), kinds)], names=names)
 
@@ -285,20 +291,21 @@ def _search(suffixes: DataFrame, width: int, pieces: int) -> DataFrame:
     """c, before, after, repeat: what lies in a repeat around each suffix, share by share."""
 
     def run(batches):
-        c, n, lefts, rights, known = [], [], [], [], {}
+        c, n, groups, lefts, rights, known = [], [], [], [], [], {}
         for batch in batches:
-            for name, count, left, right in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            for g, name, count, left, right in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 if name in known:  # combined in several tasks
                     n[known[name]] += count
                     continue
                 known[name] = len(c)
                 c.append(name)
                 n.append(count)
+                groups.append(g)
                 lefts.append(left)
                 rights.append(right)
         if not c:
             return
-        before, after, group = repeats(lefts, rights, np.array(n, np.int64), width)
+        before, after, group = repeats(groups, lefts, rights, np.array(n, np.int64), width)
         hit = np.flatnonzero(after)
         for k in range(0, len(hit), 10_000):
             at = hit[k : k + 10_000]
@@ -307,7 +314,7 @@ def _search(suffixes: DataFrame, width: int, pieces: int) -> DataFrame:
                 names=["c", "before", "after", "repeat"],
             )
 
-    dealt = suffixes.repartition(pieces, "g").select("c", "n", "left", "right")
+    dealt = suffixes.repartition(pieces, "g").select("g", "c", "n", "left", "right")
     return dealt.mapInArrow(run, "c binary, before long, after long, repeat binary")
 
 
