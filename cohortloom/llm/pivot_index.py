@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.graph import components
-from cohortloom.llm.text import share_by_hash
-from cohortloom.session import durable
+from cohortloom.llm.text import held, share_by_hash
 
 COSINE = 0.93
 #: Pivots are a sample of distinct vectors in the order of a hash: the square root of their number, within these bounds.
@@ -127,18 +126,18 @@ def near_duplicates(vectors: DataFrame, vec: str = "vec_id", embedding: str = "e
     linked.  A repeated id is one vector each time.  A row without an id has no component and is not
     kept.  An empty table gives no rows.
     """
-    every = durable(entries(vectors, vec, embedding, label), "vectors")
+    every = held(entries(vectors, vec, embedding, label))
     known = every.where("data IS NOT NULL")
     distinct = known.groupBy("label", "data").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
-    distinct = durable(distinct.select("id", "label", "data", (F.octet_length("data") / 8).cast("int").alias("size"), "copies"), "distinct")
-    indexed = durable(describe(distinct, choose_pivots(distinct, pivots), nearest), "indexed")
+    distinct = held(distinct.select("id", "label", "data", (F.octet_length("data") / 8).cast("int").alias("size"), "copies"))
+    indexed = held(describe(distinct, choose_pivots(distinct, pivots), nearest))
     lists = ["label", "size", "pivot"]
     posted = indexed.withColumn("pivot", F.explode("near"))
     chunks = posted.groupBy(lists).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     posted = posted.join(chunks, lists).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     posted = posted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     met = posted.withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")).drop("chunks", "other")
-    linked = durable(met.groupBy(*lists, "i", "j").applyInPandas(_links(shared, cosine), "a long, b long, links long"), "links")
+    linked = held(met.groupBy(*lists, "i", "j").applyInPandas(_links(shared, cosine), "a long, b long, links long"))
     counts = linked.groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     groups = components(linked).withColumnRenamed("node", "id")
     classes = distinct.join(counts, "id", "left").join(groups, "id", "left")

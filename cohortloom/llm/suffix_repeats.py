@@ -17,17 +17,16 @@ common passage does not fill a task either.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import mix, parts, small_batches
-from cohortloom.session import durable
+from cohortloom.llm.text import held, mix, parts, small_batches
 
 WIDTH, GRAM = 200, 32
 CROWD, STEP = 4096, 8
@@ -180,34 +179,42 @@ def _surroundings(text: bytes, at: int, width: int, gram: int) -> tuple[bytes, b
     return text[max(0, at - (width - gram)) : at], text[at : at + width]
 
 
-class _Texts:
-    """Distinct texts in a table bucketed by their digest, so later joins do not move them again."""
+def distinct_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, object]:
+    """h, copies, z: every distinct text once, compressed, held by its digest; and the digest as a column.
 
-    def __init__(self, texts: DataFrame):
-        self.spark = texts.sparkSession
-        small_batches(self.spark)
-        self.name = f"repeats_{uuid.uuid4().hex}"
-        pieces = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        distinct = texts.groupBy("h").agg(F.count("*").alias("copies"), F.first("text").alias("text"))
-        distinct.write.option("compression", "zstd").bucketBy(pieces, "h").saveAsTable(self.name)
-        self.table = self.spark.table(self.name)
+    Later joins by h find the texts where they are and do not move them again.
+    """
+    small_batches(docs.sparkSession)
+    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    digest = F.unhex(F.md5(whole.cast("binary")))
+
+    def run(batches):
+        for batch in parts(batches):
+            pack = zstandard.ZstdCompressor(level=3).compress
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack(t) for t in batch.column(1).to_pylist()], pa.binary())], names=["h", "z"])
+
+    packed = docs.select(digest.alias("h"), whole.cast("binary").alias("text")).mapInArrow(run, "h binary, z binary")
+    return held(packed.groupBy("h").agg(F.count("*").alias("copies"), F.first("z").alias("z"))), digest
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(z) for z in column.to_pylist()]
 
-    def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE {self.name}")
 
+def _positions(texts: DataFrame, width: int, gram: int) -> DataFrame:
+    """h, copies, at, key: synchronising positions of every text, as arrays."""
 
-def _positions(table: DataFrame, width: int, gram: int) -> DataFrame:
     def run(batches):
         for batch in parts(batches):
             names, copies = batch.column(0), batch.column(1)
-            for number, at, keys in sync_positions(batch.column(2).to_pylist(), width, gram):
+            for number, at, keys in sync_positions(unpacked(batch.column(2)), width, gram):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([names[number].as_py()], pa.binary()), pa.array([copies[number].as_py()], pa.int64()), pa.array([at], pa.list_(pa.int64())), pa.array([keys.view(np.int64)], pa.list_(pa.int64()))],
                     names=["h", "copies", "at", "key"],
                 )
 
-    made = table.select("h", "copies", F.col("text").cast("binary")).mapInArrow(_joined(run), "h binary, copies long, at array<long>, key array<long>")
-    return made.select("h", "copies", F.explode(F.arrays_zip("at", "key")).alias("x")).select("h", "copies", "x.at", "x.key")
+    return texts.select("h", "copies", "z").mapInArrow(_joined(run), "h binary, copies long, at array<long>, key array<long>")
 
 
 def _joined(run, rows: int = 512):
@@ -226,14 +233,14 @@ def _joined(run, rows: int = 512):
     return wrapped
 
 
-def _occurrences(texts: _Texts, kept: DataFrame, width: int, gram: int) -> DataFrame:
+def _occurrences(texts: DataFrame, kept: DataFrame, width: int, gram: int) -> DataFrame:
     """h, at, key and the digest c of the surroundings, for positions whose key occurs again."""
 
     def run(batches):
         for batch in parts(batches):
             h, copies, places = [], [], batch.column(3).to_pylist()
             at, key, c = [], [], []
-            for name, n, text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), places):
+            for name, n, text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), unpacked(batch.column(2)), places):
                 for x in own:
                     h.append(name)
                     copies.append(n)
@@ -243,11 +250,11 @@ def _occurrences(texts: _Texts, kept: DataFrame, width: int, gram: int) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((h, copies, at, key, c), (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["h", "copies", "at", "key", "c"])
 
     own = kept.groupBy("h").agg(F.collect_list(F.struct("at", "key")).alias("own"))  # as long as the text at most
-    joined = texts.table.join(own, "h").select("h", "copies", F.col("text").cast("binary"), "own")
+    joined = texts.join(own, "h").select("h", "copies", "z", "own")
     return joined.mapInArrow(run, "h binary, copies long, at long, key long, c binary")
 
 
-def _suffixes(texts: _Texts, firsts: DataFrame, width: int, gram: int) -> DataFrame:
+def _suffixes(texts: DataFrame, firsts: DataFrame, width: int, gram: int) -> DataFrame:
     """Suffixes with their surroundings (g, c, n, left, right), and which suffix stands for which (origin, shift)."""
     schema = "g long, c binary, n long, left binary, right binary, origin binary, shift long"
     kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
@@ -256,7 +263,7 @@ def _suffixes(texts: _Texts, firsts: DataFrame, width: int, gram: int) -> DataFr
     def run(batches):
         for batch in batches:
             rows, seen = [], {}
-            for text, own in ((t, o) for part in parts([batch]) for t, o in zip(part.column(0).to_pylist(), part.column(1).to_pylist())):
+            for text, own in ((t, o) for part in parts([batch]) for t, o in zip(unpacked(part.column(0)), part.column(1).to_pylist())):
                 counted = set()  # places of this text; two positions can lead to the same one
                 for x in own:
                     left, right = _surroundings(text, x["at"], width, gram)
@@ -284,7 +291,7 @@ def _suffixes(texts: _Texts, firsts: DataFrame, width: int, gram: int) -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), kinds)], names=names)
 
     own = firsts.groupBy("h").agg(F.collect_list(F.struct("at", "key", "c", "n", "crowded")).alias("own"))
-    return texts.table.join(own, "h").select(F.col("text").cast("binary"), "own").mapInArrow(run, schema)
+    return texts.join(own, "h").select("z", "own").mapInArrow(run, schema)
 
 
 def _search(suffixes: DataFrame, width: int, pieces: int) -> DataFrame:
@@ -318,22 +325,22 @@ def _search(suffixes: DataFrame, width: int, pieces: int) -> DataFrame:
     return dealt.mapInArrow(run, "c binary, before long, after long, repeat binary")
 
 
-def find_repeats(texts: _Texts, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+def find_repeats(texts: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """h, start, end, repeat: stretches of each distinct text that lie in a repeat, with their group."""
-    spark = texts.spark
-    places = durable(_positions(texts.table, width, gram), "positions")
+    spark = texts.sparkSession
+    places = held(_positions(texts, width, gram)).select("h", "copies", F.explode(F.arrays_zip("at", "key")).alias("x")).select("h", "copies", "x.at", "x.key")
     again = places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    found = durable(_occurrences(texts, places.join(again, "key"), width, gram), "occurrences")
+    found = held(_occurrences(texts, places.join(again, "key"), width, gram))
     firsts = found.groupBy("c").agg(F.min("key").alias("key"), F.sum("copies").alias("n"), F.min(F.struct("h", "at")).alias("first"))
-    firsts = durable(firsts.select("c", "key", "n", "first.h", "first.at"), "surroundings")
+    firsts = held(firsts.select("c", "key", "n", "first.h", "first.at"))
     ways = firsts.groupBy("key").agg(F.count("*").alias("ways"))
     crowded = ways.where(F.col("ways") > CROWD).select("key", F.lit(True).alias("crowded"))
     several = firsts.where("n = 1").join(ways.where("ways > 1").select("key"), "key", "left_semi").union(firsts.where("n > 1").select("key", "c", "n", "h", "at"))
     marked = several.join(crowded, "key", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
-    suffixes = durable(_suffixes(texts, marked, width, gram), "suffixes")
+    suffixes = held(_suffixes(texts, marked, width, gram))
     real = suffixes.where("right IS NOT NULL").select("g", "c", "n", "left", "right")
     pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), real.count() // SHARE + 1)
-    hits = durable(_search(real, width, pieces), "repeats")
+    hits = _search(real, width, pieces)
     stands = suffixes.where("origin IS NOT NULL").select("c", "origin", "shift")
     hits = stands.join(hits, "c").select(F.col("origin").alias("c"), (F.lit(0) - F.col("shift") - F.col("before")).alias("lo"), (F.col("after") - F.col("shift")).alias("hi"), "repeat")
     return found.select("h", "at", "c").join(hits, "c").select("h", (F.col("at") + F.col("lo")).alias("start"), (F.col("at") + F.col("hi")).alias("end"), "repeat")
@@ -373,14 +380,13 @@ def dedup_texts(docs: DataFrame, text: str = "text", width: int = WIDTH, gram: i
     Texts shorter than that, and an empty table, have no repeats.  The digest as a column expression
     comes with the table, to join it with any rows that have the text.
     """
-    digest = F.unhex(F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")))
-    texts = _Texts(docs.select(digest.alias("h"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")))
+    texts, digest = distinct_texts(docs, text)
     found = find_repeats(texts, width, gram).groupBy("h").agg(F.collect_set(F.struct("start", "end")).alias("found"))
 
     def run(batches):
         for batch in parts(batches):
             out = [[] for _ in range(6)]
-            for h, copies, text, own in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            for h, copies, text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), unpacked(batch.column(2)), batch.column(3).to_pylist()):
                 spans = [(0, len(text))] if copies > 1 and len(text) >= width else merged([(s["start"], s["end"]) for s in own or ()])
                 values = (h, len(text), sum(b - a for a, b in spans), [{"start": a, "end": b} for a, b in spans], hashlib.sha256(kept_bytes(text, spans)).hexdigest(), kept_characters(text, spans) if with_text else None)
                 for column, value in zip(out, values):
@@ -389,10 +395,8 @@ def dedup_texts(docs: DataFrame, text: str = "text", width: int = WIDTH, gram: i
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], names=["h", "n_bytes", "n_removed", "spans", "kept_sha256", "kept"])
 
     schema = T.StructType([T.StructField("h", T.BinaryType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("spans", SPANS), T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.StringType())])
-    joined = texts.table.join(found, "h", "left").select("h", "copies", F.col("text").cast("binary"), "found")
-    result = durable(joined.mapInArrow(run, schema), "kept")
-    texts.drop()
-    return result, digest
+    joined = texts.join(found, "h", "left").select("h", "copies", "z", "found")
+    return joined.mapInArrow(run, schema), digest
 
 
 def removed(docs: DataFrame, doc: str = "doc_id") -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,16 @@ PIECE_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
 
 
+def held(df: DataFrame) -> DataFrame:
+    """Keep an intermediate table on the executors' disks, in the partitioning it has.
+
+    What a lost executor held is computed again from its inputs; where that would be long, a written
+    table (`durable`) cuts it off.  The session frees it with the cache.
+    """
+    df.sparkSession.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "false")
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
 def small_batches(spark) -> None:
     """Arrow batches of BATCH_BYTES at most in this session: texts are wide, the default is meant for narrow rows."""
     for key, most in (("maxBytesPerBatch", BATCH_BYTES), ("maxRecordsPerBatch", 5000)):
