@@ -2,8 +2,8 @@
 
 The working form is long: one row per (person, appointment, study UID) with a file
 count.  Matching never pairs all exams of a person with all appointments: exams meet a
-table that already holds one row per (person, calendar month).  The nested form exists
-at the boundary only, in parts of bounded size.
+table that already holds one row per (person, calendar month).  A history is one row per
+appointment, whatever its length; nothing gathers a person's whole history.
 """
 
 from __future__ import annotations
@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 from cohortloom.functions.clean import month_index
 from cohortloom.functions.history import parse_history
 
-MAX_UIDS_PER_PART = 50_000
-# A nested history is repeated on every exam of its person, hence a lower bound there.
-MAX_UIDS_ON_EXAM = 200
-
 
 def appointments(index: DataFrame) -> DataFrame:
     """(person_id, appointment_ts, uid, files); rows without person or date drop out."""
@@ -34,31 +30,19 @@ def appointments(index: DataFrame) -> DataFrame:
     )
 
 
-def person_history(appts: DataFrame, max_uids: int = MAX_UIDS_PER_PART) -> DataFrame:
-    """Nested history, one row per (person_id, part); `parts` is their number.
-
-    Everyone with at most `max_uids` studies has exactly one part.  A larger history is
-    spread over parts of about that size (hash of appointment and UID), so no task ever
-    gathers it whole; entries of one appointment in several parts add up.
-    """
-    large = appts.groupBy("person_id").agg(F.count("*").alias("_n")).filter(F.col("_n") > max_uids)
-    parts = F.ceil(F.col("_n") / F.lit(max_uids))
-    placed = appts.join(large, "person_id", "left").select(
-        "person_id",
-        F.coalesce(F.pmod(F.xxhash64("appointment_ts", "uid"), parts), F.lit(0)).cast("int").alias("part"),
-        F.coalesce(parts, F.lit(1)).cast("int").alias("parts"),
-        "appointment_ts", "uid", "files",
-    )
-    entries = (
-        placed.repartition("person_id", "part")
-        .groupBy("person_id", "part", "parts", "appointment_ts")
-        .agg(F.array_sort(F.collect_set("uid")).alias("uids"), F.sum("files").alias("file_count"))
-    )
-    return entries.groupBy("person_id", "part", "parts").agg(
-        F.array_sort(F.collect_list(F.struct("appointment_ts", "uids", "file_count"))).alias("history")
+def history(appts: DataFrame) -> DataFrame:
+    """One row per (person_id, appointment_ts) with its sorted UIDs and number of files."""
+    return appts.groupBy("person_id", "appointment_ts").agg(
+        F.array_sort(F.collect_set("uid")).alias("uids"), F.sum("files").alias("file_count")
     )
 
 
+def first_appointment(appts: DataFrame) -> DataFrame:
+    """(person_id, appointment_ts, uid): the studies of everyone's first appointment."""
+    first = appts.groupBy("person_id").agg(F.min("appointment_ts").alias("appointment_ts"))
+    return appts.join(first, ["person_id", "appointment_ts"], "left_semi").select("person_id", "appointment_ts", "uid")
+
+
 def person_summary(appts: DataFrame) -> DataFrame:
     """One row per person: number of appointments, studies and files, first and last date."""
     per_appointment = appts.groupBy("person_id", "appointment_ts").agg(
@@ -73,38 +57,15 @@ def person_summary(appts: DataFrame) -> DataFrame:
     )
 
 
-def attach_history(
-    exams: DataFrame, appts: DataFrame, person: str, max_uids: int = MAX_UIDS_ON_EXAM
-) -> DataFrame:
-    """Add the nested history of the person to each exam as `DICOM_Studies`.
-
-    A history of more than `max_uids` studies cannot be repeated on every exam row; such
-    exams get an empty array and `DICOM_Studies_split` true, and their studies are read
-    from the long form, which is what matching and study lists use in any case.
-    """
-    histories = person_history(appts, max_uids)
-    whole = histories.filter("parts = 1").select("person_id", "history")
-    split = histories.filter("parts > 1").select("person_id", F.slice("history", 1, 0).alias("history")).distinct()
-    nested = whole.withColumn("split", F.lit(False)).unionByName(split.withColumn("split", F.lit(True)))
-    named = nested.select(
-        F.col("person_id").alias("_person"),
-        F.col("history").alias("DICOM_Studies"),
-        F.col("split").alias("DICOM_Studies_split"),
-    )
-    return exams.join(named, F.col(person) == F.col("_person"), "left").drop("_person")
-
-
-def long_from_history(history: DataFrame, person: str = "person_id") -> DataFrame:
-    """Nested history (array column) to the long form; parts of one person add up."""
-    return (
-        history.select(person, F.explode("history").alias("h"))
-        .select(person, "h.appointment_ts", F.explode("h.uids").alias("uid"))
-        .distinct()
-    )
+def long_from_history(rows: DataFrame, person: str = "person_id") -> DataFrame:
+    """History rows to the long form."""
+    return rows.select(person, "appointment_ts", F.explode("uids").alias("uid")).distinct()
 
 
 def long_from_json(texts: DataFrame, text: str, person: str = "person_id") -> DataFrame:
-    return long_from_history(texts.select(person, parse_history(text).alias("history")), person)
+    """JSON texts, of one appointment or of many, to the long form; texts of one person add up."""
+    parsed = texts.select(person, F.explode(parse_history(text)).alias("h")).select(person, "h.appointment_ts", "h.uids")
+    return long_from_history(parsed, person)
 
 
 def near_months(appts: DataFrame) -> DataFrame:
@@ -200,6 +161,13 @@ def retrieval_order(exams: DataFrame, appts: DataFrame, person: str, date: str)
     )
 
 
+def mark_history(exams: DataFrame, appts: DataFrame, person: str, into: str = "has_history") -> DataFrame:
+    """Add whether the person has an imaging appointment."""
+    people = appts.select(F.col("person_id").alias("_person")).distinct().withColumn(into, F.lit(True))
+    marked = exams.join(people, F.col(person) == F.col("_person"), "left").drop("_person")
+    return marked.withColumn(into, F.coalesce(into, F.lit(False)))
+
+
 def with_any_study(exams: DataFrame, appts: DataFrame, person: str) -> DataFrame:
     """Exams of people who have at least one imaging appointment."""
     people = appts.select(F.col("person_id").alias(person)).distinct()

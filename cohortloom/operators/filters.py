@@ -11,7 +11,7 @@ from cohortloom.functions.clean import reader_result
 from cohortloom.operators.exams import match_studies
 
 ACR_COLUMNS = ("L1_ACR_SG", "L1_ACR_SD", "L2_ACR_SG", "L2_ACR_SD")
-HISTORY, MATCHED, POSITIVE = "DICOM_Studies", "DICOM_Study", "L1L2_positif"
+HISTORY, MATCHED, POSITIVE = "has_history", "DICOM_Study", "L1L2_positif"
 
 # Names of the ready-made filters and the test age.
 ACR5_FILTER = "GET_ACR5"
@@ -35,7 +35,7 @@ def with_images() -> Column:
 
 
 def filter_condition(field: str | None = None, value: str | None = None) -> Column:
-    """Imaging history present, plus one named, flag or equality condition.
+    """The person has an imaging history (`has_history`), plus one named, flag or equality condition.
 
     The named positive filter needs the matched study column.
     """
@@ -49,7 +49,7 @@ def filter_condition(field: str | None = None, value: str | None = None) -> Colu
         wanted = F.col(field) == F.lit(value == "True")
     else:
         wanted = F.col(field) == F.lit(value)
-    return wanted & F.col(HISTORY).isNotNull()
+    return wanted & F.col(HISTORY)
 
 
 def apply_filter(df: DataFrame, field: str | None = None, value: str | None = None) -> DataFrame:
@@ -66,7 +66,7 @@ def label_matches(df: DataFrame, used: Mapping[str, tuple[str | None, str | None
 
 
 def test_cohort(df: DataFrame) -> DataFrame:
-    return df.filter(F.col(HISTORY).isNotNull() & any_acr5() & (F.col("Age_Mammo") == TEST_AGE))
+    return df.filter(F.col(HISTORY) & any_acr5() & (F.col("Age_Mammo") == TEST_AGE))
 
 
 def with_results(df: DataFrame) -> DataFrame:

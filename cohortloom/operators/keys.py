@@ -66,16 +66,14 @@ def repeated_keys(df: DataFrame, keys: Keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys)
 
 
-def dup_rows(df: DataFrame, keys: Keys, order_by: Sequence[str] = ()) -> DataFrame:
-    """All members of duplicated keys, sorted by key.
+def dup_rows(df: DataFrame, keys: Keys) -> DataFrame:
+    """All members of duplicated keys, in no order: who needs one sorts what is left.
 
     Semi join against the repeated keys rather than a counting window: a window would
-    bring every row of a hot key into one task, a join side can be split.  The sort
-    takes `order_by` as further columns so that a hot key also spreads over the ranges.
+    bring every row of a hot key into one task, a join side can be split.
     """
     keys = as_list(keys)
-    rows = df.join(repeated_keys(df, keys), keys, "left_semi")
-    return rows.orderBy(*keys, *[c for c in order_by if c not in keys])
+    return df.join(repeated_keys(df, keys), keys, "left_semi")
 
 
 def keep_last(df: DataFrame, keys: Keys, order_by: Sequence[str | Column]) -> DataFrame:
@@ -101,13 +99,13 @@ def keyed(df: DataFrame, keys: Keys, order_by: Sequence[str]) -> KeyedTable:
     return KeyedTable(
         clean=keep_last(present, keys, order_by),
         na=na_rows(df, keys),
-        dup=dup_rows(present, keys, order_by),
+        dup=dup_rows(present, keys),
     )
 
 
-def unique_audit(df: DataFrame, keys: Keys, order_by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+def unique_audit(df: DataFrame, keys: Keys) -> tuple[DataFrame, DataFrame]:
     """Null and duplicate rows of a secondary unique key, taken before any key is forced."""
-    return na_rows(df, keys), dup_rows(notna_rows(df, keys), keys, order_by)
+    return na_rows(df, keys), dup_rows(notna_rows(df, keys), keys)
 
 
 def assert_unique(df: DataFrame, keys: Keys) -> None:

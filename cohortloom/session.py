@@ -47,13 +47,3 @@ def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give an input that arrives in fewer pieces than there are cores one piece per core.
-
-    Meant for sources that cannot be split (one row group, compressed text) in front of
-    costly row work.  Inputs with enough pieces pass unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -15,6 +15,7 @@ from cohortloom.functions.clean import day_of_year, zero_padded
 RECORD_TYPE = "11099"
 RECORD_WIDTH = 69
 ID_WIDTH = 20
+PROJECT_WIDTH = 5
 HEADER_START = "00000RG00000000080036CRIP          CN00000000001003SNE800362016183201630520161108EI010000V80036"
 HEADER_END = "   0000000000000000000000KMLEI       "
 TYPE_LINE = "10001H0000001"
@@ -44,11 +45,12 @@ def registry_projection(identity: DataFrame) -> DataFrame:
     )
 
 
-def dummy_identities(spark: SparkSession, n: int, as_of: str) -> DataFrame:
-    """Synthetic identity rows for a trial file."""
-    i = F.col("id").cast("string")
-    return spark.range(n).select(
-        F.col("id").alias("id_random"),
+def dummy_identities(people: DataFrame, column: str, as_of: str) -> DataFrame:
+    """Invented identity rows for a trial file: one for each of the people, who are known by a number only."""
+    number = F.col(column).cast("bigint")
+    i = number.cast("string")
+    return people.select(
+        number.alias("id_random"),
         F.substring(F.concat(F.lit("2"), i, F.lit("12345678901234")), 1, 13).alias("NNI_2"),
         F.concat(F.lit("nom"), i).alias("nom"),
         F.concat(F.lit("nom_jf"), i).alias("nom_jf"),
@@ -71,7 +73,7 @@ def identity_checks(people: DataFrame) -> DataFrame:
         bad(F.length("NIR_du_ouvrant_droit") == 13).alias("bad_holder_nir"),
         bad(F.col("Date_de_naissance").rlike("^[0-9]{2}/[0-9]{2}/[0-9]{4}$")).alias("bad_date"),
         bad(F.col("Code_sexe").isin("1", "2")).alias("bad_sex"),
-        bad(F.length("Identifiant_temporaire") <= 20).alias("bad_id"),
+        bad(F.length("Identifiant_temporaire").between(1, ID_WIDTH)).alias("bad_id"),
         (F.count("Identifiant_temporaire") - F.countDistinct("Identifiant_temporaire")).alias("repeated_ids"),
     )
 
@@ -85,7 +87,20 @@ def record_line(project: str) -> Column:
         F.col("Code_sexe"), F.col("NIR_du_beneficiaire"), F.lit("    "), F.lit(project),
         F.coalesce(padded, F.col("Identifiant_temporaire")),
     )
-    return F.substring(line, 1, RECORD_WIDTH)
+    return F.when(F.length(line) == RECORD_WIDTH, line).otherwise(
+        F.raise_error(F.concat(F.lit("a registry record has a width of "), F.coalesce(F.length(line).cast("string"), F.lit("null"))))
+    )
+
+
+class BadIdentities(ValueError):
+    pass
+
+
+def check_identities(people: DataFrame) -> None:
+    """Refuse people whose rows do not fit the layout, naming every broken rule and its rows."""
+    found = {k: n for k, n in identity_checks(people).first().asDict().items() if n}
+    if found:
+        raise BadIdentities(", ".join(f"{k}: {n}" for k, n in sorted(found.items())))
 
 
 def registry_lines(people: DataFrame, deposit: str, project: str, project_number: str) -> DataFrame:
@@ -134,10 +149,14 @@ def write_registry_file(
     """Write the file as ordered parts: joined in name order they are the fixed-width file.
 
     The range sort spreads the lines over as many tasks as needed; nothing is pulled into
-    one task just to have one file.
+    one task just to have one file.  Rows that break a rule of the layout refuse the whole
+    file before anything is written.
     """
+    check_identities(people)
+    if len(project) != PROJECT_WIDTH:
+        raise BadIdentities(f"the project name has {len(project)} characters, not {PROJECT_WIDTH}")
     lines = registry_lines(people, deposit, project, project_number)
-    lines.orderBy("ord", "sort_key", "value").select("value").write.text(path)
+    lines.orderBy("ord", "sort_key", "value").select("value").write.mode("overwrite").text(path)
 
 
 def read_registry_file(spark: SparkSession, path: str) -> DataFrame:

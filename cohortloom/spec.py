@@ -273,16 +273,9 @@ PUBLISHED: tuple[tuple[str, str, str], ...] = (
     ("Age_ATCD_Famil_Fille", "ATCD_Age_Cancer_Fille", PROPERTY),
     ("ATCD_Famil_Autre", "ATCD_Cancer_Autre", PROPERTY),
     ("Age_ATCD_Famil_Autre", "ATCD_Age_Cancer_Autre", PROPERTY),
-    ("DICOM_Studies", "DICOM_Studies", TECHNICAL),
 )
 # End of fixed values.
 
-# Columns of the joined table that never leave it: direct identifiers and join helpers.
-IDENTIFYING = (
-    "num_ref", "id_assure", "id_bci", "id_event", "NNI_2", "NNI_2_cle", "sexe", "nom", "nom_jf",
-    "prenom", "date_naiss", "email", "count", "person_id", "k_adicap", "k_adicap2",
-)
-
 SIDES = {"SD": "right breast", "SG": "left breast"}
 STAGES = {"L1": "first reading", "L2": "second reading", "BDI": "immediate assessment",
           "ATCD": "declared history", "Anapath": "pathology", "Trait": "treatment"}

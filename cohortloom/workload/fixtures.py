@@ -14,7 +14,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.session import spread
 from cohortloom.spec import FOLLOW_UP, POPULATION, RISK, SCREENING
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -439,7 +438,7 @@ class Data:
         table, columns, condition = VIEWS[name]
         df = self.table(table)
         if name.startswith("r_"):  # text of every column is made per row
-            df = spread(df)
+            df = df.repartition(self.spark.sparkContext.defaultParallelism)
         if condition:
             df = df.filter(condition)
         return df.selectExpr(*[f"{e} AS `{n}`" for n, e in columns.items()])

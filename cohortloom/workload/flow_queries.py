@@ -49,7 +49,7 @@ def exam_rows(d: Data) -> DataFrame:
 
 
 def exams_with_history(d: Data) -> DataFrame:
-    return exams.attach_history(exam_rows(d), appts(d), "id_bci")
+    return exams.mark_history(exam_rows(d), appts(d), "id_bci")
 
 
 def population_with_ids(d: Data) -> DataFrame:
@@ -141,7 +141,8 @@ def _(d):
 
 @query("flt_05_test_cohort", f"SELECT id_event FROM ex WHERE has_history AND {ACR5} AND age = 69", EXAMS)
 def _(d):
-    return filters.test_cohort(exams_with_history(d)).select("id_event")
+    held = exams.with_any_study(exam_rows(d), appts(d), "id_bci")
+    return filters.test_cohort(held.withColumn(filters.HISTORY, F.lit(True))).select("id_event")
 
 
 @query(
@@ -413,15 +414,19 @@ def _(d):
 
 # --- aggregations -------------------------------------------------------------------------
 
-HISTORY_SQL = """SELECT person_id, '{' || string_agg('"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '": [["' || uids || '"], '
- || CAST(files AS VARCHAR) || ']', ', ' ORDER BY ts) || '}' AS dicom_studies
- FROM (SELECT person_id, ts, string_agg(uid, '","' ORDER BY uid) AS uids, CAST(sum(files) AS BIGINT) AS files FROM appts GROUP BY 1, 2) t GROUP BY 1"""
+HISTORY_SQL = """SELECT person_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, string_agg(uid, ',' ORDER BY uid) AS uids,
+ CAST(sum(files) AS BIGINT) AS file_count FROM appts GROUP BY person_id, appts.ts"""
+
+
+def history_out(rows: DataFrame, person: str = "person_id") -> DataFrame:
+    return rows.select(
+        person, F.date_format("appointment_ts", history.TS_FORMAT).alias("ts"), F.array_join("uids", ",").alias("uids"), "file_count"
+    )
 
 
 @query("agg_01_exam_history", HISTORY_SQL, APPTS)
 def _(d):
-    nested = exams.person_history(appts(d))
-    return nested.select("person_id", history.history_json("history").alias("dicom_studies"))
+    return history_out(exams.history(appts(d)))
 
 
 PERSON = "num_ref, id_assure, id_bci, NNI_2, NNI_2_cle, sexe, nom, nom_jf, prenom, date_naiss, email"
@@ -793,25 +798,24 @@ def _(d):
 # --- nested histories ---------------------------------------------------------------------
 
 
-@query("jsn_01_history_json", HISTORY_SQL, APPTS)
+JSON_SQL = """SELECT person_id, '{"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '": [["' || string_agg(uid, '","' ORDER BY uid) || '"], '
+ || CAST(CAST(sum(files) AS BIGINT) AS VARCHAR) || ']}' AS dicom_studies FROM appts GROUP BY person_id, ts"""
+
+
+def history_texts(d: Data) -> DataFrame:
+    text = history.appointment_json("appointment_ts", "uids", "file_count")
+    return exams.history(appts(d)).select("person_id", text.alias("dicom_studies"))
+
+
+@query("jsn_01_history_json", JSON_SQL, APPTS)
 def _(d):
-    nested = exams.person_history(appts(d))
-    return nested.select("person_id", history.history_json("history").alias("dicom_studies"))
+    return history_texts(d)
 
 
-@query(
-    "jsn_02_parse_history",
-    """SELECT person_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, string_agg(uid, ',' ORDER BY uid) AS uids, CAST(sum(files) AS BIGINT) AS file_count
-    FROM appts GROUP BY person_id, ts""",
-    APPTS,
-)
+@query("jsn_02_parse_history", HISTORY_SQL, APPTS)
 def _(d):
-    texts = exams.person_history(appts(d)).select("person_id", history.history_json("history").alias("text"))
-    entries = texts.select("person_id", F.explode(history.parse_history("text")).alias("h"))
-    return entries.select(
-        "person_id", F.date_format("h.appointment_ts", history.TS_FORMAT).alias("ts"),
-        F.array_join("h.uids", ",").alias("uids"), F.col("h.file_count").alias("file_count"),
-    )
+    entries = history_texts(d).select("person_id", F.explode(history.parse_history("dicom_studies")).alias("h"))
+    return history_out(entries.select("person_id", "h.*"))
 
 
 @query("jsn_03_match_studies", "SELECT id_event, dicom_study FROM ex", EXAMS)
@@ -859,17 +863,16 @@ def _(d):
     APPTS,
 )
 def _(d):
-    nested = exams.person_history(appts(d))
-    return nested.select("person_id", F.array_join(history.first_appointment_uids("history"), ",").alias("uids"))
+    first = exams.first_appointment(appts(d)).groupBy("person_id").agg(F.array_sort(F.collect_set("uid")).alias("uids"))
+    return first.select("person_id", F.array_join("uids", ",").alias("uids"))
 
 
 @query("jsn_06_flatten_uids", "SELECT person_id, uid FROM appts", APPTS)
 def _(d):
-    return exams.person_history(appts(d)).select("person_id", F.explode(history.all_uids("history")).alias("uid"))
+    return exams.history(appts(d)).select("person_id", F.explode("uids").alias("uid"))
 
 
-@query("jsn_07_distinct_uids", "SELECT person_id, string_agg(uid, ',' ORDER BY uid) AS uids FROM (SELECT DISTINCT person_id, uid FROM appts) t GROUP BY 1", APPTS)
+@query("jsn_07_distinct_uids", "SELECT DISTINCT person_id, uid FROM appts", APPTS)
 def _(d):
-    nested = exams.person_history(appts(d))
-    doubled = F.concat(history.all_uids("history"), history.all_uids("history"))
-    return nested.select("person_id", F.array_join(history.distinct_uids(doubled), ",").alias("uids"))
+    doubled = exams.history(appts(d)).withColumn("uids", F.concat("uids", "uids"))
+    return exams.long_from_history(doubled).select("person_id", "uid").distinct()

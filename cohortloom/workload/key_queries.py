@@ -51,7 +51,7 @@ def _(d):
     f"SELECT {SUIVI_OUT} FROM v_suivi WHERE id_event IN (SELECT id_event FROM v_suivi GROUP BY id_event HAVING count(*) > 1)",
 )
 def _(d):
-    return suivi_out(keys.dup_rows(keys.notna_rows(d.v_suivi, "id_event"), "id_event", SUIVI_ORDER))
+    return suivi_out(keys.dup_rows(keys.notna_rows(d.v_suivi, "id_event"), "id_event"))
 
 
 @query(
@@ -82,7 +82,7 @@ def _(d):
     WHERE nni_2 IN (SELECT nni_2 FROM v_population GROUP BY nni_2 HAVING count(*) > 1)""",
 )
 def _(d):
-    na, dup = keys.unique_audit(d.v_population, "nni_2", ["id_bci"])
+    na, dup = keys.unique_audit(d.v_population, "nni_2")
     parts = [df.select(F.lit(kind).alias("kind"), "id_bci", "nni_2") for kind, df in (("na", na), ("dup", dup))]
     return parts[0].unionByName(parts[1])
 

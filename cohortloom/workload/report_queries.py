@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom import spec
 from cohortloom.functions import clean
-from cohortloom.functions.history import history_json
 from cohortloom.functions.uids import pseudo_uid
 from cohortloom.operators import cohort, duplicates, images, keys, numbering, profile, reports, shard
 from cohortloom.plans.catalog import Cohort
@@ -17,7 +18,8 @@ from cohortloom.sources import cohort_list, extracts, imaging, inventory, pages,
 from cohortloom.streaming import arrivals
 from cohortloom.workload.fixtures import Data
 from cohortloom.workload.flow_queries import (
-    APPTS, EXAMS, FLAGSHIP_CTES, HISTORY_SQL, NEAR, STUDIES_SQL, WITHOUT_STUDY, appts, exam_rows, population_with_ids, round_trip_rows,
+    APPTS, EXAMS, FLAGSHIP_CTES, HISTORY_SQL, NEAR, STUDIES_SQL, WITHOUT_STUDY, appts, exam_rows, history_out,
+    population_with_ids, round_trip_rows,
     studies, studies_out,
 )
 from cohortloom.workload.key_queries import GUID_CLEAN, GUID_KEYED, LINK_SQL
@@ -270,7 +272,7 @@ PSEUDO_SQL = (
     "SELECT "
     + ", ".join(f'{EXAM_COLUMNS[source]} AS "{name}"' for source, name, _ in spec.PUBLISHED if source in EXAM_COLUMNS)
     + f""", {AGE_SQL.format(c='r."Age_Mammo"')} AS "Age_Mammo",
-    i.n AS dicom_appointments, i.u AS dicom_uids, i.f AS dicom_files, n.uid AS "DICOM_Study", h.dicom_studies AS "DICOM_Studies", d._line AS "_l"
+    i.n AS dicom_appointments, i.u AS dicom_uids, i.f AS dicom_files, n.uid AS "DICOM_Study", d._line AS "_l"
     FROM {last_sql('r_depistage', 'Id_event')} d LEFT JOIN {last_sql('r_suivi', 'id_event')} s ON s.id_event = d."Id_event"
     LEFT JOIN {last_sql('r_risque', 'id_event')} r ON r.id_event = d."Id_event"
     LEFT JOIN r_adicap a ON s.k_adicap = a.code LEFT JOIN r_adicap a2 ON s.k_adicap2 = a2.code
@@ -279,7 +281,6 @@ PSEUDO_SQL = (
       FROM appts GROUP BY 1) i ON CAST(i.person_id AS VARCHAR) = d.id_bci
     LEFT JOIN (SELECT id_event, uid FROM (SELECT e.id_event, a.uid, row_number() OVER (PARTITION BY e.id_event ORDER BY a.ts, a.uid) AS rn
       FROM v_depistage e JOIN appts a ON a.person_id = e.id_bci AND {NEAR}) t WHERE rn = 1) n ON CAST(n.id_event AS VARCHAR) = d."Id_event"
-    LEFT JOIN ({HISTORY_SQL}) h ON CAST(h.person_id AS VARCHAR) = d.id_bci
     """
 )
 PSEUDO_CTES = APPTS + f""",
@@ -294,8 +295,8 @@ pseudo AS ({PSEUDO_SQL})"""
     PSEUDO_CTES,
 )
 def _(d):
-    table = cohort_of(d).depistage_pseudo().drop("DICOM_Studies_split")
-    shown = {"DICOM_Studies": history_json("DICOM_Studies")}
+    table = cohort_of(d).depistage_pseudo()
+    shown = {}
     for f in table.schema.fields:
         if isinstance(f.dataType, T.BooleanType):
             shown[f.name] = F.col(f.name).cast("string")
@@ -304,6 +305,17 @@ def _(d):
     return table.withColumns(shown)
 
 
+@query(
+    "pse_02_exam_history",
+    f"""SELECT m.id_random, h.ts, h.uids, h.file_count FROM ({HISTORY_SQL}) h JOIN v_mapping m ON m.id_bci = h.person_id
+    WHERE CAST(h.person_id AS VARCHAR) IN (SELECT id_bci FROM r_depistage WHERE id_bci IS NOT NULL AND "Id_event" IS NOT NULL)
+    AND CAST(h.person_id AS VARCHAR) IN (SELECT id_bci FROM r_population) AND m.id_random NOT IN (SELECT id_random FROM refused)""",
+    PSEUDO_CTES,
+)
+def _(d):
+    return history_out(cohort_of(d).exam_history(), "id_random")
+
+
 def uid_sql(person: str, uid: str) -> str:
     digest = f"sha256(CAST({person} AS VARCHAR) || '|' || {uid})"
     numbers = [f"CAST(CAST('0x' || substring({digest}, {start}, 15) AS BIGINT) AS VARCHAR)" for start in (1, 16)]
@@ -364,14 +376,11 @@ def _(d):
     return long.join(cohort.column_metadata(published).select("column", "sensitivity"), "column")
 
 
-SEAL_KEY = b"0123456789abcdef"
-
-
 @query("pse_07_sealed_mapping", "SELECT id_bci, id_random FROM v_mapping")
 def _(d):
-    path = scratch_path(d.spark, "sealed")
-    checksum = sinks.seal_mapping(d.v_mapping, path, SEAL_KEY)
-    return sinks.open_mapping(d.spark, path, SEAL_KEY, checksum)
+    path, key = scratch_path(d.spark, "sealed"), secrets.token_bytes(16)
+    checksum = sinks.seal_mapping(d.v_mapping, path, key)
+    return sinks.open_mapping(d.spark, path, key, checksum)
 
 
 @query(
@@ -391,6 +400,9 @@ def _(d):
     """SELECT 'cnam' AS table_name, CAST(count(*) AS BIGINT) AS n FROM people WHERE "NNI_2" IS NOT NULL
     UNION ALL SELECT 'depistage_pseudo', CAST(count(DISTINCT (id_random, "Date_Mammo")) AS BIGINT) FROM pseudo
       WHERE id_random IS NOT NULL AND "Date_Mammo" IS NOT NULL AND id_random NOT IN (SELECT id_random FROM refused)
+    UNION ALL SELECT 'exam_history', CAST(count(DISTINCT (person_id, ts)) AS BIGINT) FROM appts JOIN v_mapping m ON m.id_bci = person_id
+      WHERE m.id_random NOT IN (SELECT id_random FROM refused) AND CAST(person_id AS VARCHAR) IN (SELECT id_bci FROM r_population)
+      AND CAST(person_id AS VARCHAR) IN (SELECT id_bci FROM r_depistage WHERE id_bci IS NOT NULL AND "Id_event" IS NOT NULL)
     UNION ALL SELECT 'mail', CAST(count(DISTINCT email) AS BIGINT) FROM people
     UNION ALL SELECT 'table_correspondance', CAST(count(*) AS BIGINT) FROM people""",
     PSEUDO_CTES + """, people AS (SELECT p.*, m.id_random AS id_r FROM r_population p JOIN v_mapping m ON CAST(m.id_bci AS VARCHAR) = p.id_bci
@@ -468,9 +480,20 @@ STUDY_CTES = APPTS + f""",
 st AS (SELECT uid AS study_id, CAST(sum(files) AS BIGINT) AS files, CAST(min(person_id) % {SHARDS} AS INT) AS shard FROM appts GROUP BY 1)"""
 
 
-@query("shd_01_hash_shards")
+@query(
+    "shd_01_hash_shards",
+    f"SELECT DISTINCT uid AS study_id, CAST(1 AS BIGINT) AS shards, true AS in_range, {SHARDS} AS shards_used FROM appts WHERE uid IS NOT NULL",
+    APPTS,
+)
 def _(d):
-    return shard.with_shard(arrived_studies(d).select("study_id"), SHARDS)
+    """Every study in exactly one shard, however often and in whatever rows it comes; every shard in use."""
+    rows = shard.with_shard(appts(d).select(F.col("uid").alias("study_id")).dropna(), SHARDS)
+    again = shard.with_shard(arrived_studies(d).select("study_id").dropna(), SHARDS)
+    placed = rows.unionByName(again).groupBy("study_id").agg(
+        F.countDistinct("shard").alias("shards"), F.min(F.col("shard").between(0, SHARDS - 1)).alias("in_range")
+    )
+    used = again.agg(F.countDistinct("shard").cast("int").alias("shards_used"))
+    return placed.join(F.broadcast(used))  # one row
 
 
 @query(
@@ -681,8 +704,7 @@ def _(d):
 def _(d):
     path = scratch_path(d.spark, "mapping")
     d.v_mapping.write.option("header", True).csv(path)
-    sums = {r.file_name: r.md5 for r in extracts.file_checksums(d.spark, path, "*.csv").collect()}
-    return extracts.read_mapping(d.spark, path, sums)
+    return extracts.read_mapping(d.spark, path, extracts.mapping_manifest(d.spark, path))
 
 
 @query(
@@ -692,7 +714,7 @@ def _(d):
     FROM v_population""",
 )
 def _(d):
-    dummy = registry.dummy_identities(d.spark, d.v_population.count(), "2021-04-06")
+    dummy = registry.dummy_identities(d.v_population, "id_bci", "2021-04-06")
     return dummy.withColumnRenamed("NNI_2", "nni_2").withColumn("date_naiss", F.col("date_naiss").cast("string"))
 
 

@@ -51,37 +51,37 @@ def test_matching_equals_brute_force(world):
         assert got[event] == (near[0][1] if near else None)
 
 
-def test_matching_over_nested_form_agrees(world):
-    index, exam_df, _, _ = world
+@pytest.mark.parametrize("size", [201, 50_001])
+def test_long_histories_are_whole(spark, size):
+    day = dt.datetime(2020, 1, 1)
+    index = spark.range(size).select(
+        F.lit(1).cast("long").alias("person_id"),
+        F.timestamp_add("HOUR", (F.col("id") % (size // 3)).cast("int"), F.lit(day)).cast("timestamp_ntz").alias("appointment_date"),
+        F.concat(F.lit("u"), "id").alias("study_instance_uid"),
+    )
     appts = exams.appointments(index)
-    nested = exams.attach_history(exam_df, appts, "id_bci", max_uids=10_000)
-    nested = nested.select("id_event", history.first_uid_near("DICOM_Studies", "Date_Mammo").alias("s"))
-    flat = exams.match_studies(exam_df, appts, "id_bci", "Date_Mammo").select("id_event", F.col("DICOM_Study").alias("s"))
-    assert rows(nested) == rows(flat)
+    held = exams.history(appts)
+    assert held.count() == held.select("person_id", "appointment_ts").distinct().count() == size // 3
+    assert held.agg(F.sum(F.size("uids"))).first()[0] == held.agg(F.sum("file_count")).first()[0] == size
+    first = {r.uid for r in exams.first_appointment(appts).collect()}
+    assert first == {f"u{k}" for k in range(0, size, size // 3)}
+    text = history.appointment_json("appointment_ts", "uids", "file_count")
+    back = exams.long_from_json(held.select("person_id", text.alias("j")), "j")
+    assert back.exceptAll(appts.select("person_id", "appointment_ts", "uid")).count() == 0 and back.count() == size
 
 
-def test_history_parts_hold_everything(world):
-    index, exam_df, _, _ = world
-    appts = exams.appointments(index)
-    parts = exams.person_history(appts, max_uids=20)
-    assert parts.filter("parts > 1").select("person_id").distinct().count() >= 1
-    assert parts.filter("parts = 1").count() == parts.filter("parts = 1").select("person_id").distinct().count()
-    back = exams.long_from_history(parts)
-    assert rows(back) == rows(appts.select("person_id", "appointment_ts", "uid"))
-    files = parts.select(F.explode("history").alias("h")).agg(F.sum("h.file_count")).first()[0]
-    assert files == appts.agg(F.sum("files")).first()[0]
-    attached = exams.attach_history(exam_df, appts, "id_bci", max_uids=20)
-    assert attached.count() == exam_df.count()
-    assert attached.filter("DICOM_Studies_split AND size(DICOM_Studies) > 0").count() == 0
-    assert {r.id_bci for r in attached.filter("DICOM_Studies_split").select("id_bci").distinct().collect()} == {
-        r.person_id for r in parts.filter("parts > 1").select("person_id").distinct().collect()
-    }
+def test_mark_history(world):
+    index, exam_df, appts, ex = world
+    people = {p for p, _, _ in appts}
+    marked = {r.id_event: r.has_history for r in exams.mark_history(exam_df, exams.appointments(index), "id_bci").collect()}
+    assert marked == {event: person in people for event, person, _ in ex}
 
 
 def test_json_round_trip(world):
     index, _, _, _ = world
     appts = exams.appointments(index)
-    texts = exams.person_history(appts).select("person_id", history.history_json("history").alias("j"))
+    text = history.appointment_json("appointment_ts", "uids", "file_count")
+    texts = exams.history(appts).select("person_id", text.alias("j"))
     assert texts.first().j.startswith('{"20')
     assert rows(exams.long_from_json(texts, "j")) == rows(appts.select("person_id", "appointment_ts", "uid"))
 
@@ -137,12 +137,12 @@ def test_no_pairing_of_exams_and_appointments(world):
 
 def test_filters(spark):
     data = [
-        (1, "5", "1", "1", "1", True, 69, [1], "u"), (2, "1", "1", "1", "1", True, 69, [1], None),
-        (3, "1", "1", "1", "5", False, 70, None, "u"), (4, "1", None, "1", "5", None, 69, [1], "u"),
+        (1, "5", "1", "1", "1", True, 69, True, "u"), (2, "1", "1", "1", "1", True, 69, True, None),
+        (3, "1", "1", "1", "5", False, 70, False, "u"), (4, "1", None, "1", "5", None, 69, True, "u"),
     ]
     df = spark.createDataFrame(
         data, "id int, L1_ACR_SD string, L1_ACR_SG string, L2_ACR_SD string, L2_ACR_SG string, L1L2_positif boolean, "
-        "Age_Mammo int, DICOM_Studies array<int>, DICOM_Study string",
+        "Age_Mammo int, has_history boolean, DICOM_Study string",
     )
     assert rows(filters.apply_filter(df), "id") == [(1,), (2,), (4,)]
     assert rows(filters.apply_filter(df, "GET_ACR5"), "id") == [(1,), (4,)]

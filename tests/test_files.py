@@ -2,10 +2,11 @@ import base64
 import json
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortloom.functions.uids import pseudo_uid
 from cohortloom.operators import images, profile, reports
 from cohortloom.sources import extracts, imaging, inventory, pages, registry, sinks
 from cohortloom.streaming import arrivals
@@ -17,7 +18,7 @@ from cohortloom.streaming import arrivals
 @pytest.fixture(scope="module")
 def people(spark):
     return registry.registry_projection(
-        registry.dummy_identities(spark, 25, "2021-04-06")
+        registry.dummy_identities(spark.range(25), "id", "2021-04-06")
     )
 
 
@@ -85,7 +86,14 @@ def test_chunks(spark, tmp_path):
         content = base64.b64encode(text.encode()).decode()
         (tmp_path / f"c{i}.json").write_text(json.dumps({"total_chunks": 2, "chunk_index": i, "content": content}))
     assert rows(pages.read_chunks_csv(spark, str(tmp_path), schema)) == [(1, "é"), (2, "b"), (3, "c")]
+    quoted = base64.b64encode('id;name\n3;"c\nd"\n4;e\n'.encode()).decode()
+    (tmp_path / "c1.json").write_text(json.dumps({"total_chunks": 2, "chunk_index": 1, "content": quoted}))
+    assert rows(pages.read_chunks_csv(spark, str(tmp_path), schema)) == [(1, "é"), (2, "b"), (3, "c\nd"), (4, "e")]
+    (tmp_path / "c2.json").write_text(json.dumps({"total_chunks": 2, "chunk_index": 1, "content": quoted}))
+    with pytest.raises(pages.BrokenPages):  # a chunk twice
+        pages.read_chunks_csv(spark, str(tmp_path), schema)
     (tmp_path / "c1.json").unlink()
+    (tmp_path / "c2.json").unlink()
     with pytest.raises(pages.BrokenPages):
         pages.read_chunks_csv(spark, str(tmp_path), schema)
 
@@ -166,6 +174,65 @@ def test_sealed_mapping(spark, tmp_path):
         sinks.open_mapping(spark, path, key, (3, "0"))
     with pytest.raises(Exception):
         sinks.open_mapping(spark, path, b"x" * 16, checksum)
+    other = str(tmp_path / "t")
+    flipped = F.concat(F.substring("payload", 1, 20), F.unhex(F.lit("00")), F.substring("payload", 22, 1000))
+    spark.read.parquet(path).select(flipped.alias("payload")).write.parquet(other)
+    with pytest.raises(Exception):  # a changed row does not open
+        sinks.open_mapping(spark, other, key, checksum)
+    assert spark.read.parquet(path).columns == ["payload"]
+    assert "6b6b6b" not in plan(sinks.open_mapping(spark, path, key, checksum)).lower().replace(" ", "")
+
+
+def test_mapping_manifest(spark, tmp_path):
+    folder = tmp_path / "m"
+    (folder / "sub").mkdir(parents=True)
+    (folder / "a.csv").write_text("id_bci,id_random\n1,10\n")
+    (folder / "sub" / "a.csv").write_text("id_bci,id_random\n2,20\n")
+    manifest = extracts.mapping_manifest(spark, str(folder))
+    assert sorted(manifest) == ["a.csv", "sub/a.csv"]
+    assert rows(extracts.read_mapping(spark, str(folder), manifest)) == [(1, 10), (2, 20)]
+    (folder / "evil.txt").write_text("id_bci,id_random\n1,99\n")
+    with pytest.raises(extracts.ChecksumMismatch):
+        extracts.read_mapping(spark, str(folder), manifest)
+    (folder / "evil.txt").unlink()
+    (folder / "a.csv").write_text("id_bci,id_random\n1,11\n")
+    with pytest.raises(extracts.ChecksumMismatch):
+        extracts.read_mapping(spark, str(folder), manifest)
+    with pytest.raises(extracts.ChecksumMismatch):
+        extracts.read_mapping(spark, str(tmp_path / "nothing"), {})
+
+
+def test_several_files_for_a_table(spark, tmp_path):
+    for name in ("a adicap ks.csv", "b adicap ks.csv"):
+        (tmp_path / name).write_text("code;libelle\n")
+    with pytest.raises(extracts.SeveralExtracts):
+        extracts.route_file(spark, str(tmp_path), "adicap")
+
+
+def test_long_root_is_refused(spark):
+    uid = pseudo_uid(F.col("id"), F.lit("1.2"), "1" * 24)
+    made = spark.range(200).select(uid.alias("u"), F.length(uid).alias("n"))
+    assert made.select("u").distinct().count() == 200 and made.agg(F.max("n")).first()[0] <= 64
+    with pytest.raises(ValueError):
+        pseudo_uid("id", "uid", "1" * 25)
+
+
+def test_registry_refuses_what_does_not_fit(spark, people, tmp_path):
+    for column, value in (("Identifiant_temporaire", "x" * 23), ("NIR_du_beneficiaire", "1" * 12), ("Date_de_naissance", "1/2/1950")):
+        with pytest.raises(registry.BadIdentities):
+            registry.write_registry_file(people.withColumn(column, F.lit(value)), str(tmp_path / column), "06/04/2021", "PROJT", "042")
+        assert not (tmp_path / column).exists()
+    with pytest.raises(registry.BadIdentities):
+        registry.write_registry_file(people, str(tmp_path / "p"), "06/04/2021", "PROJECT", "042")
+
+
+def test_exports_can_be_repeated(spark, tmp_path):
+    mails = spark.createDataFrame([("a@b.fr",), ("bad",)], "email string")
+    for _ in range(2):
+        sinks.export_csv(spark.range(3), str(tmp_path / "c"))
+        sinks.export_emails(mails, str(tmp_path / "m"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 3
+    assert spark.read.option("header", True).csv(str(tmp_path / "m")).count() == 1
 
 
 def test_patch_batches(spark, tmp_path):
@@ -257,5 +324,18 @@ def test_arrivals_once_each(spark, tmp_path):
     run()
     assert rows(arrivals.arrived(spark, target), "k", "v") == [("a", 1), ("b", 1), ("c", 2)]
     again = spark.createDataFrame([("b", 2), ("c", 2)], schema)
-    arrivals.take_over(again, target, ["k"], 1)  # a repeated batch changes nothing
+    stream = arrivals.arrived(spark, target).first().stream
+    arrivals.take_over(again, target, ["k"], 1, stream)  # a repeated batch changes nothing
     assert rows(arrivals.arrived(spark, target), "k", "v") == [("a", 1), ("b", 1), ("c", 2)]
+
+
+def test_arrivals_with_a_new_checkpoint(spark, tmp_path):
+    inbox, target = (str(tmp_path / n) for n in ("in", "out"))
+    first = spark.createDataFrame([("a", 1, "x"), ("b", 5, "y"), ("b", 5, "z"), ("b", 1, "zz")], "k string, v int, w string")
+    first.write.parquet(inbox)
+    for check in ("one", "two"):  # the second one sees every file again, as its own batch 0
+        arrivals.follow_arrivals(spark, inbox, first.schema, target, str(tmp_path / check), ["k"])
+        assert rows(arrivals.arrived(spark, target), "k", "v", "w") == [("a", 1, "x"), ("b", 5, "z")]
+    first.limit(0).union(spark.createDataFrame([("c", 9, "n")], first.schema)).write.mode("append").parquet(inbox)
+    arrivals.follow_arrivals(spark, inbox, first.schema, target, str(tmp_path / "two"), ["k"])
+    assert rows(arrivals.arrived(spark, target), "k", "v", "w") == [("a", 1, "x"), ("b", 5, "z"), ("c", 9, "n")]
