@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.graph import components
-from cohortloom.llm.text import held, share_by_hash
+from cohortloom.llm.text import few_files, held, share_by_hash
 
 COSINE = 0.93
 #: Pivots are a sample of distinct vectors in the order of a hash: the square root of their number, within these bounds.
@@ -144,4 +144,5 @@ def near_duplicates(vectors: DataFrame, vec: str = "vec_id", embedding: str = "e
     classes = classes.select("label", "data", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "id").alias("c"))
     found = known.join(classes, ["label", "data"]).select("vec_id", F.col("n").alias("n_links"), F.col("c").alias("component_id"))
     alone = every.where("data IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return found.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    every = found.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    return few_files(every)

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import held, mix, parts, small_batches
+from cohortloom.llm.text import few_files, held, mix, parts, small_batches
+from cohortloom.session import durable
 
 WIDTH, GRAM = 200, 32
 CROWD, STEP = 4096, 8
@@ -203,18 +204,18 @@ def unpacked(column: pa.Array) -> list[bytes]:
 
 
 def _positions(texts: DataFrame, width: int, gram: int) -> DataFrame:
-    """h, copies, at, key: synchronising positions of every text, as arrays."""
+    """h, at, key: synchronising positions of every text, as arrays."""
 
     def run(batches):
         for batch in parts(batches):
-            names, copies = batch.column(0), batch.column(1)
-            for number, at, keys in sync_positions(unpacked(batch.column(2)), width, gram):
+            names = batch.column(0)
+            for number, at, keys in sync_positions(unpacked(batch.column(1)), width, gram):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[number].as_py()], pa.binary()), pa.array([copies[number].as_py()], pa.int64()), pa.array([at], pa.list_(pa.int64())), pa.array([keys.view(np.int64)], pa.list_(pa.int64()))],
-                    names=["h", "copies", "at", "key"],
+                    [pa.array([names[number].as_py()], pa.binary()), pa.array([at.astype(np.int32)], pa.list_(pa.int32())), pa.array([keys.view(np.int64)], pa.list_(pa.int64()))],
+                    names=["h", "at", "key"],
                 )
 
-    return texts.select("h", "copies", "z").mapInArrow(_joined(run), "h binary, copies long, at array<long>, key array<long>")
+    return texts.select("h", "z").mapInArrow(_joined(run), "h binary, at array<int>, key array<long>")
 
 
 def _joined(run, rows: int = 512):
@@ -234,66 +235,85 @@ def _joined(run, rows: int = 512):
 
 
 def _occurrences(texts: DataFrame, kept: DataFrame, width: int, gram: int) -> DataFrame:
-    """h, at, key and the digest c of the surroundings, for positions whose key occurs again."""
+    """h, at, key, the digest c of the surroundings and how far they reach, for positions whose key occurs again."""
 
     def run(batches):
         for batch in parts(batches):
             h, copies, places = [], [], batch.column(3).to_pylist()
-            at, key, c = [], [], []
+            at, key, c, lo, hi = [], [], [], [], []
             for name, n, text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), unpacked(batch.column(2)), places):
                 for x in own:
                     h.append(name)
                     copies.append(n)
                     at.append(x["at"])
                     key.append(x["key"])
-                    c.append(_digest(*_surroundings(text, x["at"], width, gram)))
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((h, copies, at, key, c), (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["h", "copies", "at", "key", "c"])
+                    left, right = _surroundings(text, x["at"], width, gram)
+                    c.append(_digest(left, right))
+                    lo.append(-len(left))
+                    hi.append(len(right))
+            kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((h, copies, at, key, c, lo, hi), kinds)], names=["h", "copies", "at", "key", "c", "lo", "hi"])
 
     own = kept.groupBy("h").agg(F.collect_list(F.struct("at", "key")).alias("own"))  # as long as the text at most
     joined = texts.join(own, "h").select("h", "copies", "z", "own")
-    return joined.mapInArrow(run, "h binary, copies long, at long, key long, c binary")
+    return joined.mapInArrow(run, "h binary, copies long, at int, key long, c binary, lo int, hi int")
 
 
-def _suffixes(texts: DataFrame, firsts: DataFrame, width: int, gram: int) -> DataFrame:
-    """Suffixes with their surroundings (g, c, n, left, right), and which suffix stands for which (origin, shift)."""
-    schema = "g long, c binary, n long, left binary, right binary, origin binary, shift long"
-    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
-    names = ["g", "c", "n", "left", "right", "origin", "shift"]
+def _crowded_places(text: bytes, x: dict, width: int, gram: int) -> Iterator[tuple[int, int, int, bytes, bytes, bytes]]:
+    """For a crowded position: shift, place, group, digest, left and right of the places that stand for it."""
+    for shift in range(0, min(x["at"], width - gram) + 1, STEP):
+        begin = x["at"] - shift
+        body = text[begin : begin + width - STEP]
+        if len(body) == width - STEP:  # else the text ends before; places further left have more of it
+            left, right = text[max(0, begin - STEP + 1) : begin], text[begin : begin + width]
+            yield shift, begin, int.from_bytes(_digest(body)[:8], "little", signed=True), _digest(b"crowded", left, right), left, right
+
+
+def _with_texts(texts: DataFrame, firsts: DataFrame, rows_of, names: list[str], kinds: list, schema: str) -> DataFrame:
+    """Rows made from every text and the surroundings that occur in it first."""
 
     def run(batches):
         for batch in batches:
-            rows, seen = [], {}
-            for text, own in ((t, o) for part in parts([batch]) for t, o in zip(unpacked(part.column(0)), part.column(1).to_pylist())):
-                counted = set()  # places of this text; two positions can lead to the same one
-                for x in own:
-                    left, right = _surroundings(text, x["at"], width, gram)
-                    if not x["crowded"]:
-                        rows.append((x["key"], x["c"], x["n"], left, right, x["c"], 0))
-                        continue
-                    if x["n"] > 1:  # repeated whole: known by itself, in a group of its own
-                        rows.append((int.from_bytes(x["c"][:8], "little", signed=True), x["c"], x["n"], left, right, x["c"], 0))
-                    for shift in range(0, len(left) + 1, STEP):
-                        begin = x["at"] - shift
-                        body = text[begin : begin + width - STEP]
-                        if len(body) < width - STEP:
-                            continue  # the text ends before; places further left have more of it
-                        a, b = text[max(0, begin - STEP + 1) : begin], text[begin : begin + width]
-                        c = _digest(b"crowded", a, b)
-                        if x["n"] == 1:
-                            rows.append((None, c, None, None, None, x["c"], shift))
-                        if c not in seen:
-                            g = int.from_bytes(_digest(body)[:8], "little", signed=True)
-                            seen[c] = [g, c, 0, a, b, None, None]
-                        if begin not in counted:
-                            seen[c][2] += 1
-                        counted.add(begin)
-            rows += map(tuple, seen.values())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), kinds)], names=names)
+            rows = []
+            for part in parts([batch]):
+                rows += rows_of(zip(unpacked(part.column(0)), part.column(1).to_pylist()))
+            columns = zip(*rows) if rows else [[] for _ in names]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds)], names=names)
 
     own = firsts.groupBy("h").agg(F.collect_list(F.struct("at", "key", "c", "n", "crowded")).alias("own"))
     return texts.join(own, "h").select("z", "own").mapInArrow(run, schema)
 
 
+def _suffixes(texts: DataFrame, firsts: DataFrame, width: int, gram: int) -> DataFrame:
+    """Suffixes with their surroundings: g, c, n, left, right.  Equal crowded ones are one row of a batch."""
+
+    def rows_of(pairs):
+        rows, seen = [], {}
+        for text, own in pairs:
+            counted = set()  # places of this text; two positions can lead to the same one
+            for x in own:
+                if not x["crowded"]:
+                    rows.append((x["key"], x["c"], x["n"], *_surroundings(text, x["at"], width, gram)))
+                    continue
+                for _, begin, g, c, left, right in _crowded_places(text, x, width, gram):
+                    if begin not in counted:
+                        seen.setdefault(c, [g, c, 0, left, right])[2] += 1
+                    counted.add(begin)
+        return rows + [tuple(v) for v in seen.values()]
+
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
+    return _with_texts(texts, firsts, rows_of, ["g", "c", "n", "left", "right"], kinds, "g long, c binary, n long, left binary, right binary")
+
+
+def _stand_ins(texts: DataFrame, firsts: DataFrame, width: int, gram: int) -> DataFrame:
+    """c, origin, shift: which suffixes stand for crowded surroundings that occur once."""
+
+    def rows_of(pairs):
+        return [(c, x["c"], shift) for text, own in pairs for x in own for shift, _, _, c, _, _ in _crowded_places(text, x, width, gram)]
+
+    return _with_texts(texts, firsts, rows_of, ["c", "origin", "shift"], [pa.binary(), pa.binary(), pa.int32()], "c binary, origin binary, shift int")
+
+
 def _search(suffixes: DataFrame, width: int, pieces: int) -> DataFrame:
     """c, before, after, repeat: what lies in a repeat around each suffix, share by share."""
 
@@ -328,22 +348,28 @@ def _search(suffixes: DataFrame, width: int, pieces: int) -> DataFrame:
 def find_repeats(texts: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """h, start, end, repeat: stretches of each distinct text that lie in a repeat, with their group."""
     spark = texts.sparkSession
-    places = held(_positions(texts, width, gram)).select("h", "copies", F.explode(F.arrays_zip("at", "key")).alias("x")).select("h", "copies", "x.at", "x.key")
+    arrays = held(_positions(texts, width, gram))
+    places = arrays.select("h", F.explode(F.arrays_zip("at", "key")).alias("x")).select("h", "x.at", "x.key")
     again = places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    found = held(_occurrences(texts, places.join(again, "key"), width, gram))
-    firsts = found.groupBy("c").agg(F.min("key").alias("key"), F.sum("copies").alias("n"), F.min(F.struct("h", "at")).alias("first"))
-    firsts = held(firsts.select("c", "key", "n", "first.h", "first.at"))
-    ways = firsts.groupBy("key").agg(F.count("*").alias("ways"))
-    crowded = ways.where(F.col("ways") > CROWD).select("key", F.lit(True).alias("crowded"))
-    several = firsts.where("n = 1").join(ways.where("ways > 1").select("key"), "key", "left_semi").union(firsts.where("n > 1").select("key", "c", "n", "h", "at"))
-    marked = several.join(crowded, "key", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
-    suffixes = held(_suffixes(texts, marked, width, gram))
-    real = suffixes.where("right IS NOT NULL").select("g", "c", "n", "left", "right")
-    pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), real.count() // SHARE + 1)
-    hits = _search(real, width, pieces)
-    stands = suffixes.where("origin IS NOT NULL").select("c", "origin", "shift")
-    hits = stands.join(hits, "c").select(F.col("origin").alias("c"), (F.lit(0) - F.col("shift") - F.col("before")).alias("lo"), (F.col("after") - F.col("shift")).alias("hi"), "repeat")
-    return found.select("h", "at", "c").join(hits, "c").select("h", (F.col("at") + F.col("lo")).alias("start"), (F.col("at") + F.col("hi")).alias("end"), "repeat")
+    kept = durable(few_files(places.join(again, "key")), "positions")  # the many positions that occur once are let go
+    arrays.unpersist()
+    found = held(_occurrences(texts, kept, width, gram))
+    extent = F.min(F.struct("key", "lo", "hi")).alias("x")  # the same for equal surroundings
+    firsts = found.groupBy("c").agg(extent, F.sum("copies").alias("n"), F.min(F.struct("h", "at")).alias("first"))
+    firsts = held(firsts.select("c", "x.key", "x.lo", "x.hi", "n", "first.h", "first.at"))
+    ways = firsts.groupBy("key").agg(F.count("*").alias("ways")).where("ways > 1")
+    varied = held(firsts.join(ways, "key").withColumn("crowded", F.col("ways") > CROWD).select("key", "c", "n", "h", "at", "crowded"))
+    pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), varied.count() // SHARE + 1)
+    crowded = varied.where("crowded AND n = 1")
+    hits = held(_search(_suffixes(texts, varied, width, gram), width, pieces))
+    plain = hits.select("c", (F.lit(0) - F.col("before")).alias("lo"), F.col("after").alias("hi"), "repeat")
+    moved = _stand_ins(texts, crowded, width, gram).join(hits, "c").select(
+        F.col("origin").alias("c"), (F.lit(0) - F.col("shift") - F.col("before")).alias("lo"), (F.col("after") - F.col("shift")).alias("hi"), "repeat"
+    )
+    # surroundings that occur again as they are need no comparison
+    whole = firsts.where((F.col("n") > 1) & (F.col("hi") - F.col("lo") >= width)).select("c", F.col("lo").cast("long"), F.col("hi").cast("long"), F.col("c").alias("repeat"))
+    spans = whole.union(plain).union(moved)
+    return found.select("h", "at", "c").join(spans, "c").select("h", (F.col("at") + F.col("lo")).alias("start"), (F.col("at") + F.col("hi")).alias("end"), "repeat")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -402,4 +428,5 @@ def dedup_texts(docs: DataFrame, text: str = "text", width: int = WIDTH, gram: i
 def removed(docs: DataFrame, doc: str = "doc_id") -> DataFrame:
     result, digest = dedup_texts(docs, with_text=False)
     slim = docs.select(F.col(f"`{doc}`").alias("doc_id"), digest.alias("h"))
-    return slim.join(result, "h").select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    found = slim.join(result, "h").select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    return few_files(found)

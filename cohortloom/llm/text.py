@@ -27,6 +27,11 @@ def held(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.DISK_ONLY)
 
 
+def few_files(df: DataFrame) -> DataFrame:
+    """As many partitions as the cluster has cores at most, for narrow results that are written as they are."""
+    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def small_batches(spark) -> None:
     """Arrow batches of BATCH_BYTES at most in this session: texts are wide, the default is meant for narrow rows."""
     for key, most in (("maxBytesPerBatch", BATCH_BYTES), ("maxRecordsPerBatch", 5000)):
