@@ -10,12 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.text import held
+from cohortloom.llm.text import few_files
 from cohortloom.session import durable
 
-#: Rounds after which the edges are written, so a lost executor never costs more than these.
-WRITE_EVERY = 4
-
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
@@ -40,10 +37,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (smallest node reachable) for every node of an edge between two nodes."""
     x, y = F.col(a), F.col(b)
     edges = edges.where(x != y).select(F.greatest(x, y).alias("hi"), F.least(x, y).alias("lo")).distinct()
-    edges, rounds = held(edges), 0
+    edges = durable(few_files(edges), "edges")
     while not _settled(edges):
-        rounds += 1
-        edges = _small_star(_large_star(edges))
-        edges = held(edges) if rounds % WRITE_EVERY else durable(edges, "edges")
+        edges = durable(few_files(_small_star(_large_star(edges))), "edges")
     roots = edges.select(F.col("lo").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(roots)
