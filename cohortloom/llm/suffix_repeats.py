@@ -30,7 +30,7 @@ from cohortloom.llm.text import few_files, held, mix, parts, small_batches
 from cohortloom.session import durable
 
 WIDTH, GRAM = 200, 32
-CROWD, STEP = 4096, 8
+CROWD, STEP = 32_768, 8
 #: Bytes of text that are hashed at once; a longer text is hashed in overlapping segments.
 SEGMENT = 1 << 18
 #: Suffixes in a task, about.
@@ -191,7 +191,7 @@ def distinct_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, obje
 
     def run(batches):
         for batch in parts(batches):
-            pack = zstandard.ZstdCompressor(level=3).compress
+            pack = zstandard.ZstdCompressor(level=6).compress
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack(t) for t in batch.column(1).to_pylist()], pa.binary())], names=["h", "z"])
 
     packed = docs.select(digest.alias("h"), whole.cast("binary").alias("text")).mapInArrow(run, "h binary, z binary")
