@@ -15,8 +15,8 @@ from types import ModuleType
 import numpy as np
 import pyarrow as pa
 
-#: Distinct pieces that a worker remembers; the first ones stay, later ones are known for a batch.
-REMEMBERED = 700_000
+#: Distinct pieces that a worker remembers before it starts over.
+REMEMBERED = 1_000_000
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -35,16 +35,17 @@ class _Pieces(dict):
         self.prefix, self.owner = prefix, owner
 
     def __missing__(self, piece: str) -> int:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            self[piece] = -1  # not cut safely
-            return -1
-        if piece[-1] in ".,;:!?" and piece[-2:-1].isalpha():  # the pre-tokenizer cuts such a mark off a letter
-            number = self.owner.joined(self[piece[:-1]], self.owner.first[piece[-1]])
+        owner = self.owner
+        if not piece.isprintable() or not piece:  # white space of any kind, and other odd characters
+            if not piece or piece[0].isspace() or piece[-1].isspace():
+                self[piece] = -1  # not cut safely
+                return -1
+            queue, what = owner.odd, self.prefix + piece
+        elif piece[-1] in ".,;:!?" and piece[-2:-1].isalpha():  # the pre-tokenizer cuts such a mark off a letter
+            queue, what = owner.pairs, (self[piece[:-1]], owner.first[piece[-1]])
         else:
-            number = self.owner.queued(self.prefix + piece)
-        self[piece] = number
-        if number >= self.owner.remembered:
-            self.owner.passing.append((self, piece))
+            queue, what = owner.lines, self.prefix + piece
+        number = self[piece] = owner.numbered(queue, what)
         return number
 
 
@@ -61,34 +62,21 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path or default_tokenizer())
         self.remembered = remembered
         (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.passing: list[tuple[dict, str]] = []
+        self._forget()
+
+    def _forget(self) -> None:
         self.size, self.lines, self.odd, self.pairs = 0, ([], []), ([], []), ([], [])
         self.first, self.later = _Pieces("", self), _Pieces(" ", self)
         self.flat = np.zeros(0, np.uint32)
         self.begin = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
 
-    def _forget(self) -> None:
-        """Back to the pieces remembered first, which are the frequent ones."""
-        for known, piece in self.passing:
-            del known[piece]
-        self.passing.clear()
-        self.size = min(self.size, self.remembered)
-        self.begin, self.length = self.begin[: self.size], self.length[: self.size]
-        self.flat = self.flat[: int((self.begin + self.length).max(initial=0))]
-
-    def _number(self, queue: tuple[list, list], what) -> int:
+    def numbered(self, queue: tuple[list, list], what) -> int:
         queue[0].append(self.size)
         queue[1].append(what)
         self.size += 1
         return self.size - 1
 
-    def queued(self, text: str) -> int:
-        return self._number(self.lines if len(text.split()) == 1 and text.lstrip(" ").isprintable() else self.odd, text)
-
-    def joined(self, stem: int, mark: int) -> int:
-        return self._number(self.pairs, (stem, mark))
-
     def _learn(self) -> None:
         if len(self.begin) == self.size:
             return
@@ -124,7 +112,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids and the number of ids of each text; an empty text has none."""
-        if self.passing:
+        if self.size > self.remembered:
             self._forget()
         numbers = [self._numbers(text) for text in texts]
         self._learn()
@@ -149,9 +137,7 @@ class Encoder:
         """Number of a piece that may begin or end in white space, under a key that no piece of a split has."""
         key = " " + piece
         if key not in known:
-            known[key] = self._number(self.odd, known.prefix + piece)
-            if known[key] >= self.remembered:
-                self.passing.append((known, key))
+            known[key] = self.numbered(self.odd, known.prefix + piece)
         return known[key]
 
 
