@@ -28,8 +28,13 @@ def held(df: DataFrame) -> DataFrame:
 
 
 def few_files(df: DataFrame) -> DataFrame:
-    """As many partitions as the cluster has cores at most, for narrow results that are written as they are."""
-    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+    """An eighth of the session's shuffle partitions, or one for each core if that is more.
+
+    For narrow tables that are written as they are: their files follow the size of the job, not of
+    every shuffle in it.
+    """
+    spark = df.sparkSession
+    return df.coalesce(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
 
 
 def small_batches(spark) -> None:
