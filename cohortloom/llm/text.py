@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -57,6 +59,14 @@ def parts(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: a Python worker lives on after its task and serves others."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # no such call outside glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def gathered(batches, limit: int) -> Iterator[pa.RecordBatch]:
@@ -70,6 +80,8 @@ def gathered(batches, limit: int) -> Iterator[pa.RecordBatch]:
             kept, size = [], 0
     if kept:
         yield from pa.Table.from_batches(kept).combine_chunks().to_batches()
+    kept.clear()
+    give_back()
 
 
 def pieces(texts: list[bytes], limit: int = PIECE_BYTES) -> Iterator[slice]:
