@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that a task works on at once; its arrays are a small multiple of this.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 #: Bytes of an Arrow batch between Spark and a task's Python worker.
 BATCH_BYTES = 4 << 20
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Distinct pieces that a worker remembers before it starts over.
-REMEMBERED = 700_000
+REMEMBERED = 500_000
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
