@@ -2,8 +2,9 @@
 
 Every vector is described by the ordered list of its nearest pivots.  Inverted lists, one for each
 pivot and label, bring together vectors that have the pivot among their nearest; two of them are
-candidates if they share enough pivots, and candidates are verified by their cosine.  Equal vectors
-are one entry.  A long list is cut into chunks that meet in pairs, so no list is gathered whole, and
+candidates if they share enough pivots, or one that both are close to, and candidates are verified by
+their cosine.  Pivots keep a distance from each other, so a large group of near copies has few of them
+and its members share them.  Equal vectors are one entry.  A long list is cut into chunks that meet in pairs, so no list is gathered whole, and
 a task returns link counts and a spanning set of links, not all links.
 """
 
@@ -19,7 +20,8 @@ from cohortloom.llm.graph import components
 from cohortloom.llm.text import few_files, held, share_by_hash
 
 COSINE = 0.93
-#: Pivots are a sample of distinct vectors in the order of a hash: the square root of their number, within these bounds.
+#: Pivots are distinct vectors in the order of a hash, less those close to an earlier one: the square root of their
+#: number at most, within these bounds, out of a sample of MOST_PIVOTS.
 LEAST_PIVOTS, MOST_PIVOTS = 64, 4096
 #: Nearest pivots of a vector, and how many of them two candidates share at least.
 NEAREST, SHARED = 8, 3
@@ -48,19 +50,36 @@ def unit(data) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-def choose_pivots(distinct: DataFrame, number: int | None = None) -> dict[int, np.ndarray]:
-    """Pivots by dimension; the sample has MOST_PIVOTS vectors at most."""
+def close(cosine: float) -> float:
+    """Cosine of twice the angle at which vectors are linked: what two vectors linked to a third have at least."""
+    return 2 * cosine * cosine - 1 if cosine > 0 else -1.0
+
+
+def choose_pivots(distinct: DataFrame, number: int | None = None, apart: float = close(COSINE)) -> dict[int, np.ndarray]:
+    """Pivots by dimension, `number` at most; no two of a dimension have a cosine of `apart` or more."""
     there = distinct.count()
     number = number or min(MOST_PIVOTS, max(LEAST_PIVOTS, int(there**0.5)))
-    rows = distinct.where(share_by_hash(F.col("data"), number, there)).orderBy(F.xxhash64("id", "data"), "id").limit(number).select("data").collect()
+    drawn = max(number, MOST_PIVOTS)
+    rows = distinct.where(share_by_hash(F.col("data"), drawn, there)).orderBy(F.xxhash64("id", "data"), "id").limit(drawn).select("data").collect()
     by_size: dict[int, list] = {}
-    for row in rows:
-        by_size.setdefault(len(row["data"]) // 8, []).append(row["data"])
-    return {size: unit(data) for size, data in by_size.items()}
-
-
-def describe(distinct: DataFrame, pivots: dict[int, np.ndarray], nearest: int = NEAREST) -> DataFrame:
-    """Adds `near`: numbers of the nearest pivots, the nearest first.
+    for place, row in enumerate(rows):
+        by_size.setdefault(len(row["data"]) // 8, []).append((place, row["data"]))
+    thinned = []
+    for size, own in by_size.items():
+        points = unit([data for _, data in own])
+        free = np.ones(len(own), bool)
+        for k, (place, _) in enumerate(own):
+            if free[k]:
+                thinned.append((place, size, points[k]))
+                free &= points @ points[k] < apart
+    pivots: dict[int, list] = {}
+    for _, size, point in sorted(thinned, key=lambda t: t[0])[:number]:
+        pivots.setdefault(size, []).append(point)
+    return {size: np.stack(points) for size, points in pivots.items()}
+
+
+def describe(distinct: DataFrame, pivots: dict[int, np.ndarray], nearest: int = NEAREST, apart: float = close(COSINE)) -> DataFrame:
+    """Adds `near`: numbers of the nearest pivots, the nearest first; and `within`: how many have a cosine of `apart` or more.
 
     A vector of a dimension without pivots has the one list 0, which finds it as the index would.
     """
@@ -69,28 +88,37 @@ def describe(distinct: DataFrame, pivots: dict[int, np.ndarray], nearest: int =
     def run(batches):
         for batch in batches:
             data = batch.column("data").to_pylist()
-            near = [[0]] * len(data)
+            near, within = [[0]] * len(data), [0] * len(data)
             for size, points in shared.value.items():
                 own = [i for i, d in enumerate(data) if len(d) == 8 * size]
                 for k in range(0, len(own), CHUNK):
                     rows = own[k : k + CHUNK]
-                    order = np.argsort(-(unit([data[i] for i in rows]) @ points.T), axis=1, kind="stable")[:, :nearest]
-                    for i, o in zip(rows, order.tolist()):
-                        near[i] = o
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.list_(pa.int32()))], names=[*batch.schema.names, "near"])
+                    cosines = unit([data[i] for i in rows]) @ points.T
+                    order = np.argsort(-cosines, axis=1, kind="stable")[:, :nearest]
+                    there = (np.take_along_axis(cosines, order, axis=1) >= apart).sum(axis=1)
+                    for i, o, n in zip(rows, order.tolist(), there.tolist()):
+                        near[i], within[i] = o, n
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.list_(pa.int32())), pa.array(within, pa.int32())], names=[*batch.schema.names, "near", "within"])
 
-    return distinct.mapInArrow(run, "id long, label string, data binary, size int, copies long, near array<int>")
+    return distinct.mapInArrow(run, "id long, label string, data binary, size int, copies long, near array<int>, within int")
 
 
 def _links(shared: int, cosine: float):
-    """Links of two chunks of an inverted list: for each linked vector its links and the least id of its group."""
+    """Links of two chunks of an inverted list: for each linked vector its links and the least id of its group.
+
+    A pivot that both vectors are close to counts as `shared` of them, for near copies of a vector
+    differ in their further pivots.
+    """
+
+    strong = float(np.ceil(shared**0.5))  # its square is `shared` at least
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         pivot, i, j = int(rows["pivot"].iloc[0]), int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
         ids, copies, v = rows["id"].to_numpy(), rows["copies"].to_numpy(), unit(rows["data"])
         marks = np.zeros((len(rows), int(rows["near"].map(max).max()) + 1), np.float32)
-        for k, near in enumerate(rows["near"]):
+        for k, (near, within) in enumerate(zip(rows["near"], rows["within"])):
             marks[k, near] = 1
+            marks[k, near[:within]] = strong
         depth = rows["near"].map(len).to_numpy()
         left, right = np.flatnonzero(rows["chunk"] == i), np.flatnonzero(rows["chunk"] == j)
         need = np.minimum(shared, np.minimum(depth[left][:, None], depth[right][None, :]))
@@ -130,7 +158,7 @@ def near_duplicates(vectors: DataFrame, vec: str = "vec_id", embedding: str = "e
     known = every.where("data IS NOT NULL")
     distinct = known.groupBy("label", "data").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     distinct = held(distinct.select("id", "label", "data", (F.octet_length("data") / 8).cast("int").alias("size"), "copies"))
-    indexed = held(describe(distinct, choose_pivots(distinct, pivots), nearest))
+    indexed = held(describe(distinct, choose_pivots(distinct, pivots, close(cosine)), nearest, close(cosine)))
     lists = ["label", "size", "pivot"]
     posted = indexed.withColumn("pivot", F.explode("near"))
     chunks = posted.groupBy(lists).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))

@@ -120,6 +120,22 @@ def test_index_finds_brute_force_links(spark, monkeypatch, chunk):
         assert got[i]["kept"] == (got[i]["component_id"] == i)
 
 
+@pytest.mark.parametrize("alike", [0.95, 0.92])
+def test_index_finds_links_of_a_hot_group(spark, alike):
+    """A third of all distinct vectors are near copies of one."""
+    rng = np.random.default_rng(7)
+    centre = rng.standard_normal(64)
+    hot = centre / np.linalg.norm(centre) + (1 / alike - 1) ** 0.5 / 8 * rng.standard_normal((700, 64))
+    v = np.concatenate([hot, rng.standard_normal((1400, 64))])
+    df = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in pivot_index.near_duplicates(df, pivots=300).collect()}
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    linked = ((v @ v.T >= 0.93) & ~np.eye(len(v), dtype=bool)).sum(axis=1)
+    counts = np.array([got[i] for i in range(len(v))])
+    assert linked.sum() > 50000 and (counts <= linked).all() and counts.sum() >= 0.95 * linked.sum()
+    assert (counts[linked > 0] > 0).all()
+
+
 def test_index_edge_rows(spark):
     inf = float("inf")
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], None), (4, None, 1), (5, [0.0, 0.0], 1), (6, [1.0, None], 1), (7, [inf, 1.0], 1), (8, [1.0, 0.0, 0.0], 1), (None, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (9, [], 1), (10, [3e38, 0.0], 1), (11, [1e-40, 0.0], 1)]
