@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import map_texts, mix, parts, pieces, share_by_hash, small_batches, utf8
+from cohortloom.llm.text import bounded_rows, map_texts, mix, parts, pieces, share_by_hash, small_batches, utf8
 from cohortloom.llm.zstd_quality import fold
 
 BITS, ORDERS = 15, (1, 2, 3)
-#: Weights are fitted on so many bytes of text at most, shared equally by the languages, in the order of a hash of the id.
+#: Weights are fitted on so many bytes of text at most, shared equally by the languages, in the order of a hash of the id;
+#: the longest texts of a language that has more give excerpts.
 SAMPLE_BYTES, SAMPLE_ROWS = 12_000_000, 8000
 EPOCHS, BATCH, ALPHA, BETA, L1, L2 = 4, 32, 0.5, 1.0, 0.02, 0.1
 #: Shares are small numbers; this brings a feature that fills a hundredth of a text to one.
@@ -141,11 +142,10 @@ def fit(known: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     for lang in languages:
         enough = enough | ((F.col("lang") == lang) & share_by_hash(F.col("place"), wanted, there[lang]))
     picked = known.where(enough).withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= wanted)
-    picked = picked.withColumn("bytes", F.sum(F.octet_length("text")).over(first.rowsBetween(Window.unboundedPreceding, 0)))
-    sample = picked.where(F.col("bytes") <= SAMPLE_BYTES // len(languages)).orderBy("place").select("text", "lang").collect()
+    sample = bounded_rows(picked, "lang", SAMPLE_BYTES // len(languages), ["place"])
     idf = np.where(frequency > 0, np.log((1 + rows) / (1 + frequency)) + 1, 0.0)
-    labels = np.array([languages.index(r["lang"]) for r in sample], np.int64)
-    features = [s for k in range(0, len(sample), 64) for s in shares([r["text"].encode() for r in sample[k : k + 64]])]
+    labels = np.array([languages.index(lang) for lang, _ in sample], np.int64)
+    features = [s for k in range(0, len(sample), 64) for s in shares([text for _, text in sample[k : k + 64]])]
     held = np.arange(len(sample)) % 5 == 4
     fitted = np.flatnonzero(~held) if held.any() else np.arange(len(sample))
     if len(fitted) == 0:

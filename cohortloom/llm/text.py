@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -144,6 +145,55 @@ def share_by_hash(place, wanted: int, there: int):
     return F.pmod(F.xxhash64(place, F.lit("share")), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
 
 
+def excerpt(text: bytes, most: int, chunk: int = 1024) -> bytes:
+    """The text, or if it is longer than `most` bytes, chunks of whole characters chosen by a hash from all of it, in order."""
+    if len(text) <= most:
+        return text
+    chunk, cuts = max(4, min(chunk, most)), [0]
+    while cuts[-1] < len(text):
+        at = min(len(text), cuts[-1] + chunk)
+        while at < len(text) and text[at] & 0xC0 == 0x80 and at > cuts[-1] + 1:
+            at -= 1
+        cuts.append(at)
+    sizes = np.diff(cuts)
+    places = np.array([zlib.crc32(text[a:b], k) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))], np.uint64)
+    order = np.argsort(mix(places), kind="stable")
+    chosen = np.sort(order[np.cumsum(sizes[order]) <= most])
+    return b"".join(text[cuts[k] : cuts[k + 1]] for k in chosen)
+
+
+def level(lengths: list[int], most: int) -> int:
+    """The largest length to which texts of these lengths can be bounded so that together they have at most `most`."""
+    left = most
+    for k, n in enumerate(sorted(lengths)):
+        if n * (len(lengths) - k) > left:
+            return left // (len(lengths) - k)
+        left -= n
+    return max(lengths, default=0)
+
+
+def bounded_rows(rows: DataFrame, kind: str, most: int, order: list[str]) -> list[tuple]:
+    """A sample of few rows as (kind, UTF-8 text) in the given order; the texts of a kind have `most` bytes at most.
+
+    No row is left out: where there are more bytes, the longest texts give an `excerpt`, all of the
+    same length.  `text` and `kind` are not null.
+    """
+    small_batches(rows.sparkSession)
+    rows = held(rows.select(F.struct(*order).alias("order"), F.col(kind).alias("kind"), "text"))
+    lengths: dict = {}
+    for r in rows.select("kind", F.octet_length("text").alias("n")).collect():
+        lengths.setdefault(r["kind"], []).append(r["n"])
+    limits = {k: level(n, most) for k, n in lengths.items()}
+    schema = T.StructType([rows.schema["order"], rows.schema["kind"], T.StructField("text", T.BinaryType())])
+
+    def run(batches):
+        for batch in parts(batches):
+            made = [excerpt(t, limits[k]) for k, t in zip(batch.column(1).to_pylist(), utf8(batch.column(2)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary())], names=schema.names)
+
+    return [(r["kind"], bytes(r["text"])) for r in rows.mapInArrow(run, schema).orderBy("order").collect()]
+
+
 def lower_words(text: bytes) -> list[bytes]:
     """Words `[^\\x20\\x09-\\x0D]+` with A-Z in lower case; bytes.lower and bytes.split are ASCII only."""
     return text.lower().split()

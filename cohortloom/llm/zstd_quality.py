@@ -13,11 +13,11 @@ from collections.abc import Callable
 
 import numpy as np
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import map_texts, share_by_hash
+from cohortloom.llm.text import bounded_rows, map_texts, share_by_hash
 
 #: The classifier is fitted on at most so many labelled rows and bytes of either class.
 SAMPLE_ROWS, SAMPLE_BYTES = 2000, 8_000_000
@@ -121,6 +121,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, keep, doc: str = "doc_id
     """At most SAMPLE_ROWS rows and SAMPLE_BYTES of each class, in the order of a hash of the id.
 
     Conflicting labels of an id, null labels and null texts are left out; a repeated id counts once.
+    A class that has more bytes keeps its rows, with excerpts of its longest texts.
     """
     known = labels.select(F.col(f"`{doc}`").alias("id"), F.col(f"`{label}`").cast("int").alias("q")).where("id IS NOT NULL AND q IS NOT NULL")
     known = known.groupBy("id").agg(F.min("q").alias("q"), F.max("q").alias("top")).where("q = top AND q IN (0, 1)").drop("top")
@@ -130,10 +131,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, keep, doc: str = "doc_id
     picked = first[0].union(first[1])  # 2 * SAMPLE_ROWS rows at most
     texts = docs.select(F.col(f"`{doc}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).where("text IS NOT NULL")
     found = texts.join(F.broadcast(picked), "id").dropDuplicates(["id"])
-    upto = Window.partitionBy("q").orderBy("place", "id").rowsBetween(Window.unboundedPreceding, 0)
-    found = found.withColumn("bytes", F.sum(F.octet_length("text")).over(upto)).where(F.col("bytes") <= SAMPLE_BYTES)
-    rows = found.orderBy("place", "id").select("q", "text").collect()
-    return [(q, t.encode()) for q, t in rows]
+    return bounded_rows(found, "q", SAMPLE_BYTES, ["place", "id"])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, keep=None, doc: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.llm import gru_lm, langid, packing, repair_store, wrappers, zstd_quality
+from cohortloom.llm import gru_lm, langid, packing, repair_store, text, wrappers, zstd_quality
 from cohortloom.llm.token_ids import Encoder
 
 ODD = ["", " ", "\n", "  a b", "a  b ", " x", "x \n y", "a\xa0 b", "<|endoftext|> a <|endoftext|>b", "don't 's  're", "\0a b", "tab\t x", "ünï cödé 漢字 かな", "a.b, c! d?", "x" * 3000, "word. Word.  word,\n\nword"]
@@ -225,6 +225,33 @@ def test_language_edge_rows(spark):
     assert {r["lang_pred"] for r in langid.languages_of(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_long_texts_do_not_end_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(zstd_quality, "SAMPLE_BYTES", 40_000)
+    words = {1: "clear plain sentence about the garden ", 0: "buy cheap pills now click here "}
+    docs = spark.createDataFrame([(i, words[i % 2] * (1500 if i % 10 < 2 else 4) + str(i)) for i in range(100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
+    rows = zstd_quality.labelled_sample(docs, labels, lambda _: F.lit(True))
+    for q in (0, 1):
+        own = [t for k, t in rows if k == q]
+        assert len(own) == 50 and 20_000 < sum(map(len, own)) <= 40_000 and min(map(len, own)) > 100
+    got = zstd_quality.quality(docs, labels).join(labels, "doc_id").toPandas()
+    assert (got.predicted == got.quality).mean() >= 0.9
+
+
+def test_language_of_long_texts_only(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 60_000)
+    rows = [(i, f"{i} " + ("das Mädchen hört die Vögel über dem Fluß " * 900 if i % 2 else "the dog and the cat "), "de" if i % 2 else "en") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert all(r["lang_pred"] == ("de" if r["doc_id"] % 2 else "en") for r in langid.languages_of(docs).collect())
+
+
+def test_excerpts():
+    long = "".join(chr(0x100 + k % 900) for k in range(20_000)).encode()
+    made = text.excerpt(long, 5000)
+    assert 3900 < len(made) <= 5000 and made.decode() and made[-1024:] in long and text.excerpt(long, len(long)) == long
+    assert text.level([5, 50, 7, 90], 52) == 20 and text.level([5, 7], 12) == 7 and text.level([], 9) == 0
+
+
 def test_weights_are_sparse():
     samples = langid.shares([b"the dog and the cat", b"der hund und die katze"] * 20)
     w, _ = langid.train(samples, np.array([0, 1] * 20), 2, np.ones(1 << langid.BITS))
