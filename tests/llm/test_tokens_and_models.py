@@ -292,6 +292,22 @@ def test_wrapper_finds_the_varying_part():
     assert expression == "<page><ul>(<li>#</li>)+</ul>(<hr></hr>)?</page>"
 
 
+def test_texts_of_few_pages_are_not_fixed():
+    plain = [f"<body><p>first of page {k}</p><p>second of page {k}</p></body>" for k in range(4)]
+    quoted = "<body><p>opening</p><blockquote>A quote</blockquote><p>closing</p></body>"
+    _, path, fixed = wrappers.infer([*plain, quoted])
+    assert wrappers.main_text(quoted, path, set(fixed)) == "opening\nA quote\nclosing"
+    assert wrappers.main_text(plain[1], path, set(fixed)) == "first of page 1\nsecond of page 1"
+
+
+def test_fixed_texts_go_at_their_place_only():
+    made = [f"<body><h3>Our journal</h3><p>text {k} a</p><p>text {k} b</p><ul><li>Follow us</li></ul></body>" for k in range(4)]
+    _, path, fixed = wrappers.infer(made)
+    quoting = "<body><h3>Our journal</h3><p>Follow us</p><p>Our journal</p><ul><li>Follow us</li></ul></body>"
+    assert wrappers.main_text(made[0], path, set(fixed)) == "text 0 a\ntext 0 b"
+    assert wrappers.main_text(quoting, path, set(fixed)) == "Follow us\nOur journal"
+
+
 def test_deep_nesting():
     assert wrappers.main_text("<div>" * 5000 + "deep" + "</div>" * 5000, [], set()) == "deep"
     assert wrappers.infer(["<div>" * 5000 + "deep"])[0]
