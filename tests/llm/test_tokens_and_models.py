@@ -308,6 +308,21 @@ def test_fixed_texts_go_at_their_place_only():
     assert wrappers.main_text(quoting, path, set(fixed)) == "Follow us\nOur journal"
 
 
+WORDED = [
+    "<body class='single has-sidebar comments-open'><article class='post tag-social'><p>text {k}</p><div class='ad'>Buy</div></article></body>",
+    "<body><div id='article-with-sidebar'><article><p>text {k}</p></article></div></body>",
+    "<body><div class='page'><div class='content has-sidebar'><p>text {k}</p></div></div><div class='ad'>Buy</div></body>",
+    "<body><div class='related'><article>See</article></div><article><p>text {k}</p></article></body>",
+]
+
+
+@pytest.mark.parametrize("form", WORDED)
+def test_words_do_not_make_the_article_frame(form):
+    pages = [form.replace("{k}", f"{k} of this page") for k in "abcd"]
+    _, path, fixed = wrappers.infer(pages)
+    assert [wrappers.main_text(p, path, set(fixed)) for p in pages] == [f"{k} of this page".join(["text ", ""]) for k in "abcd"]
+
+
 def test_deep_nesting():
     assert wrappers.main_text("<div>" * 5000 + "deep" + "</div>" * 5000, [], set()) == "deep"
     assert wrappers.infer(["<div>" * 5000 + "deep"])[0]
