@@ -3,7 +3,21 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from cohortloom.llm import gru_lm, jaccard_join, langid, packing, pivot_index, repair_store, suffix_repeats, wrappers, wu_manber, zstd_quality
+from cohortloom.llm import (
+    divergence,
+    gru_lm,
+    jaccard_join,
+    langid,
+    packing,
+    permuterm,
+    piece_spans,
+    pivot_index,
+    repair_store,
+    suffix_repeats,
+    wrappers,
+    wu_manber,
+    zstd_quality,
+)
 from cohortloom.llm.text import lower_sql, table
 
 QUERIES, ORACLES = {}, {}
@@ -115,3 +129,67 @@ def op1(spark, folder):
 @query("op5_main_text")
 def op5(spark, folder):
     return wrappers.main_texts(table(spark, folder, "pages"))
+
+
+@query("op11_piece_spans")
+def op11(spark, folder):
+    return piece_spans.digests(table(spark, folder, "documents"))
+
+
+@query(
+    "op12_spelling_groups",
+    f"""
+WITH RECURSIVE crc AS (
+  SELECT i, list_reduce([CAST(i AS UBIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, CAST(3988292384 AS UBIGINT)) ELSE a >> 1 END) AS v
+  FROM range(256) AS t(i)),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all({lower_sql("text")}, '[A-Za-zÀ-ÿ]+')) AS w FROM documents),
+pairs AS (SELECT id, w, count(*) AS n, hex(encode(id || ':' || w)) AS x FROM runs GROUP BY ALL),
+step(id, w, n, x, k, c) AS (
+  SELECT id, w, n, x, 0, CAST(4294967295 AS UBIGINT) FROM pairs
+  UNION ALL
+  SELECT id, w, n, x, k + 1, xor(c >> 8, v) FROM step JOIN crc ON i = xor(c, CAST('0x' || substr(x, 2 * k + 1, 2) AS UBIGINT)) & 255 WHERE 2 * k < len(x)),
+sums AS (SELECT w, n, xor(c, CAST(4294967295 AS UBIGINT)) AS h FROM step WHERE 2 * k = len(x)),
+made AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, CAST(h % len(w) AS BIGINT)) || substr(w, CAST(h % len(w) AS BIGINT) + 2) ELSE w END AS word, n FROM sums),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM made WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, n, i, substr(word, 1, i) AS a, substr(word, i + 2) AS b FROM (SELECT word, n, unnest(range(len(word))) AS i FROM words)),
+one AS (
+  SELECT x.word, y.word AS near FROM cut AS x JOIN cut AS y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word != y.word
+  UNION SELECT cut.word, words.word FROM cut JOIN words ON words.word = a || b
+  UNION SELECT words.word, cut.word FROM cut JOIN words ON words.word = a || b),
+ranked AS (SELECT one.word, near, v.n AS near_n, w.n, row_number() OVER (PARTITION BY one.word ORDER BY v.n DESC, near) AS k, count(*) OVER (PARTITION BY one.word) AS n_near
+           FROM one JOIN words AS v ON v.word = near JOIN words AS w ON w.word = one.word),
+form AS (SELECT word, near AS form, near_n AS form_n FROM ranked WHERE k = 1 AND near_n >= 5 * n),
+chain(word, spot) AS (SELECT word, word FROM words UNION ALL SELECT chain.word, form.form FROM chain JOIN form ON form.word = spot),
+ends AS (SELECT chain.word, spot AS root FROM chain ANTI JOIN form ON form.word = spot)
+SELECT words.word, form, root, words.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, form_n
+FROM words JOIN ends USING (word) LEFT JOIN form USING (word) LEFT JOIN (SELECT word, n_near FROM ranked WHERE k = 1) USING (word)
+""",
+)
+def op12(spark, folder):
+    return permuterm.spelling_groups(table(spark, folder, "documents"))
+
+
+@query(
+    "op13_source_divergence",
+    f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({lower_sql("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+c AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+full_g AS (SELECT lang, source, term, coalesce(n, 0) AS n FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT *, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p FROM full_g),
+whole AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+q AS (SELECT lang, term, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q FROM whole),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+         FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source != b.source GROUP BY ALL),
+pairs AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+          FROM g AS x JOIN g AS y ON x.lang = y.lang AND x.source != y.source LEFT JOIN sums ON sums.lang = x.lang AND sums.source = x.source AND sums.item = y.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+""",
+)
+def op13(spark, folder):
+    return divergence.audit(table(spark, folder, "documents"))
