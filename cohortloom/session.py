@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortloom.sources import store
+
+_owned: ContextVar[list[str] | None] = ContextVar("owned scratch", default=None)
+
 
 def build_session(app: str = "cohortloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = (
@@ -34,11 +40,32 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/cohortloom/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/cohortloom/{label}-{uuid.uuid4().hex}"
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """Own all scratch tables named inside: they go at the end, also after a failure.
+
+    What is computed from them has to be written or collected before.  Inside another `staging` the inner
+    one removes its own.
+    """
+    paths: list[str] = []
+    token = _owned.set(paths)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        for path in paths:
+            store.remove(spark, path)
 
 
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write the frame to the shared folder and read it back.
+    """Write the frame to the shared folder and read it back; `staging` says how long it stays.
 
     The written table cuts the lineage, survives executor loss and guarantees that
     several consumers see the same rows; being parquet it still prunes columns.

@@ -8,22 +8,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.functions.clean import valid_email
+from cohortloom.sources import versions
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
+def materialise(df: DataFrame, path: str, refresh: bool = False, keep: int = versions.KEPT) -> DataFrame:
+    """Write a table if it is not there yet (or always with `refresh`) and read its last version back.
 
-
-def materialise(df: DataFrame, path: str, refresh: bool = False) -> DataFrame:
-    """Write a table if it is not there yet (or always with `refresh`) and read it back.
-
-    Only a finished write counts as being there.
+    Only a finished write counts as being there; until one is, and where it fails, readers keep the version
+    before.  The last `keep` versions stay.
     """
     spark = df.sparkSession
-    if refresh or not path_exists(spark, f"{path}/_SUCCESS"):
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if refresh or not versions.commits(spark, path):
+        versions.write_version(df, path)
+        versions.vacuum(spark, path, keep)
+    return spark.read.schema(df.schema).parquet(versions.data_folder(spark, path))
 
 
 def export_csv(df: DataFrame, path: str, gzip: bool = False) -> None:

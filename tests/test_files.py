@@ -1,5 +1,6 @@
 import base64
 import json
+import re
 
 import pytest
 from conftest import plan, rows
@@ -8,7 +9,8 @@ from pyspark.sql import types as T
 
 from cohortloom.functions.uids import pseudo_uid
 from cohortloom.operators import images, profile, reports
-from cohortloom.sources import extracts, imaging, inventory, pages, registry, sinks
+from cohortloom.session import durable, staging
+from cohortloom.sources import extracts, imaging, inventory, pages, registry, sinks, store, versions
 from cohortloom.streaming import arrivals
 
 
@@ -157,6 +159,61 @@ def test_materialise_keeps_or_refreshes(spark, tmp_path):
     assert sinks.materialise(spark.range(5), path, refresh=True).count() == 5
 
 
+def test_a_failed_refresh_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = sinks.materialise(spark.range(30), path)
+    broken = spark.range(0, 40, numPartitions=4).select(F.when(F.col("id") < 35, F.col("id")).otherwise(F.raise_error(F.lit("half-way")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="half-way"):
+        sinks.materialise(broken, path, refresh=True)
+    assert versions.commits(spark, path) == [1] and len(list((tmp_path / "t" / "data").iterdir())) == 1
+    assert rows(versions.read_version(spark, path)) == rows(old) and old.count() == 30
+
+
+def test_versions_of_a_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(versions.NoVersion):
+        versions.read_version(spark, path)
+    first = sinks.materialise(spark.range(1), path)
+    second = sinks.materialise(first.union(first), path, refresh=True)  # rebuilt from itself
+    assert (first.count(), second.count()) == (1, 2)  # who has begun to read the first goes on
+    sinks.materialise(second.union(second), path, refresh=True)
+    assert versions.commits(spark, path) == [2, 3]
+    assert versions.read_version(spark, path, 2).count() == 2 and versions.read_version(spark, path).count() == 4
+    with pytest.raises(versions.NoVersion):
+        versions.read_version(spark, path, 1)
+    spark.range(9).write.parquet(f"{path}/data/orphan")
+    versions.vacuum(spark, path, keep=1, orphans_after_s=3600)
+    assert (tmp_path / "t" / "data" / "orphan").exists()
+    versions.vacuum(spark, path, keep=1, orphans_after_s=-5)
+    assert versions.commits(spark, path) == [3] and len(list((tmp_path / "t" / "data").iterdir())) == 1
+    with pytest.raises(ValueError):
+        versions.vacuum(spark, path, keep=0)
+
+
+def test_two_writers_take_two_numbers(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    versions.write_version(spark.range(1), path)
+    known, looks = versions.commits, [[]]  # the first look is older than the other writer's commit
+    monkeypatch.setattr(versions, "commits", lambda *a: looks.pop() if looks else known(*a))
+    assert versions.write_version(spark.range(2), path) == 2
+    assert [versions.read_version(spark, path, n).count() for n in (1, 2)] == [1, 2]
+    assert not store.write_text_once(spark, f"{path}/versions/00000001", "x", f"{path}/versions/_draft")
+    assert not (tmp_path / "t" / "versions" / "_draft").exists()
+
+
+def test_staging_removes_its_tables(spark, tmp_path):
+    with pytest.raises(ZeroDivisionError), staging(spark):
+        outer = durable(spark.range(3))
+        with staging(spark):
+            inner = durable(spark.range(4))
+            assert inner.count() == 4
+        assert outer.count() == 3
+        places = [f.inputFiles()[0].rsplit("/", 1)[0] for f in (outer,)]
+        assert store.path_exists(spark, places[0])
+        raise ZeroDivisionError
+    assert not store.path_exists(spark, places[0])
+
+
 def test_export_leaves_nested_columns_out(spark, tmp_path):
     df = spark.range(2).withColumn("DICOM_Studies", F.array(F.lit(1)))
     sinks.export_csv(df, str(tmp_path / "c"), gzip=True)
@@ -339,3 +396,50 @@ def test_arrivals_with_a_new_checkpoint(spark, tmp_path):
     first.limit(0).union(spark.createDataFrame([("c", 9, "n")], first.schema)).write.mode("append").parquet(inbox)
     arrivals.follow_arrivals(spark, inbox, first.schema, target, str(tmp_path / "two"), ["k"])
     assert rows(arrivals.arrived(spark, target), "k", "v", "w") == [("a", 1, "x"), ("b", 5, "z"), ("c", 9, "n")]
+
+
+def test_a_batch_reads_its_own_buckets_only(spark, tmp_path):
+    target, layout = str(tmp_path / "out"), arrivals.Layout(buckets=32, filter_bits=1 << 10)
+    numbers = spark.range(400).select(F.col("id").cast("string").alias("k"), F.lit("wide").alias("v"))
+    arrivals.take_over(numbers, target, ["k"], 0, "s", layout)
+    assert arrivals.arrived(spark, target).count() == 400
+    batch = spark.createDataFrame([("7", "again"), ("new", "x")], "k string, v string")
+    staged = batch.withColumn("bucket", layout.place(["k"]))
+    own = {r.bucket for r in staged.collect()}
+    fresh = arrivals.unseen(staged, target, ["k"], 0, "t", layout)
+    assert rows(fresh, "k") == [("new",)]
+    read = {re.search(r"/rows/bucket=(\d+)/", f) for f in fresh.inputFiles()}
+    assert {int(m[1]) for m in read if m} <= own and any(read)
+    only_new = spark.createDataFrame([("quite new", "x")], "k string, v string").withColumn("bucket", layout.place(["k"]))
+    wide = arrivals.Layout(buckets=32, filter_bits=1 << 20)
+    arrivals.take_over(numbers, str(tmp_path / "wide"), ["k"], 0, "s", wide)
+    fresh = arrivals.unseen(only_new, str(tmp_path / "wide"), ["k"], 0, "t", wide)
+    assert fresh.count() == 1 and not [f for f in fresh.inputFiles() if "/rows/" in f]  # the filter alone decides
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 16])
+def test_filters_only_save_work(spark, tmp_path, bits):
+    target, layout = str(tmp_path / "out"), arrivals.Layout(buckets=3, filter_bits=bits)
+    for batch in range(4):
+        part = spark.range(batch * 60, batch * 60 + 100).select(F.col("id").alias("a"), (F.col("id") % 7).cast("string").alias("b"), F.lit(batch).alias("v"))
+        for _ in range(2 if batch == 2 else 1):  # one batch is repeated
+            arrivals.take_over(part, target, ["a", "b"], batch, "s", layout)
+    got = rows(arrivals.arrived(spark, target), "a", "v")
+    assert got == sorted(((i, min(max(0, (i - 40) // 60), 3)) for i in range(280)), key=repr)
+    with pytest.raises(ValueError):
+        arrivals.layout_of(spark, target, arrivals.Layout(buckets=4))
+
+
+def test_an_interrupted_batch_starts_over(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "out")
+    first = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
+    arrivals.take_over(first, target, ["k"], 0, "s")
+    second = spark.createDataFrame([("b", 2), ("c", 2), ("d", 2)], "k string, v int")
+    arrivals.take_over(second, target, ["k"], 1, "s")
+    gone = [p for p in (tmp_path / "out" / "rows").glob("bucket=*/stream=s/batch=1")]
+    assert len(gone) == 2
+    store.remove(spark, str(gone[0]))  # as if it had stopped between two buckets
+    arrivals.take_over(second, target, ["k"], 1, "s")
+    assert rows(arrivals.arrived(spark, target), "k", "v") == [("a", 1), ("b", 1), ("c", 2), ("d", 2)]
+    with pytest.raises(ValueError):
+        arrivals.take_over(first.withColumnRenamed("v", "bucket"), target, ["k"], 2, "s")
