@@ -1,6 +1,7 @@
 import base64
 import json
 import re
+from collections import Counter
 
 import pytest
 from conftest import plan, rows
@@ -340,6 +341,36 @@ def test_patch_rows(spark):
 # --- profiles and histograms --------------------------------------------------------------
 
 
+@pytest.mark.parametrize("tied", [10_000, 2])
+def test_frequent_values_of_wide_columns(spark, monkeypatch, tied):
+    for name, n in (("FEW", 5), ("TIED", tied), ("BUCKETS", 64), ("ROUND", 16)):
+        monkeypatch.setattr(profile, name, n)
+    data = [(f"u{i:04d}", f"d{i // 2:03d}" if i < 400 else f"a{i:04d}", "hot" if i % 3 == 0 else f"h{i}", None if i % 2 else i % 3) for i in range(700)]
+    data += [(None, "None", "h1", 0)] * 3
+    df = spark.createDataFrame(data, "alone string, twice string, hot string, few int").repartition(5)
+    got = {r["column"]: r for r in profile.tag_profile(df).collect()}
+    for i, name in enumerate(df.columns):
+        values = Counter(str(d[i]) for d in data if d[i] not in (None, "None"))
+        best = sorted(values.items(), key=lambda v: (-v[1], v[0]))[:10]
+        assert got[name].samples == ", ".join(v for v, _ in best)[:100]
+        assert got[name].unique == len(values)
+        assert got[name].empty_pct == round(100 * (len(data) - sum(values.values())) / len(data), 2)
+
+
+def test_values_of_wide_columns_are_not_shuffled(spark):
+    df = spark.range(50).select(F.concat(F.lit("v"), "id").alias("wide"))
+    steps = plan(profile.short_profile(df))
+    assert "hashpartitioning(column" in steps and not re.search(r"hashpartitioning\([^)]*(wide|value)#", steps)
+
+
+def test_sketches_merge(spark):
+    df = spark.range(6000).select((F.col("id") % 900).alias("v"), F.when(F.col("id") % 4 != 0, F.lit("same")).alias("s"))
+    parts = [profile.sketches(p) for p in (df.where("v < 500"), df.where("v >= 400"), df.limit(0))]
+    got = {r["column"]: r for r in profile.estimated_profile(profile.merged_sketches(parts[0].union(parts[1]).union(parts[2])), k=2).collect()}
+    assert abs(got["v"].about_unique - 900) < 30 and got["v"].empty_pct == 0
+    assert got["s"].about_unique == 1 and got["s"].empty_pct == 25.0 and len(got["s"].heaviest) == 1
+
+
 def test_profile(spark):
     df = spark.createDataFrame([("a", 1.0, None), ("a", 2.0, None), ("b", float("nan"), None), (None, 2.0, None)], "s string, d double, e int")
     out = {r["column"]: r for r in profile.profile(df, disclose_limit=2, undisclosed_types=["double"]).collect()}
