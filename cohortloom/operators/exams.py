@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.clean import month_index
@@ -85,6 +85,45 @@ def near_months(appts: DataFrame) -> DataFrame:
     )
 
 
+def person_imaging(appts: DataFrame) -> DataFrame:
+    """`person_summary` with `near_studies`, a map from calendar month to the study that an exam of that month matches.
+
+    Appointments are reduced to months before they meet in a row, so a map has an entry for each month of
+    the calendar at most, however many appointments a person has.  With it an exam finds its study in
+    the join that brings its other columns of the person.
+    """
+    per_appointment = appts.groupBy("person_id", "appointment_ts").agg(
+        F.count("*").alias("uids"), F.sum("files").alias("files"), F.min("uid").alias("uid")
+    )
+    amounts = ("n", "uids", "files")
+    monthly = per_appointment.groupBy("person_id", month_index("appointment_ts").alias("month")).agg(
+        F.count("*").alias("n"),
+        F.sum("uids").alias("uids"),
+        F.sum("files").alias("files"),
+        F.min(F.struct("appointment_ts", "uid")).alias("found"),
+        F.max("appointment_ts").alias("last"),
+    )
+    offered = monthly.select("*", F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1)])).alias("off"))
+    own = F.col("off") == 0
+    near = offered.groupBy("person_id", (F.col("month") + F.col("off")).alias("month")).agg(
+        *[F.sum(F.when(own, F.col(a))).alias(a) for a in amounts],
+        F.min("found").alias("found"),
+        F.min(F.when(own, F.col("found.appointment_ts"))).alias("first"),
+        F.max(F.when(own, F.col("last"))).alias("last"),
+    )
+    return near.groupBy("person_id").agg(
+        *[F.sum(a).alias(name) for a, name in zip(amounts, ("dicom_appointments", "dicom_uids", "dicom_files"))],
+        F.min("first").alias("dicom_first"),
+        F.max("last").alias("dicom_last"),
+        F.map_from_entries(F.collect_list(F.struct("month", "found.uid"))).alias("near_studies"),
+    )
+
+
+def near_study(date: str) -> Column:
+    """The study that `near_studies` has for the month of an exam."""
+    return F.try_element_at("near_studies", month_index(date))
+
+
 def match_studies(
     exams: DataFrame, appts: DataFrame, person: str, date: str, into: str = "DICOM_Study"
 ) -> DataFrame:

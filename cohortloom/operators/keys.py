@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from typing import Iterable, Mapping, Sequence
+from typing import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,13 +29,26 @@ class ForeignKey:
     parent: str
 
 
-@dataclass(frozen=True)
+Frame = DataFrame | Callable[[], DataFrame]
+
+
 class KeyedTable:
-    """A table with a unique, non-null key, and the rows set aside on the way."""
+    """A table with a unique, non-null key, and the rows set aside on the way, which are planned when asked for."""
+
+    def __init__(self, clean: DataFrame, na: Frame, dup: Frame) -> None:
+        self.clean = clean
+        self._na, self._dup = na, dup
+
+    @property
+    def na(self) -> DataFrame:
+        return self._na() if callable(self._na) else self._na
+
+    @property
+    def dup(self) -> DataFrame:
+        return self._dup() if callable(self._dup) else self._dup
 
-    clean: DataFrame
-    na: DataFrame
-    dup: DataFrame
+    def with_clean(self, clean: DataFrame) -> "KeyedTable":
+        return KeyedTable(clean, self._na, self._dup)
 
 
 def as_list(keys: Keys) -> list[str]:
@@ -98,8 +111,8 @@ def keyed(df: DataFrame, keys: Keys, order_by: Sequence[str]) -> KeyedTable:
     present = notna_rows(df, keys)
     return KeyedTable(
         clean=keep_last(present, keys, order_by),
-        na=na_rows(df, keys),
-        dup=dup_rows(present, keys),
+        na=lambda: na_rows(df, keys),
+        dup=lambda: dup_rows(present, keys),
     )
 
 

@@ -61,6 +61,7 @@ def staging(spark: SparkSession):
     finally:
         _owned.reset(token)
         for path in paths:
+            spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
             store.remove(spark, path)
 
 
@@ -74,3 +75,21 @@ def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _table_name(path: str) -> str:
+    return "cohortloom_" + path.rsplit("-", 1)[-1]
+
+
+def durable_by(df: DataFrame, key: str, label: str = "stage", buckets: int | None = None) -> DataFrame:
+    """`durable`, dealt into buckets by a key, so that joins and groupings by it need no exchange of the table.
+
+    By default there are as many buckets as a join would make partitions.  Rows of one key lie in one bucket
+    file: for tables whose key is unique, or has few rows by construction.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    dealt.option("path", path).format("parquet").saveAsTable(_table_name(path))
+    return spark.table(_table_name(path))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import history
 from cohortloom.operators import exams, filters
+from cohortloom.session import durable_by, staging
 
 
 def month_gap(a, b):
@@ -151,3 +152,28 @@ def test_filters(spark):
     assert rows(filters.apply_filter(df, "L1L2_positif", "False"), "id") == []
     assert rows(filters.apply_filter(df, "L1_ACR_SD", "1"), "id") == [(2,), (4,)]
     assert rows(filters.test_cohort(df), "id") == [(1,), (4,)]
+
+
+def test_person_imaging_is_summary_and_match(spark):
+    rng = random.Random(4)
+    data = [(p, f"20{rng.randint(18, 20)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}", f"u{rng.randint(0, 40)}") for p in (1, 1, 1, 2, 3) for _ in range(25)]
+    index = spark.createDataFrame(data, "person_id long, d string, study_instance_uid string").withColumn("appointment_date", F.to_date("d"))
+    appts = exams.appointments(index)
+    people = exams.person_imaging(appts)
+    assert rows(people.drop("near_studies")) == rows(exams.person_summary(appts).select(*people.drop("near_studies").columns))
+    asked = spark.range(60).select(
+        (F.col("id") % 4 + 1).alias("id_bci"), "id", F.add_months(F.lit("2017-10-15").cast("date"), F.col("id").cast("int")).alias("Date_Mammo")
+    ).union(spark.sql("SELECT 1L, 99L, CAST(NULL AS DATE)"))
+    want = exams.match_studies(asked, appts, "id_bci", "Date_Mammo")
+    got = asked.join(people.withColumnRenamed("person_id", "id_bci"), "id_bci", "left").withColumn("DICOM_Study", exams.near_study("Date_Mammo"))
+    assert rows(got, "id", "DICOM_Study") == rows(want, "id", "DICOM_Study")
+
+
+def test_tables_stored_by_person_need_no_exchange(spark):
+    with staging(spark):
+        left = durable_by(spark.range(100).select((F.col("id") % 10).alias("p"), "id"), "p")
+        right = durable_by(spark.range(10).select(F.col("id").alias("p")), "p")
+        joined = left.hint("merge").join(right, "p").groupBy("p").count()
+        assert "Exchange" not in plan(joined)
+        assert rows(joined) == [(i, 10) for i in range(10)]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("cohortloom_")]
