@@ -4,12 +4,25 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from cohortloom.session import durable
 
 KEEP = "_piece"
+#: Input bytes for which a range of an order is cut, and the most ranges.
+PIECE_BYTES, MOST_PIECES = 32 << 20, 20_000
+#: Ranges of a histogram of an order, keys drawn for each, and rows below which a range is not cut further.
+RANGES, DRAWN, CLOSE = 64, 16, 100_000
+
+
+def pieces_for(df: DataFrame) -> int:
+    """Ranges to cut a frame into, by the size of what it reads; as many as a shuffle has where that is unknown."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if size >= 1 << 60:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(MOST_PIECES, -(-size // PIECE_BYTES)))
 
 
 def number_rows(
@@ -24,10 +37,10 @@ def number_rows(
     Rows are split into ranges of (group, order); each range is numbered by itself and
     shifted by the size of the ranges before it in its group.  The ranges are written to
     the shared folder first: both passes must see the same split.  `order_by` should be a
-    total order, which also lets a large group spread over many ranges.
+    total order, which also lets a large group spread over many ranges.  The number of
+    ranges follows the size of the input.
     """
-    spark = df.sparkSession
-    pieces = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces = pieces or pieces_for(df)
     keys = [*group_by, *order_by]
     amount: Column = F.col(value) if value else F.lit(0)
     placed = durable(
@@ -60,6 +73,53 @@ def number_rows(
     return out.select(*names)
 
 
+def first_by_total(df: DataFrame, order_by: Sequence[str], value: str, most: int) -> DataFrame:
+    """The first rows in an order while the running total of `value` (never negative) is at most `most`.
+
+    Adds `position` and `running_total`.  Only what is taken is numbered: a weighted histogram of the order
+    (rows and total of each of RANGES ranges, cut at drawn keys) finds the range in which the total is
+    passed, that range is cut again until it has few rows, and rows behind it are left out.  The input is
+    read once or twice a round, by order and value only; a round divides what is left by about RANGES.
+    """
+    keys = list(order_by)
+    key = F.struct(*keys)
+    slim = df.select(key.alias("key"), F.coalesce(F.col(value), F.lit(0)).alias("value"))
+    kinds = [df.schema[k].dataType for k in keys]
+
+    def constant(row: Row) -> Column:
+        return F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(keys, row, kinds)])
+
+    def totals(rows: DataFrame) -> Row:
+        return rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("value"), F.lit(0)).alias("total")).first()
+
+    here, before, end = slim, 0, None
+    found = totals(here)
+    if found.total <= most:
+        return number_rows(df, keys, value=value)
+    while found.n > CLOSE:
+        share = min(1.0, RANGES * DRAWN / found.n)
+        drawn = here.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select("key").distinct()
+        cuts = [r.key for r in drawn.orderBy("key").limit(4 * RANGES * DRAWN).collect()][DRAWN - 1 :: DRAWN]
+        if not cuts:
+            break
+        place = F.lit(len(cuts))
+        for i, cut in reversed(list(enumerate(cuts))):
+            place = F.when(F.col("key") <= constant(cut), i).otherwise(place)
+        sums = here.groupBy(place.alias("place")).agg(F.count("*").alias("n"), F.sum("value").alias("total")).collect()
+        for r in sorted(sums, key=lambda r: r.place):
+            if before + r.total > most:
+                break
+            before += r.total
+        smaller = r.n < found.n
+        found, here = r, here.where(place == r.place)
+        if r.place < len(cuts):
+            end = cuts[r.place]
+        if not smaller:  # one key has all rows
+            break
+    kept = df if end is None else df.where(key <= constant(end))
+    return number_rows(kept, keys, value=value).where(F.col("running_total") <= most)
+
+
 def permutation_ids(people: DataFrame, key: str, salt: str) -> DataFrame:
     """(key, id_random): a random-looking permutation 0 … n-1 of the distinct keys.
 
