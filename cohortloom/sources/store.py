@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from datetime import datetime, timezone
+
 from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
 
 
 def _hadoop(spark: SparkSession):
@@ -34,6 +36,12 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(jpath, True)
 
 
+def touch(spark: SparkSession, path: str, changed: datetime) -> None:
+    """Set a file's modification time, given in UTC."""
+    system, jpath = _place(spark, path)
+    system.setTimes(jpath, int(changed.replace(tzinfo=timezone.utc).timestamp() * 1000), -1)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     system, jpath = _place(spark, path)
     stream = system.open(jpath)

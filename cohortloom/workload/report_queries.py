@@ -14,7 +14,7 @@ from cohortloom.functions.uids import pseudo_uid
 from cohortloom.operators import cohort, duplicates, images, keys, numbering, profile, reports, shard
 from cohortloom.plans.catalog import Cohort
 from cohortloom.session import scratch_path
-from cohortloom.sources import cohort_list, extracts, imaging, inventory, pages, registry, sinks
+from cohortloom.sources import cohort_list, extracts, imaging, inventory, ledger, pages, patches, registry, sinks, store
 from cohortloom.streaming import arrivals
 from cohortloom.workload.fixtures import Data
 from cohortloom.workload.flow_queries import (
@@ -214,6 +214,17 @@ def _(d):
     return numbering.permutation_ids(d.v_population, "id_bci", "pepper")
 
 
+@query(
+    "pse_01_id_ledger",
+    """SELECT id_bci, CAST(row_number() OVER (ORDER BY id_bci % 3 <> 0, md5('pepper' || CAST(id_bci AS VARCHAR)), id_bci) - 1 AS BIGINT) AS id_random
+    FROM v_population""",
+)
+def _(d):
+    path = scratch_path(d.spark, "ledger")
+    ledger.extend_ledger(d.v_population.filter("id_bci % 3 = 0"), path, "id_bci", "pepper")
+    return ledger.extend_ledger(d.v_population, path, "id_bci", "pepper")
+
+
 def cohort_of(d: Data) -> Cohort:
     """The whole cohort over raw extracts shaped from the test tables."""
     return Cohort(
@@ -547,6 +558,17 @@ def _(d):
     return batch.select("study_id", "position", F.col("running_total").cast("bigint").alias("running_total"))
 
 
+@query(
+    "shd_05_next_batch_by_space",
+    """SELECT study_id, CAST(rn AS BIGINT) AS position, CAST(running AS BIGINT) AS running_total FROM (SELECT study_id,
+    row_number() OVER (ORDER BY study_id) AS rn, sum(files) OVER (ORDER BY study_id) AS running FROM st) t WHERE running <= 2500""",
+    STUDY_CTES,
+)
+def _(d):
+    batch = shard.next_batch(arrived_studies(d), ["study_id"], "files", 0, 3000, 500)
+    return batch.select("study_id", "position", F.col("running_total").cast("bigint").alias("running_total"))
+
+
 COHORT_LIST_SQL = """cl AS (SELECT id_event AS bci, row_number() OVER (ORDER BY id_event) AS n, date_mammo, id_event % 3 = 0 AS prior,
   'S' || CAST(id_event AS VARCHAR) AS s, 'A' || CAST(id_event AS VARCHAR) AS a FROM v_depistage)"""
 
@@ -747,13 +769,14 @@ def _(d):
 
 @query(
     "src_14_file_inventory",
-    "SELECT CAST(count(DISTINCT segment) AS BIGINT) AS folders, true AS sized FROM v_population",
+    """SELECT CAST(count(DISTINCT segment) AS BIGINT) AS files, sum(length(CAST(id_bci AS VARCHAR)) + 1) / 1048576.0 AS total_mb,
+    round(sum(length(CAST(id_bci AS VARCHAR)) + 1) / count(DISTINCT segment), 2) AS mean_bytes FROM v_population WHERE segment IS NOT NULL""",
 )
 def _(d):
     folder = scratch_path(d.spark, "files")
-    d.v_population.select("id_bci", "segment").repartition(1, "segment").write.partitionBy("segment").csv(folder)
-    found = inventory.file_inventory(d.spark, folder, ".csv")
-    return found.select(F.col("files").alias("folders"), ((F.col("total_mb") > 0) & (F.col("mean_bytes") > 0)).alias("sized"))
+    people = d.v_population.select("id_bci", "segment").dropna()
+    people.repartition("segment").write.partitionBy("segment").csv(folder)
+    return inventory.file_inventory(d.spark, folder, ".csv")
 
 
 WORKER_SQL = f"""CAST(id_event % {SHARDS} AS BIGINT)"""
@@ -803,11 +826,15 @@ def _(d):
     """SELECT CAST(user_id % 4 AS BIGINT) AS worker, strftime(max(ts) + INTERVAL 1 HOUR, '%d-%m-%Y %H:%M:%S') AS last_modification FROM events GROUP BY 1""",
 )
 def _(d):
-    listing = d.events.select(
-        F.concat(F.lit("/progress/worker"), (F.col("user_id") % 4).cast("string"), F.lit("_progress.json")).alias("path"),
-        F.col("ts").cast("timestamp_ntz").alias("modificationTime"),
+    folder = scratch_path(d.spark, "progress")
+    changes = d.events.groupBy((F.col("user_id") % 4).cast("int").alias("worker")).agg(
+        F.count("*").alias("uploaded"), F.count("*").alias("total"), F.max(F.col("ts").cast("timestamp_ntz")).alias("last")
     )
-    out = inventory.last_modifications(listing)
+    sinks.write_progress(changes, folder)
+    for r in changes.collect():  # a row a worker; the files get the times at which their workers last wrote
+        for name in store.children(d.spark, f"{folder}/worker={r.worker}"):
+            store.touch(d.spark, f"{folder}/worker={r.worker}/{name}", r["last"])
+    out = inventory.last_modifications(inventory.file_listing(d.spark, folder, "*.json"))
     return out.withColumn("worker", F.col("worker").cast("bigint"))
 
 
@@ -872,6 +899,23 @@ def _(d):
     return d.spark.read.schema("email string").option("header", True).csv(path)
 
 
+@query(
+    "snk_05_resumed_patch",
+    "SELECT study_uid AS study_id, CAST(count(*) AS BIGINT) AS images FROM v_image_meta WHERE study_uid IS NOT NULL GROUP BY 1",
+)
+def _(d):
+    path = scratch_path(d.spark, "parts")
+    studies = d.v_image_meta.select(F.col("study_uid").alias("study_id")).distinct()
+
+    def extract(chosen: DataFrame) -> DataFrame:
+        rows = d.v_image_meta.withColumnRenamed("study_uid", "study_id").join(chosen, "study_id", "left_semi")
+        return rows.groupBy("study_id").agg(F.count("*").alias("images"))
+
+    some = patches.remaining_studies(studies, path, parts=6).filter("part IN (0, 1, 2)").drop("part")
+    patches.write_parts(extract(some), path, [0, 1, 2])  # a run that ended half-way
+    return patches.extend_patch(studies, extract, path, parts_a_step=2)
+
+
 @query("snk_05_append_patch", "SELECT sop_uid, laterality, view_code FROM v_image_meta")
 def _(d):
     path = scratch_path(d.spark, "patch")

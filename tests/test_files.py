@@ -1,4 +1,5 @@
 import base64
+import datetime as dt
 import json
 import re
 from collections import Counter
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from cohortloom.functions.uids import pseudo_uid
 from cohortloom.operators import images, profile, reports
 from cohortloom.session import durable, staging
-from cohortloom.sources import extracts, imaging, inventory, pages, registry, sinks, store, versions
+from cohortloom.sources import extracts, imaging, inventory, ledger, pages, patches, registry, sinks, store, versions
 from cohortloom.streaming import arrivals
 
 
@@ -474,3 +475,71 @@ def test_an_interrupted_batch_starts_over(spark, tmp_path, monkeypatch):
     assert rows(arrivals.arrived(spark, target), "k", "v") == [("a", 1), ("b", 1), ("c", 2), ("d", 2)]
     with pytest.raises(ValueError):
         arrivals.take_over(first.withColumnRenamed("v", "bucket"), target, ["k"], 2, "s")
+
+
+# --- patches and ledgers ------------------------------------------------------------------
+
+
+def test_an_interrupted_patch_goes_on(spark, tmp_path):
+    studies = spark.range(60).select(F.concat(F.lit("s"), "id").alias("study_id"))
+    asked = []
+
+    def extract(chosen):
+        asked.append(chosen.count())
+        if len(asked) == 3:
+            raise OSError("interrupted")
+        return chosen.select("study_id", F.explode(F.sequence(F.lit(1), F.lit(2))).alias("image")).where("study_id <> 's7'")
+
+    path = str(tmp_path / "p")
+    with pytest.raises(OSError):
+        patches.extend_patch(studies, extract, path, parts=8, parts_a_step=2)
+    assert len(patches.done_parts(spark, path)) == 4
+    broken = patches.with_part(studies.select("study_id", F.lit(99).alias("image")), "study_id", 8)
+    left = min(set(range(8)) - set(patches.done_parts(spark, path)))
+    broken.where(F.col("part") == left).write.mode("append").partitionBy("part").parquet(path)  # as if half-written
+    out = patches.extend_patch(studies, extract, path, parts_a_step=2)
+    want = [(f"s{i}", k) for i in range(60) if i != 7 for k in (1, 2)]
+    assert rows(out) == sorted(want, key=repr)
+    assert sum(asked) == 60 + asked[2]  # nothing whole was asked for again
+    steps = len(asked)
+    assert rows(patches.extend_patch(studies, extract, path)) == rows(out) and len(asked) == steps + 1  # only its columns
+    assert patches.remaining_studies(studies, path).count() == 0
+    with pytest.raises(ValueError):
+        patches.parts_of(spark, path, 9)
+    assert patches.extend_patch(studies.limit(0), lambda s: s, str(tmp_path / "none"), parts=2).count() == 0
+
+
+def test_ids_stay_when_people_are_added(spark, tmp_path):
+    path = str(tmp_path / "l")
+    people = spark.range(300).select(F.col("id").alias("id_bci"))
+    first = dict(rows(ledger.extend_ledger(people.where("id_bci % 2 = 0").union(people.where("id_bci < 3")), path, "id_bci", "a")))
+    assert sorted(first.values()) == list(range(151)) and list(first.values()) != sorted(first.values())
+    assert dict(rows(ledger.extend_ledger(people.where("id_bci < 9 AND id_bci % 2 = 0"), path, "id_bci", "a"))) == first
+    spark.range(5).write.parquet(f"{path}/rows/abandoned")  # rows without an entry count for nothing
+    nobody = spark.sql("SELECT CAST(NULL AS BIGINT) AS id_bci")
+    second = dict(rows(ledger.extend_ledger(people.union(nobody), path, "id_bci", "a")))
+    assert {k: second[k] for k in first} == first and sorted(second.values()) == list(range(300))
+    assert len(ledger.entries(spark, path)) == 2
+
+
+def test_a_ledger_that_grew_meanwhile(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "l")
+    people = spark.range(20).select(F.col("id").alias("id_bci"))
+    ledger.extend_ledger(people.where("id_bci < 10"), path, "id_bci", "a")
+    seen, looks = ledger.entries, [[]]  # this run looked before the other one's entry
+    monkeypatch.setattr(ledger, "entries", lambda *a: looks.pop() if looks else seen(*a))
+    out = rows(ledger.extend_ledger(people, path, "id_bci", "a"), "id_random")
+    assert sorted(r[0] for r in out) == list(range(20))
+
+
+def test_inventory_and_times_of_real_files(spark, tmp_path):
+    folder = str(tmp_path / "w")
+    sinks.write_progress(spark.createDataFrame([(0, 1, 2), (1, 5, 6)], "worker int, uploaded long, total long"), folder)
+    for p in (tmp_path / "w").rglob("*.json"):
+        store.touch(spark, str(p), dt.datetime(2021, 7, 1, 22, 30))
+    assert {tuple(r) for r in inventory.last_modifications(inventory.file_listing(spark, folder, "*.json")).collect()} == {
+        (0, "02-07-2021 00:30:00"), (1, "02-07-2021 00:30:00")
+    }
+    sizes = [p.stat().st_size for p in (tmp_path / "w").rglob("*.json")]
+    found = inventory.file_inventory(spark, folder, ".json").first()
+    assert (found.files, found.total_mb, found.mean_bytes) == (2, sum(sizes) / 1048576, round(sum(sizes) / 2, 2))
