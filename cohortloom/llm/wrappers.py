@@ -45,7 +45,11 @@ BODY = ("html", "body", *MAIN)
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BLOCKS_IN_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# A quotation mark opens a value only behind an equals sign, and is part of the value where none closes it; nothing is
+# matched twice, so a broken page takes time in proportion to its length.
+_VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>=]++|{_VALUE})*+)(?:>|\Z)", re.S)
+_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I | re.A) for name in RAW}
 _NAME = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 
 
@@ -66,7 +70,6 @@ def parse(page: str) -> Element:
     """The tree of block elements; inline tags leave no trace, a line break is an empty element."""
     root = Element("page")
     stack, at, size = [root], 0, len(page)
-    lower = None
 
     def text(upto: int) -> None:
         if upto > at:
@@ -85,14 +88,9 @@ def parse(page: str) -> Element:
         if name in RAW and not closing:
             if found[3].rstrip().endswith("/"):
                 continue
-            if lower is None:
-                lower = page.lower()
-            end = lower.find(f"</{name}", at)
-            if end < 0:
-                at = size
-            else:
-                close = page.find(">", end)
-                at = size if close < 0 else close + 1
+            end = _END[name].search(page, at)
+            close = page.find(">", end.end()) if end else -1
+            at = size if close < 0 else close + 1
             stack[-1].kids.append(Element(name))
             continue
         if name in INLINE and name != "br":

@@ -1,6 +1,7 @@
 """Shards, packing, language model, classifiers and wrappers."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -326,3 +327,30 @@ def test_words_do_not_make_the_article_frame(form):
 def test_deep_nesting():
     assert wrappers.main_text("<div>" * 5000 + "deep" + "</div>" * 5000, [], set()) == "deep"
     assert wrappers.infer(["<div>" * 5000 + "deep"])[0]
+
+
+BROKEN = [
+    ("İ" * 30 + "<script>x</script><p>kept</p>", "İ" * 30 + "\nkept"),
+    ("<p title=it's>one</p><p>two</p><p>that's it</p>", "one\ntwo\nthat's it"),
+    ('<p title="a > b" id=x\'y"z>one</p><p>"two"</p>', 'one\n"two"'),
+    ('<p data-x="never closed>one</p><p>two</p>', "one\ntwo"),
+    ("<p a = 'x' b= y c =z>one<br/>two</p>", "one\ntwo"),
+    ("<SCRIPT>if (a</scripts>b) x()</ScRiPt >after", "after"),
+    ("one<p>two <b", "one\ntwo"),
+]
+
+
+@pytest.mark.parametrize("page, text", BROKEN)
+def test_broken_marks_lose_no_text(page, text):
+    assert wrappers.main_text(page, [], set()) == text
+
+
+@pytest.mark.parametrize("piece", ['<a "', "<a '", '<a x="', "<!", "<a <b ", "<p>x", "<script>"])
+def test_broken_pages_take_time_in_proportion(piece):
+    def seconds(n):
+        start = time.perf_counter()
+        wrappers.parse(piece * n)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(160_000) < 100 * max(seconds(10_000), 0.003)
