@@ -47,7 +47,10 @@ def corpus(rng):
     return texts
 
 
-@pytest.mark.parametrize("settings", [{}, {"SHORT": 2, "BLOCK": 4, "FREQUENT": 0.02}, {"SHORT": 3, "BLOCK": 512, "FREQUENT": 0.3}])
+@pytest.mark.parametrize(
+    "settings",
+    [{}, {"SHORT": 2, "BLOCK": 4, "FREQUENT": 0.02}, {"SHORT": 3, "BLOCK": 512, "FREQUENT": 0.3}, {"SHARE": 500}, {"SHARE": 300, "SHORT": 4, "EQUAL": 1}],
+)
 def test_join_equals_brute_force(spark, monkeypatch, settings):
     for name, value in settings.items():
         monkeypatch.setattr(jaccard_join, name, value)
@@ -73,6 +76,21 @@ def test_similar_sets_share_a_key():
                 assert len(np.intersect1d(a, b)) >= min(need_a, need_b) >= 1
 
 
+def test_a_pair_is_named_by_few_tasks(spark, monkeypatch):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    texts = []
+    for _ in range(40):
+        words = rng.choices(vocabulary, k=300)
+        texts += [" ".join(words), " ".join([*words[:150], "changed", *words[151:]])]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    tasks, none = 12, np.zeros(0, np.uint64)
+    met = jaccard_join._candidates(jaccard_join._keyed(docs, none, tasks, "text", 5, 80), tasks, 80).where("fits").groupBy("a", "b").count()
+    rows = [r["count"] for r in met.collect()]
+    assert len(rows) >= 40
+    assert sum(rows) < 2 * 40
+
+
 def test_shingles_match_words():
     texts = [b"a b c d e f", b"", b"A  B c", b"a b c d e a b c d e", b"\n x" * 700]
     for text, own in zip(texts, jaccard_join.shingle_sets(texts)):
