@@ -1,8 +1,9 @@
 """Ids of whole texts by a public tokenizer.
 
-A byte-level pre-tokenizer never joins what stands before a single space between two non-spaces with
-what follows it, so a text can be cut there and equal pieces need the tokenizer once.  Everything
-else is the tokenizer's own work; a text with other white space around a cut is cut less.
+A byte-level pre-tokenizer never joins a character with white space that follows it, so a text can be cut
+there, and equal pieces need the tokenizer once.  Nor does it join a line end between two words with
+either, or a letter with a mark after it: such pieces are put together from known ones.  Everything else is
+the tokenizer's own work.
 """
 
 from __future__ import annotations
@@ -15,10 +16,16 @@ from types import ModuleType
 import numpy as np
 import pyarrow as pa
 
-#: Distinct pieces that a worker remembers before it starts over.
+#: Distinct pieces that a worker remembers; beyond, it goes on with the half that it met most often.
 REMEMBERED = 500_000
 
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+_CUT = re.compile(r"(?<=\S)(?=[ \n\t\r])")
+#: A piece of a letter and one of these is two; an apostrophe may begin a contraction.
+_MARKS = frozenset(".,;:!?&$%*#)]}>/-+=_@|~^\"")
+#: Letters below are letters in every version of the tables, so words of them are not cut by a pre-tokenizer.
+_PLAIN = "\u0530"
+#: Pieces that the tokenizer sees in one text.
+_BLOCK = 500
 
 
 def default_tokenizer() -> str:
@@ -28,27 +35,42 @@ def default_tokenizer() -> str:
 
 
 class _Pieces(dict):
-    """Piece to its number; an unseen piece is numbered and queued for the tokenizer."""
+    """Piece to its number; an unseen piece is numbered and queued, -1 is one that cannot stand alone.
 
-    def __init__(self, prefix: str, owner: "Encoder"):
-        super().__init__()
+    A piece with the prefix of a space stands for both, or, if it begins with a line end, for itself.
+    """
+
+    def __init__(self, prefix: str, owner: Encoder, known=()):
+        super().__init__(known)
         self.prefix, self.owner = prefix, owner
 
     def __missing__(self, piece: str) -> int:
         owner = self.owner
-        if not piece.isprintable() or not piece:  # white space of any kind, and other odd characters
-            if not piece or piece[0].isspace() or piece[-1].isspace():
-                self[piece] = -1  # not cut safely
-                return -1
-            queue, what = owner.odd, self.prefix + piece
-        elif piece[-1] in ".,;:!?" and piece[-2:-1].isalpha():  # the pre-tokenizer cuts such a mark off a letter
-            queue, what = owner.pairs, (self[piece[:-1]], owner.first[piece[-1]])
-        else:
-            queue, what = owner.lines, self.prefix + piece
-        number = self[piece] = owner.numbered(queue, what)
+        if piece.isprintable() and piece:
+            if piece[-1] in _MARKS and piece[-2:-1].isalpha():
+                number = owner.numbered(owner.pairs, (self[piece[:-1]], owner.first[piece[-1]]))
+            elif self.prefix and piece.isalpha() and max(piece) < _PLAIN:
+                number = owner.numbered(owner.words, self.prefix + piece)
+            else:
+                number = owner.numbered(owner.lines, self.prefix + piece)
+        elif piece[:1] == "\n" and self.prefix and not piece[1:2].isspace():
+            word = owner.first[piece[1:]]
+            number = owner.numbered(owner.breaks, (0, word)) if word >= 0 else -1
+        elif not piece or piece[0].isspace() or piece[-1].isspace():
+            number = -1
+        else:  # other odd characters
+            number = owner.numbered(owner.odd, self.prefix + piece)
+        self[piece] = number
         return number
 
 
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, or a copy with room for `size` entries and as many again."""
+    if len(array) >= size:
+        return array
+    return np.concatenate([array, np.zeros(2 * size - len(array), array.dtype)])
+
+
 class Encoder:
     """`encode` gives the ids of several texts, one after the other, and the number for each.
 
@@ -58,18 +80,44 @@ class Encoder:
     def __init__(self, path: str | None = None, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
         self.tokenizer = Tokenizer.from_file(path or default_tokenizer())
+        if self.tokenizer.normalizer is not None or not isinstance(self.tokenizer.pre_tokenizer, ByteLevel):
+            raise ValueError("not a byte-level tokenizer of the text as it is")
+        # words after a space need no pre-tokenizer: this one only parts them, and their first ids are known by the space
+        self.model = Tokenizer.from_file(path or default_tokenizer())
+        self.model.pre_tokenizer = Sequence([Split(" ", "merged_with_next"), ByteLevel(add_prefix_space=False, use_regex=False)])
+        names = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(names.values()) + 1, bool)
+        self.spaced[[number for name, number in names.items() if name[0] == "\u0120"]] = True
         self.remembered = remembered
         (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self._forget()
+        self.first, self.later = _Pieces("", self), _Pieces(" ", self)
+        self._queues()
+        # number 0 is the line end
+        self.flat, self.begin, self.length, self.met = np.array([self.line_end], np.uint32), *(np.array([x], np.int32) for x in (0, 1, 0))
+        self.size = self.learned = self.filled = 1
 
     def _forget(self) -> None:
-        self.size, self.lines, self.odd, self.pairs = 0, ([], []), ([], []), ([], [])
-        self.first, self.later = _Pieces("", self), _Pieces(" ", self)
-        self.flat = np.zeros(0, np.uint32)
-        self.begin = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        """Keep the pieces that were met most often, half of what is remembered at most, under new numbers."""
+        met, most = self.met[: self.size], max(1, self.remembered // 2)
+        keep = met > np.partition(met, -most)[-most]
+        keep[0] = True
+        numbers = np.flatnonzero(keep)
+        self.flat = _expanded(numbers, self.flat, self.begin, self.length)
+        self.length = self.length[numbers]
+        self.begin = np.cumsum(self.length, dtype=np.int32) - self.length
+        self.met = met[numbers] >> 1  # what was frequent long ago gives way
+        self.size = self.learned = len(numbers)
+        self.filled = len(self.flat)
+        renamed = np.where(keep, np.cumsum(keep) - 1, -1).tolist()
+        for name in ("first", "later"):
+            known = getattr(self, name)
+            setattr(self, name, _Pieces(known.prefix, self, ((p, renamed[n]) for p, n in known.items() if n >= 0 and renamed[n] >= 0)))
+
+    def _queues(self) -> None:
+        self.words, self.lines, self.odd, self.pairs, self.breaks = (([], []) for _ in range(5))
 
     def numbered(self, queue: tuple[list, list], what) -> int:
         queue[0].append(self.size)
@@ -78,37 +126,38 @@ class Encoder:
         return self.size - 1
 
     def _learn(self) -> None:
-        if len(self.begin) == self.size:
+        if self.learned == self.size:
             return
-        grown = self.size - len(self.begin)
-        self.begin, self.length = (np.concatenate([x, np.zeros(grown, np.int64)]) for x in (self.begin, self.length))
+        self.begin, self.length, self.met = (_room(x, self.size) for x in (self.begin, self.length, self.met))
+        self.learned = self.size
+        numbers, texts = self.words
+        if texts:
+            blocks = ["".join(texts[k : k + _BLOCK]) for k in range(0, len(texts), _BLOCK)]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(blocks, add_special_tokens=False)])
+            begin = np.flatnonzero(self.spaced[ids])
+            self._add(numbers, ids, np.diff(begin, append=len(ids)))
         numbers, texts = self.lines
         if texts:
-            blocks = ["\n".join(texts[k : k + 1000]) + "\n" for k in range(0, len(texts), 1000)]
+            blocks = ["\n".join(texts[k : k + _BLOCK]) + "\n" for k in range(0, len(texts), _BLOCK)]
             ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(blocks, add_special_tokens=False)])
-            ends = np.flatnonzero(ids == self.line_end)
-            self._add(numbers, ids, np.concatenate([[0], ends[:-1] + 1]), ends)
+            word = ids != self.line_end
+            self._add(numbers, ids[word], np.diff(np.flatnonzero(~word), prepend=-1) - 1)
         numbers, texts = self.odd
         if texts:
             ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            ends = np.cumsum([len(x) for x in ids])
-            self._add(numbers, np.concatenate(ids), np.concatenate([[0], ends[:-1]]), ends)
-        numbers, parts = self.pairs
-        if parts:
-            parts = np.array(parts)
-            ends = np.cumsum(self.length[parts].sum(axis=1))
-            self._add(numbers, self._expand(parts.ravel()), np.concatenate([[0], ends[:-1]]), ends)
-        self.lines, self.odd, self.pairs = ([], []), ([], []), ([], [])
-
-    def _add(self, numbers, ids, begin, end) -> None:
-        self.begin[numbers] = len(self.flat) + begin
-        self.length[numbers] = end - begin
-        self.flat = np.concatenate([self.flat, ids])
-
-    def _expand(self, numbers: np.ndarray) -> np.ndarray:
-        length = self.length[numbers]
-        ends = np.cumsum(length)
-        return self.flat[np.repeat(self.begin[numbers] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
+            self._add(numbers, np.concatenate(ids), np.array([len(x) for x in ids]))
+        for numbers, parts in (self.pairs, self.breaks):  # a line may begin with a pair
+            if parts:
+                parts = np.array(parts)
+                self._add(numbers, _expanded(parts.ravel(), self.flat, self.begin, self.length), self.length[parts].sum(axis=1))
+        self._queues()
+
+    def _add(self, numbers: list[int], ids: np.ndarray, length: np.ndarray) -> None:
+        self.flat = _room(self.flat, self.filled + len(ids))
+        self.flat[self.filled : self.filled + len(ids)] = ids
+        self.begin[numbers] = self.filled + np.cumsum(length) - length
+        self.length[numbers] = length
+        self.filled += len(ids)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids and the number of ids of each text; an empty text has none."""
@@ -117,30 +166,42 @@ class Encoder:
         numbers = [self._numbers(text) for text in texts]
         self._learn()
         which = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
-        upto = np.concatenate([[0], np.cumsum(self.length[which])])
+        self.met[: self.size] += np.bincount(which, minlength=self.size).astype(np.int32)
+        upto = np.concatenate([[0], np.cumsum(self.length[which], dtype=np.int64)])
         counts = upto[np.concatenate([[0], np.cumsum([len(n) for n in numbers])]).astype(np.int64)]
-        return self._expand(which), np.diff(counts)
+        return _expanded(which, self.flat, self.begin, self.length), np.diff(counts)
 
     def _numbers(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int64)
-        pieces = text.split(" ")
+        pieces = text.replace("\n", " \n").split(" ")
         own = np.empty(len(pieces), np.int64)
         own[0] = self.first[pieces[0]]
         own[1:] = np.fromiter(map(self.later.__getitem__, pieces[1:]), np.int64, len(pieces) - 1)
         if own.min() >= 0:
             return own
-        pieces = _CUT.split(text)
-        return np.array([self._forced(self.first, pieces[0]), *[self._forced(self.later, p) for p in pieces[1:]]], np.int64)
-
-    def _forced(self, known: _Pieces, piece: str) -> int:
-        """Number of a piece that may begin or end in white space, under a key that no piece of a split has."""
+        return np.array([self._number(piece) for piece in _CUT.split(text)], np.int64)
+
+    def _number(self, piece: str) -> int:
+        """Number of a piece with the white space before it; odd ones have a key that no piece of a split has."""
+        if piece[0] in " \n" and len(piece) > 1:
+            number = self.later[piece[1:] if piece[0] == " " else piece]
+            if number >= 0 and piece[1] != "\n":
+                return number
         key = " " + piece
+        known = self.first
         if key not in known:
-            known[key] = self.numbered(self.odd, known.prefix + piece)
+            known[key] = self.numbered(self.odd, piece)
         return known[key]
 
 
+def _expanded(numbers: np.ndarray, flat: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The ids of numbered pieces, one after the other."""
+    size = length[numbers]
+    ends = np.cumsum(size, dtype=np.int64)
+    return flat[np.repeat(begin[numbers] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 def encoder(path: str | None = None) -> Encoder:
     """The worker's own encoder: a Python worker serves many tasks, and what it has seen stays known."""
     kept = sys.modules.setdefault("cohortloom_kept", ModuleType("cohortloom_kept")).__dict__
