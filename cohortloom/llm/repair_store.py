@@ -2,7 +2,7 @@
 
 A shard is a row of a Parquet file: documents in ascending id order, and one binary payload.
 
-    magic "RPR1", then little-endian uint32: documents, rules, symbols, and bytes of a symbol (2 or 4)
+    magic "RPR1", then little-endian uint32: documents, rules, symbols, and bytes of a symbol (2, 3 or 4)
     rules      2 symbols each; rule r stands for symbol BASE + r, BASE is the next uint32
     lengths    uint32 for each rule: the number of ids it expands to
     symbols    the documents' symbols, one after the other
@@ -33,14 +33,15 @@ MAGIC = b"RPR1"
 END_ID = 2
 #: Ids in a shard, about; a longer document is a shard alone.
 SHARD_IDS = 1 << 20
-#: Each round counts all pairs of a shard and replaces up to ROUND_PAIRS of those seen LEAST_COUNT times or more.
-ROUNDS, ROUND_PAIRS, LEAST_COUNT = 4, 4096, 16
+#: Each round counts all pairs of a shard and replaces up to ROUND_PAIRS of those seen LEAST_COUNT times or more;
+#: rounds go on until no pair is seen so often.
+ROUND_PAIRS, LEAST_COUNT = 4096, 16
 
 _HEAD = "<4s5I"
 
 
 def frequent_pairs(symbols: np.ndarray, end_id: int, least: int, most: int) -> list[tuple[int, int]]:
-    """The most frequent pairs such that no symbol is a left one and a right one, so none overlap."""
+    """The most frequent pairs such that none overlap: a symbol is a left one, a right one, or both in one pair of equals."""
     kind, bits = (np.uint32, 16) if symbols.max(initial=0) < 1 << 16 else (np.uint64, 32)
     plain = symbols.astype(kind)
     keys = plain[:-1] << kind(bits) | plain[1:]
@@ -52,11 +53,11 @@ def frequent_pairs(symbols: np.ndarray, end_id: int, least: int, most: int) -> l
     edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     count = np.diff(np.concatenate([edge, [len(keys)]]))
     often = np.flatnonzero(count >= least)
-    often = often[np.argsort(-count[often], kind="stable")][: 4 * most]
+    often = often[np.argsort(-count[often], kind="stable")]
     lefts, rights, chosen = set(), set(), []
     for key in keys[edge[often]].tolist():
         a, b = key >> bits, key & ((1 << bits) - 1)
-        if a != b and a not in rights and b not in lefts:
+        if a not in rights and b not in lefts and (a != b or a not in lefts and a not in rights):
             lefts.add(a)
             rights.add(b)
             chosen.append((a, b))
@@ -79,6 +80,12 @@ def replaced(symbols: np.ndarray, pairs: list[tuple[int, int]], first: int) -> n
     at = np.flatnonzero((r > 0) & (c > 0))
     rule = grid[r[at], c[at]]
     at, rule = at[rule > 0], rule[rule > 0]
+    equal = symbols[at] == symbols[at + 1]
+    if equal.any():  # of a run of equals every second place
+        first_of = np.concatenate([[True], (np.diff(at) > 1) | ~(equal[1:] & equal[:-1])])
+        begin = np.maximum.accumulate(np.where(first_of, np.arange(len(at)), 0))
+        taken = (np.arange(len(at)) - begin) % 2 == 0
+        at, rule = at[taken], rule[taken]
     out = symbols.copy()
     out[at] = first + rule - 1
     keep = np.ones(len(out), bool)
@@ -93,29 +100,30 @@ def compress(documents: list[np.ndarray], end_id: int = END_ID) -> bytes:
     base = int(symbols.max()) + 1
     rules: list[tuple[int, int]] = []
     lengths = np.ones(base, np.uint32)
-    for _ in range(ROUNDS):
-        pairs = frequent_pairs(symbols, end_id, LEAST_COUNT, ROUND_PAIRS)
-        if not pairs:
-            break
+    while pairs := frequent_pairs(symbols, end_id, LEAST_COUNT, ROUND_PAIRS):
         symbols = replaced(symbols, pairs, base + len(rules))
         rules += pairs
         lengths = np.concatenate([lengths, lengths[[a for a, _ in pairs]] + lengths[[b for _, b in pairs]]])
     at = np.concatenate([[0], np.cumsum(lengths[symbols], dtype=np.int64)])
     starts = np.searchsorted(at, firsts)
-    width = 2 if base + len(rules) <= 1 << 16 else 4
-    kind = f"<u{width}"
+    width = next(w for w in (2, 3, 4) if base + len(rules) <= 1 << 8 * w)
     return b"".join(
         [
             struct.pack(_HEAD, MAGIC, len(documents), len(rules), len(symbols), width, base),
-            np.array(rules, kind).tobytes(),
+            _narrow(np.array(rules, "<u4"), width),
             lengths[base:].astype("<u4").tobytes(),
-            symbols.astype(kind).tobytes(),
+            _narrow(symbols, width),
             starts.astype("<u8").tobytes(),
             firsts.astype("<u8").tobytes(),
         ]
     )
 
 
+def _narrow(symbols: np.ndarray, width: int) -> bytes:
+    """Symbols in `width` bytes each."""
+    return np.ascontiguousarray(symbols, "<u4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
 class Shard:
     """A payload, read in place."""
 
@@ -131,9 +139,14 @@ class Shard:
             at += out.nbytes
             return out
 
-        self.rules = read(f"<u{width}", 2 * rules).reshape(-1, 2)
+        def wide(n):
+            out = np.zeros((n, 4), np.uint8)
+            out[:, :width] = read(np.uint8, n * width).reshape(n, width)
+            return out.view("<u4").ravel()
+
+        self.rules = wide(2 * rules).reshape(-1, 2)
         self.lengths = read("<u4", rules)
-        self.symbols = read(f"<u{width}", symbols)
+        self.symbols = wide(symbols)
         self.starts = read("<u8", self.documents + 1).astype(np.int64)
         self.firsts = read("<u8", self.documents + 1).astype(np.int64)
         self._flat()

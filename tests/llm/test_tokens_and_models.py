@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortloom.llm import gru_lm, langid, packing, repair_store, text, wrappers, zstd_quality
 from cohortloom.llm.token_ids import Encoder
 
-ODD = ["", " ", "\n", "  a b", "a  b ", " x", "x \n y", "a\xa0 b", "<|endoftext|> a <|endoftext|>b", "don't 's  're", "\0a b", "tab\t x", "ünï cödé 漢字 かな", "a.b, c! d?", "x" * 3000, "word. Word.  word,\n\nword"]
+ODD = ["", " ", "\n", "\n\n", " \n b", "a\n b", "a\n\n\nb c\n", "a\t\nb", "a\x1c b\x1c\nc \x1cd", "a.\nB. c\n'sd\n.x", "  a b", "a  b ", " x", "x \n y", "a\xa0 b", "<|endoftext|> a <|endoftext|>b", "don't 's  're", "\0a b", "tab\t x", "ünï cödé 漢字 かな", "a.b, c! d?", "x" * 3000, "word. Word.  word,\n\nword"]
 
 
 def direct(encoder, text):
@@ -22,7 +22,7 @@ def direct(encoder, text):
 def test_encoder_is_the_tokenizer(remembered):
     encoder = Encoder(remembered=remembered)
     rng = random.Random(1)
-    alphabet = ["a", "word", ".", ",", " ", " ", "\n", "'s", "é", "12", "\t", "x"]
+    alphabet = ["a", "word", ".", ",", " ", " ", "\n", "'s", "é", "12", "\t", "x", "\u2028", "\xa0", "&", "(", "\u0301"]
     for turn in range(40):
         texts = ODD if turn == 0 else ["".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(20)]
         ids, counts = encoder.encode(texts)
@@ -48,6 +48,28 @@ def test_shards_decode_to_the_same_ids():
         repair_store.Shard(b"XXXX" + payload[4:])
 
 
+def test_pairs_are_replaced_to_the_end():
+    run, period = np.full(20_000, 7), np.tile(np.arange(100, 132), 2000)
+    for ids, most in ((run, 40), (period, 80)):
+        document = np.append(ids, 2).astype(np.uint32)
+        shard = repair_store.Shard(repair_store.compress([document, document]))
+        assert len(shard.symbols) + len(shard.rules) < 2 * most
+        assert (shard.ids(1, 2) == document).all() and (shard.slice(0, 777, 5001) == document[777:5001]).all()
+    rng = np.random.default_rng(4)
+    document = np.append(np.repeat(rng.integers(3, 6, 9000), rng.integers(1, 9, 9000)), 2).astype(np.uint32)
+    shard = repair_store.Shard(repair_store.compress([document]))
+    assert (shard.ids(0, 1) == document).all()
+    pairs, counts = np.unique(np.stack([shard.symbols[:-2], shard.symbols[1:-1]]), axis=1, return_counts=True)
+    # equal pairs overlap, so a pair of equals may be counted twice as often as it can be replaced
+    assert counts[pairs[0] != pairs[1]].max() < repair_store.LEAST_COUNT
+
+
+def test_wide_symbols_come_back():
+    ids = np.arange(1 << 17, dtype=np.uint32) + 3
+    shard = repair_store.Shard(repair_store.compress([np.append(ids, 2).astype(np.uint32)]))
+    assert (shard.ids(0, 1)[:-1] == ids).all()
+
+
 def test_shards_of_a_table(spark):
     texts = ODD + [None, "again", "again"]
     docs = spark.createDataFrame([(100 - i if i else None, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, payload string")
