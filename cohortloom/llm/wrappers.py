@@ -1,9 +1,10 @@
-"""Main text of pages through wrappers: union-free regular expressions inferred for every host.
+"""Main text of pages through wrappers: union-free regular expressions inferred for every template of a host.
 
-A page is a stream of block tags and texts, read as a tree.  The trees of some pages of a host are
-aligned one after the other: equal neighbours become a repeated group, what only one side has becomes
-an optional group, differing texts become a slot.  The wrapper tells where the varying text lies and
-which texts never vary; it is then applied to every page of the host.
+A page is a stream of block tags and texts, read as a tree.  The trees of all pages of a host with the
+same upper elements (a template) are aligned: equal neighbours become a repeated group, what only one
+side has becomes an optional group, differing texts become a slot.  Tasks align the pages they read;
+what they found is aligned in lots, then by template, and by host for templates of few pages.  The
+wrapper tells where the varying text lies and which texts never vary; it is then applied to every page.
 """
 
 from __future__ import annotations
@@ -11,19 +12,27 @@ from __future__ import annotations
 import html
 import json
 import re
-from functools import lru_cache
+from collections.abc import Iterable
+from functools import lru_cache, reduce
+from hashlib import blake2b
 from urllib.parse import urlsplit
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.llm.text import held, parts, small_batches
 
-#: A wrapper is inferred from so many pages of a host at most, none longer than SAMPLE_CHARS; it is applied to all.
-SAMPLE_PAGES, SAMPLE_CHARS = 8, 200_000
+#: Pages of a host with the same elements down to this depth have one template.
+TEMPLATE_DEPTH = 3
+#: More neighbours of different labels than this, or more nodes in a wrapper, become one repeated group of optional elements.
+MOST_KIDS, MOST_NODES = 100, 20_000
+#: Templates and nodes that a task holds before it hands its wrappers on; tasks whose wrappers are aligned together.
+HELD_TEMPLATES, HELD_NODES, LOT_TASKS = 512, 200_000, 128
+#: Longer constant texts stand in a wrapper as a digest of the whole text.
+LONG_TEXT = 256
 #: Elements nested deeper than this are read as if they stood at this depth.
 DEEPEST = 100
 #: A text that is the same on so many different pages belongs to the wrapper, where no article is marked.
@@ -117,43 +126,73 @@ def parse(page: str) -> Element:
 class Pattern:
     """A node of a wrapper: its element or text, how often it occurs, and what varies."""
 
-    __slots__ = ("label", "name", "chrome", "kids", "optional", "repeated", "text", "letters", "pages", "worded")
+    __slots__ = ("label", "name", "chrome", "kids", "optional", "repeated", "loose", "text", "letters", "pages", "worded", "size")
 
-    def __init__(self, label: str, name: str = "", chrome: bool = False, pages: int = 1):
+    def __init__(self, label: str, name: str = "", chrome: bool = False, pages: tuple[int, ...] = (0,)):
         self.label, self.name, self.chrome = label, name, chrome
         self.worded = False
-        self.pages = pages  # one bit for each page that has it
+        self.pages = pages  # digests of pages that have it, the FIXED_PAGES smallest
         self.kids: list[Pattern] = []
         self.optional = self.repeated = False
+        self.loose = False  # the kids come in any order: a repeated group of optional elements
         self.text: str | None = None  # a constant; None in a text node is a slot
         self.letters = 0
+        self.size = 1
 
     def expression(self) -> str:
         if self.label == "#":
             inner = "#" if self.text is None else re.sub(r"([()#?+<>\\])", r"\\\1", self.text)
         else:
-            inner = f"<{self.label}>" + "".join(k.expression() for k in self.kids) + f"</{self.name}>"
+            kids = "".join(k.expression() for k in self.kids)
+            inner = f"<{self.label}>" + (f"({kids})+" if self.loose else kids) + f"</{self.name}>"
         return f"({inner})" + ("+" if self.repeated else "") + ("?" if self.optional else "") if self.repeated or self.optional else inner
 
+    def dump(self) -> list:
+        flags = sum(bit << k for k, bit in enumerate((self.chrome, self.worded, self.optional, self.repeated, self.loose)))
+        return [self.label, self.name, flags, self.text, self.letters, self.pages, [k.dump() for k in self.kids]]
+
+
+def loaded(dump: list) -> Pattern:
+    label, name, flags, text, letters, pages, kids = dump
+    out = Pattern(label, name, bool(flags & 1), tuple(pages))
+    out.worded, out.optional, out.repeated, out.loose = (bool(flags >> k & 1) for k in range(1, 5))
+    out.text, out.letters = text, letters
+    return with_kids(out, [loaded(k) for k in kids])
+
+
+def with_kids(node: Pattern, kids: list[Pattern]) -> Pattern:
+    node.kids = kids
+    node.size = 1 + sum(k.size for k in kids)
+    return node
+
 
 def clean(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
 
-def pattern_of(element: Element, page: int = 0) -> Pattern:
-    own = Pattern(element.label, element.name, element.chrome, 1 << page)
+def digest(text: str, size: int) -> str:
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=size).hexdigest()
+
+
+def constant(words: str) -> str:
+    """A text as it stands in a wrapper: a long one as the digest of the whole of it."""
+    return words if len(words) <= LONG_TEXT else "\0" + digest(words, 16)
+
+
+def pattern_of(element: Element, pages: tuple[int, ...] = (0,)) -> Pattern:
+    own = Pattern(element.label, element.name, element.chrome, pages)
     own.worded = element.worded
+    kids = []
     for kid in element.kids:
         if isinstance(kid, str):
             words = clean(kid)
             if words:
-                node = Pattern("#", pages=1 << page)
-                node.text, node.letters = words, len(words)
-                own.kids.append(node)
+                node = Pattern("#", pages=pages)
+                node.text, node.letters = constant(words), len(words)
+                kids.append(node)
         else:
-            own.kids.append(pattern_of(kid, page))
-    own.kids = folded(own.kids)
-    return own
+            kids.append(pattern_of(kid, pages))
+    return ordered(own, folded(kids))
 
 
 def folded(kids: list[Pattern]) -> list[Pattern]:
@@ -168,15 +207,38 @@ def folded(kids: list[Pattern]) -> list[Pattern]:
     return out
 
 
+def ordered(node: Pattern, kids: list[Pattern], most: int = MOST_KIDS) -> Pattern:
+    """The node with these kids, in their order or, where they are too many, in any."""
+    if node.loose or len(kids) > most:
+        node.loose = True
+        kids = any_order(kids)
+    return with_kids(node, kids)
+
+
+def any_order(kids: list[Pattern]) -> list[Pattern]:
+    """One optional, repeated kid for each name; names beyond MOST_KIDS share one."""
+    out: dict[str, Pattern] = {}
+    for kid in kids:
+        if kid.label != "#":
+            kid.label = kid.name = kid.name if kid.name in out or len(out) < MOST_KIDS else "*"
+        out[kid.label] = merged(out[kid.label], kid) if kid.label in out else kid
+    for kid in out.values():
+        kid.optional = kid.repeated = True
+    return [out[label] for label in sorted(out)]
+
+
 def merged(a: Pattern, b: Pattern) -> Pattern:
     """The least union-free expression of this kind for what either describes."""
-    out = Pattern(a.label, a.name, a.chrome or b.chrome, a.pages | b.pages)
+    out = Pattern(a.label, a.name, a.chrome or b.chrome, a.pages if a.pages == b.pages else tuple(sorted({*a.pages, *b.pages})[:FIXED_PAGES]))
     out.optional, out.repeated = a.optional or b.optional, a.repeated or b.repeated
     out.letters = a.letters + b.letters
     out.worded = a.worded
+    out.loose = a.loose or b.loose
     if a.label == "#":
         out.text = a.text if a.text == b.text else None
         return out
+    if out.loose:
+        return ordered(out, [*a.kids, *b.kids])
     kids: list[Pattern] = []
     for x, y in aligned(a.kids, b.kids):
         if x and y:
@@ -184,10 +246,22 @@ def merged(a: Pattern, b: Pattern) -> Pattern:
         else:
             kids.append(x or y)
             kids[-1].optional = True
-    out.kids = folded(kids)
+    return ordered(out, folded(kids))
+
+
+def together(a: Pattern, b: Pattern) -> Pattern:
+    """Two wrappers as one of at most MOST_NODES nodes, looser where it would be larger."""
+    out, most = merged(a, b), MOST_KIDS
+    while out.size > MOST_NODES and most > 1:
+        most //= 2
+        out = loosened(out, most)
     return out
 
 
+def loosened(node: Pattern, most: int) -> Pattern:
+    return ordered(node, [loosened(k, most) for k in node.kids], most)
+
+
 def aligned(a: list[Pattern], b: list[Pattern]):
     """Pairs of equal labels in order (a longest common subsequence); the rest stands alone."""
     n, m = len(a), len(b)
@@ -257,7 +331,7 @@ def fixed_texts(node: Pattern) -> list | None:
 
     A place is [label, text or null, kids]; kids without such a text stand as labels alone.
     """
-    if node.repeated or node.pages.bit_count() < FIXED_PAGES:
+    if node.repeated or len(node.pages) < FIXED_PAGES:
         return None
     if node.label == "#":
         return None if node.text is None else ["#", node.text, []]
@@ -267,20 +341,65 @@ def fixed_texts(node: Pattern) -> list | None:
     return [node.label, None, [k or [own.label, None, []] for k, own in zip(kids, node.kids)]]
 
 
-def infer(pages: list[str]) -> tuple[str, list[str], list[str]]:
-    """Expression, path to the main element and fixed texts of the pages' wrapper (their places, as one JSON text)."""
-    wrapper, distinct = None, sorted(set(pages))
-    for k, page in enumerate(distinct):
-        own = pattern_of(parse(page), k)
-        wrapper = own if wrapper is None else merged(wrapper, own)
-    if wrapper is None:
-        return "", [], []
+def template(root: Element) -> str:
+    """The digest of the distinct paths down to TEMPLATE_DEPTH."""
+    paths, level = set(), [(root, "")]
+    for _ in range(TEMPLATE_DEPTH):
+        level = [(k, f"{path}/{k.label}") for e, path in level for k in e.kids if not isinstance(k, str)]
+        paths.update(path for _, path in level)
+    return digest("\n".join(sorted(paths)), 8)
+
+
+def page_pattern(page: str) -> tuple[str, Pattern]:
+    """The template of a page, and the page as a wrapper of its own."""
+    root = parse(page)
+    return template(root), pattern_of(root, (int(digest(page, 7), 16),))
+
+
+def described(wrapper: Pattern) -> tuple[str, list[str], list[str]]:
+    """Expression, path to the main element and fixed texts of a wrapper (their places, as one JSON text)."""
     path = main_path(wrapper)
     marked = any(label.split(".")[0] in MAIN for label in path)
     fixed = None if marked else fixed_texts(wrapper)
     return wrapper.expression(), path, [json.dumps(fixed)] if fixed else []
 
 
+def infer(pages: list[str]) -> tuple[str, list[str], list[str]]:
+    """Expression, path to the main element and fixed texts of the pages' one wrapper."""
+    if not pages:
+        return "", [], []
+    return described(reduce(together, (page_pattern(p)[1] for p in sorted(set(pages)))))
+
+
+class Wrappers:
+    """The wrappers of a task's pages by host and template, handed on before they grow large."""
+
+    def __init__(self):
+        self.own: dict[tuple[str, str], Pattern] = {}
+        self.nodes = 0
+
+    def add(self, host: str, page: str) -> bool:
+        """Whether it is time to hand them on."""
+        form, one = page_pattern(page)
+        before = self.own.get((host, form))
+        now = one if before is None else together(before, one)
+        self.own[host, form] = now
+        self.nodes += now.size - (before.size if before else 0)
+        return len(self.own) >= HELD_TEMPLATES or self.nodes >= HELD_NODES
+
+    def take(self) -> Iterable[tuple[str, str, str]]:
+        """host, template, wrapper; the template '' stands for the host's pages of all templates."""
+        hosts: dict[str, Pattern] = {}
+        for (host, form), own in sorted(self.own.items()):
+            written = json.dumps(own.dump())
+            yield host, form, written
+            own = loaded(json.loads(written))
+            hosts[host] = together(hosts[host], own) if host in hosts else own
+        for host, own in hosts.items():
+            yield host, "", json.dumps(own.dump())
+        self.own, self.nodes = {}, 0
+
+
 # ---- extraction -----------------------------------------------------------------------------------
 
 
@@ -343,7 +462,7 @@ def without_fixed(root: Element, fixed: Place) -> None:
         for run, at in [*zip(runs[:same], place.kids[:same]), *aligned(runs[same:], place.kids[same:])]:
             if run and at and len(run.kids) == 1:
                 kid = element.kids[run.kids[0]]
-                if at.text is not None and clean(kid) == at.text:
+                if at.text is not None and constant(clean(kid)) == at.text:
                     element.kids[run.kids[0]] = ""
                 elif at.kids:
                     stack.append((kid, at))
@@ -398,52 +517,83 @@ def host_of(url: str | None) -> str:
         return ""
 
 
+def _of_pages(url: str, content: str) -> list:
+    return [F.col(f"`{url}`").cast("string").alias("url"), F.col(f"`{content}`").cast("string").alias("html")]
+
+
 def infer_wrappers(pages: DataFrame, url: str = "url", content: str = "html") -> DataFrame:
-    """host, expression, path, fixed: one wrapper for each host, from a bounded sample of its pages.
+    """host, template, expression, path, fixed: one wrapper for each template, from all its pages.
 
-    The sample takes pages in the order of a hash.  Pages without html say nothing; those without a
-    host share the host ''.
+    A template of fewer than FIXED_PAGES different pages has the wrapper of all pages of its host.  Pages
+    without html say nothing; those without a host share the host ''.  A task reads its pages one after
+    the other; the wrappers of LOT_TASKS tasks are aligned first, then those of a template, so the
+    pages of a host, however many, never meet in a task.
     """
-    slim = pages.select(F.col(f"`{url}`").cast("string").alias("url"), F.col(f"`{content}`").cast("string").alias("html")).where(f"html IS NOT NULL AND length(html) <= {SAMPLE_CHARS}")
-    slim = slim.withColumn("host", _host("url")).withColumn("place", F.xxhash64("html"))
-    first = Window.partitionBy("host").orderBy("place")
-    sample = slim.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= SAMPLE_PAGES).select("host", "html")
+    slim = pages.select(*_of_pages(url, content)).where("html IS NOT NULL")
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        expression, path, fixed = infer(rows["html"].tolist())
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "expression": [expression], "path": [path], "fixed": [fixed]})
+    def read_pages(batches):
+        held_back = Wrappers()
 
-    return sample.groupBy("host").applyInPandas(run, "host string, expression string, path array<string>, fixed array<string>")
+        def handed_on():
+            columns = list(zip(*held_back.take())) or [(), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["host", "template", "wrapper"])
 
+        for batch in parts(batches):
+            for where, page in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
+                if held_back.add(host_of(where), page):
+                    yield handed_on()
+        yield handed_on()
+
+    def one(rows: pd.DataFrame) -> Pattern:
+        return reduce(together, (loaded(json.loads(w)) for w in sorted(rows["wrapper"])))
 
-@F.pandas_udf(T.StringType())
-def _host_udf(urls: pd.Series) -> pd.Series:
-    return urls.map(host_of)
+    def lot(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"host": rows["host"].iloc[:1], "template": rows["template"].iloc[:1], "wrapper": [json.dumps(one(rows).dump())]})
 
+    def whole(rows: pd.DataFrame) -> pd.DataFrame:
+        wrapper = one(rows)
+        expression, path, fixed = described(wrapper)
+        enough = len(wrapper.pages) >= FIXED_PAGES
+        return pd.DataFrame({"host": rows["host"].iloc[:1], "template": rows["template"].iloc[:1], "enough": [enough], "expression": [expression], "path": [path], "fixed": [fixed]})
 
-def _host(column: str):
-    return _host_udf(F.col(column))
+    written = "host string, template string, wrapper string"
+    read = slim.mapInArrow(read_pages, written).withColumn("lot", F.floor(F.spark_partition_id() / LOT_TASKS))
+    lots = read.groupBy("host", "template", "lot").applyInPandas(lot, written)
+    found = held(lots.groupBy("host", "template").applyInPandas(whole, "host string, template string, enough boolean, expression string, path array<string>, fixed array<string>"))
+    parts_of = ("expression", "path", "fixed")
+    hosts = found.where("template = ''").select("host", F.struct(*parts_of).alias("all"))
+    own = found.where("template <> ''").select("host", "template", "enough", F.struct(*parts_of).alias("own"))
+    return own.join(hosts, "host").select("host", "template", F.expr("IF(enough, own, all)").alias("w")).select("host", "template", "w.*")
 
 
 def extract(pages: DataFrame, url: str = "url", content: str = "html", carry: list[str] | None = None) -> DataFrame:
     """`row` (the carried columns), text and n_chars of every page.
 
-    Null and empty html have an empty text.  Repeated rows are extracted each; an empty table gives
-    no rows.  A page longer than the sample's limit is read by its host's wrapper like any other.
+    Null and empty html have an empty text.  Repeated rows are extracted each, and count as one page
+    where different pages are asked for; an empty table gives no rows; long pages are read like any
+    other; carried columns may have any name.
     """
     small_batches(pages.sparkSession)
-    wrappers = held(infer_wrappers(pages, url, content))
+    wrappers = infer_wrappers(pages, url, content)
     kept = F.struct(*[F.col(f"`{c}`") for c in (pages.columns if carry is None else carry)])
-    slim = pages.select(kept.alias("row"), _host_udf(F.col(f"`{url}`").cast("string")).alias("host"), F.col(f"`{content}`").cast("string").alias("html"))
-    joined = slim.join(wrappers.select("host", "path", "fixed"), "host", "left").select("row", "html", "path", "fixed")
-    schema = T.StructType([joined.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+    slim = pages.select(kept.alias("row"), *_of_pages(url, content))
+    row = slim.schema["row"]
+    placed = T.StructType([row, *(T.StructField(name, T.StringType()) for name in ("host", "template", "html"))])
+    schema = T.StructType([row, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+
+    def place(batches):
+        for batch in parts(batches):
+            hosts = [host_of(u) for u in batch.column(1).to_pylist()]
+            forms = [None if h is None else template(parse(h)) for h in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hosts, pa.string()), pa.array(forms, pa.string()), batch.column(2)], names=placed.names)
 
     def run(batches):
         for batch in parts(batches):
             texts = [main_text(h or "", p or [], set(f or ())) for h, p, f in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.names)
 
-    return joined.mapInArrow(run, schema)
+    joined = slim.mapInArrow(place, placed).join(wrappers.select("host", "template", "path", "fixed"), ["host", "template"], "left")
+    return joined.select("row", "html", "path", "fixed").mapInArrow(run, schema)
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

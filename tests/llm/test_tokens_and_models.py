@@ -1,5 +1,6 @@
 """Shards, packing, language model, classifiers and wrappers."""
 
+import json
 import random
 import time
 import zlib
@@ -376,3 +377,57 @@ def test_broken_pages_take_time_in_proportion(piece):
 
     seconds(1000)
     assert seconds(160_000) < 100 * max(seconds(10_000), 0.003)
+
+
+def _two_templates(n):
+    """Pages of one host without marked articles, in two templates, with the text that each should give."""
+    made = []
+    for k in range(n):
+        body = [f"paragraph {k} {j} says something" for j in range(1 + k % 3)]
+        blocks = "".join(f"<p>{b}</p>" for b in body)
+        if k % 2:
+            made.append((f"<html><body><div class='top'><b>Our paper</b></div><div class='story'>{blocks}</div><div class='end'><i>Imprint</i></div></body></html>", "\n".join(body)))
+        else:
+            made.append((f"<html><body><table class='bar'><tr><td>Home</td></tr></table><section class='text'>{blocks}</section></body></html>", "\n".join(body)))
+    return made
+
+
+def test_wrappers_come_from_all_pages_of_a_template(spark):
+    made = _two_templates(40)
+    made += [(made[0][0], made[0][1])] * 5
+    pages = spark.createDataFrame([(k, "https://one.example/x", h, "clash", 1) for k, (h, _) in enumerate(made)], "page_id long, url string, html string, template string, host int").repartition(7)
+    got = {r["row"]["page_id"]: r for r in wrappers.extract(pages).collect()}
+    assert len(got) == len(made) and {r["row"]["template"] for r in got.values()} == {"clash"}
+    assert [got[k]["text"] for k in range(len(made))] == [text for _, text in made]
+    found = wrappers.infer_wrappers(pages).collect()
+    assert len(found) == 2 and sorted(r["path"][-1] for r in found) == ["div.story", "section.text"]
+
+
+def test_a_text_that_varies_on_a_late_page_is_no_frame(spark):
+    made = [f"<html><body><h3>Series</h3><p>text {k}</p></body></html>" for k in range(30)] + ["<html><body><h3>Another head</h3><p>text x</p></body></html>"]
+    pages = spark.createDataFrame([(k, "https://one.example/x", h) for k, h in enumerate(made)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in wrappers.main_texts(pages).collect()}
+    assert got[0] == "Series\ntext 0" and got[30] == "Another head\ntext x"
+
+
+def test_large_wrappers_become_loose():
+    kinds = ("h2", "p", "ul", "pre")
+    long = "<html><body>" + "".join(f"<{kinds[j * 7 % 4]}>part {j}</{kinds[j * 7 % 4]}>" for j in range(5000)) + "</body></html>"
+    short = "<html><body><p>a</p><h2>b</h2></body></html>"
+    expression, path, fixed = wrappers.infer([long, short])
+    assert expression == "<page><html><body>((<h2>#</h2>)+?(<p>#</p>)+?(<pre>#</pre>)+?(<ul>#</ul>)+?)+</body></html></page>"
+    assert wrappers.main_text(long, path, set(fixed)).count("\n") == 4999
+    odd = [f"<html><body>{''.join(f'<x{k}-{j}>t</x{k}-{j}>' for j in range(300))}</body></html>" for k in range(300)]
+    bounded = wrappers.reduce(wrappers.together, (wrappers.page_pattern(p)[1] for p in odd))
+    assert bounded.size <= 2 * wrappers.MOST_KIDS + 10
+
+
+def test_wrappers_are_handed_on_whole():
+    kept = wrappers.Wrappers()
+    for page, _ in _two_templates(9):
+        kept.add("h", page)
+    rows = list(kept.take())
+    assert [form == "" for _, form, _ in rows] == [False, False, True] and not kept.own and not kept.nodes
+    back = wrappers.loaded(json.loads(rows[0][2]))
+    assert json.dumps(back.dump()) == rows[0][2]
+    assert len(wrappers.loaded(json.loads(rows[2][2])).pages) == wrappers.FIXED_PAGES
