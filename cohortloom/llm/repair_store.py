@@ -40,57 +40,80 @@ ROUND_PAIRS, LEAST_COUNT = 4096, 16
 _HEAD = "<4s5I"
 
 
-def frequent_pairs(symbols: np.ndarray, end_id: int, least: int, most: int) -> list[tuple[int, int]]:
-    """The most frequent pairs such that none overlap: a symbol is a left one, a right one, or both in one pair of equals."""
-    kind, bits = (np.uint32, 16) if symbols.max(initial=0) < 1 << 16 else (np.uint64, 32)
-    plain = symbols.astype(kind)
-    keys = plain[:-1] << kind(bits) | plain[1:]
-    apart = symbols != end_id
-    keys = keys[apart[:-1] & apart[1:]]
-    if len(keys) == 0:
-        return []
+def frequent_pairs(a: np.ndarray, b: np.ndarray, least: int, most: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Of pairs a[i], b[i]: the most frequent such that none overlap, and the other frequent ones.
+
+    A symbol is a left one, a right one, or both in one pair of equals.
+    """
+    if len(a) == 0:
+        return [], []
+    kind, bits = (np.uint32, 16) if max(a.max(), b.max()) < 1 << 16 else (np.uint64, 32)
+    keys = a.astype(kind) << kind(bits) | b.astype(kind)
     keys.sort()
     edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     count = np.diff(np.concatenate([edge, [len(keys)]]))
     often = np.flatnonzero(count >= least)
     often = often[np.argsort(-count[often], kind="stable")]
-    lefts, rights, chosen = set(), set(), []
+    lefts, rights, chosen, others = set(), set(), [], []
     for key in keys[edge[often]].tolist():
-        a, b = key >> bits, key & ((1 << bits) - 1)
-        if a not in rights and b not in lefts and (a != b or a not in lefts and a not in rights):
-            lefts.add(a)
-            rights.add(b)
-            chosen.append((a, b))
-            if len(chosen) == most:
-                break
-    return chosen
-
-
-def replaced(symbols: np.ndarray, pairs: list[tuple[int, int]], first: int) -> np.ndarray:
-    """All occurrences of the pairs replaced by the symbols first, first + 1, …"""
+        x, y = key >> bits, key & ((1 << bits) - 1)
+        if len(chosen) < most and x not in rights and y not in lefts and (x != y or x not in lefts and x not in rights):
+            lefts.add(x)
+            rights.add(y)
+            chosen.append((x, y))
+        else:
+            others.append((x, y))
+    return chosen, others
+
+
+def occurrences(a: np.ndarray, b: np.ndarray, at: np.ndarray, pairs: list[tuple[int, int]], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places out of `at` where one of the pairs a, b begins, and which one; of a run of equals every second place."""
     lefts, rights = (sorted({p[k] for p in pairs}) for k in (0, 1))
-    size = int(max(symbols.max(), lefts[-1], rights[-1])) + 1
-    row, column = np.zeros(size, np.int32), np.zeros(size, np.int32)
+    row, column = np.zeros(size, np.int16), np.zeros(size, np.int16)
     row[lefts] = np.arange(1, len(lefts) + 1)
     column[rights] = np.arange(1, len(rights) + 1)
-    grid = np.zeros((len(lefts) + 1, len(rights) + 1), np.int32)
-    a, b = np.array(pairs).T
-    grid[row[a], column[b]] = np.arange(1, len(pairs) + 1)
-    r, c = row[symbols[:-1]], column[symbols[1:]]
-    at = np.flatnonzero((r > 0) & (c > 0))
-    rule = grid[r[at], c[at]]
-    at, rule = at[rule > 0], rule[rule > 0]
-    equal = symbols[at] == symbols[at + 1]
-    if equal.any():  # of a run of equals every second place
+    grid = np.zeros((len(lefts) + 1, len(rights) + 1), np.int16)
+    x, y = np.array(pairs).T
+    grid[row[x], column[y]] = np.arange(1, len(pairs) + 1)
+    rule = grid[row[a], column[b]]
+    found = np.flatnonzero(rule)
+    at, rule, equal = at[found], rule[found].astype(np.int64) - 1, a[found] == b[found]
+    if equal.any():
         first_of = np.concatenate([[True], (np.diff(at) > 1) | ~(equal[1:] & equal[:-1])])
         begin = np.maximum.accumulate(np.where(first_of, np.arange(len(at)), 0))
         taken = (np.arange(len(at)) - begin) % 2 == 0
         at, rule = at[taken], rule[taken]
-    out = symbols.copy()
-    out[at] = first + rule - 1
-    keep = np.ones(len(out), bool)
-    keep[at + 1] = False
-    return out[keep]
+    return at, rule
+
+
+def grammar(symbols: np.ndarray, end_id: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The symbols with frequent pairs replaced, and the rules; rule r is the symbol max + 1 + r.
+
+    A pair of old symbols never becomes more frequent, so after the first round only places count that
+    have a new symbol or a pair that was frequent and not replaced.
+    """
+    first = int(symbols.max()) + 1
+    rules: list[tuple[int, int]] = []
+    at = np.flatnonzero((symbols[:-1] != end_id) & (symbols[1:] != end_id))
+    while True:
+        a, b = symbols[at], symbols[at + 1]
+        pairs, others = frequent_pairs(a, b, LEAST_COUNT, ROUND_PAIRS)
+        if not pairs:
+            return symbols, rules
+        size = first + len(rules)
+        where, rule = occurrences(a, b, at, pairs, size)
+        left, right = np.zeros(size, bool), np.zeros(size, bool)
+        left[[x for x, _ in others]] = True
+        right[[y for _, y in others]] = True
+        keep, new, open_ = np.ones(len(symbols), bool), np.zeros(len(symbols), bool), np.zeros(len(symbols), bool)
+        keep[where + 1] = False
+        new[where] = True
+        open_[at[left[a] & right[b]]] = True
+        symbols[where] = size + rule
+        rules += pairs
+        symbols, new, open_ = symbols[keep], new[keep], open_[keep]
+        at = np.flatnonzero(new[:-1] | new[1:] | open_[:-1])
+        at = at[(symbols[at] != end_id) & (symbols[at + 1] != end_id)]
 
 
 def compress(documents: list[np.ndarray], end_id: int = END_ID) -> bytes:
@@ -98,12 +121,11 @@ def compress(documents: list[np.ndarray], end_id: int = END_ID) -> bytes:
     symbols = np.concatenate(documents).astype(np.uint32)
     firsts = np.concatenate([[0], np.cumsum([len(d) for d in documents])])
     base = int(symbols.max()) + 1
-    rules: list[tuple[int, int]] = []
-    lengths = np.ones(base, np.uint32)
-    while pairs := frequent_pairs(symbols, end_id, LEAST_COUNT, ROUND_PAIRS):
-        symbols = replaced(symbols, pairs, base + len(rules))
-        rules += pairs
-        lengths = np.concatenate([lengths, lengths[[a for a, _ in pairs]] + lengths[[b for _, b in pairs]]])
+    symbols, rules = grammar(symbols, end_id)
+    lengths = [1] * base
+    for x, y in rules:
+        lengths.append(lengths[x] + lengths[y])
+    lengths = np.array(lengths, np.uint32)
     at = np.concatenate([[0], np.cumsum(lengths[symbols], dtype=np.int64)])
     starts = np.searchsorted(at, firsts)
     width = next(w for w in (2, 3, 4) if base + len(rules) <= 1 << 8 * w)
