@@ -3,8 +3,8 @@
 Words are counted on Spark.  The most frequent ones are outputs of the model, in classes of equal
 size; every other word belongs to a tail class named by its ending and has the unigram probability
 of its class.  The output softmax is factored: class given state, then word given class and state.
-The model is trained in numpy with truncated backpropagation, shard by shard from a share of the
-corpus, and the shards' parameters are averaged after every round.  Scoring runs many texts side by
+The model is trained in numpy with truncated backpropagation, shard by shard on all training texts,
+and the shards' parameters are averaged after every round.  Scoring runs many texts side by
 side; the state is carried from window to window until a text ends.  Only bounded tables are
 broadcast: counts of words beyond them are joined.
 """
@@ -32,13 +32,14 @@ CLASS_WORDS, WORD_CLASSES, TAILS = 48, 42, 64
 #: Words whose counts are broadcast, at most: all that reach a count.
 TABLE_WORDS = 1 << 17
 HIDDEN = 16
-#: Share of the training texts that the weights are trained on, by a hash of the text; small corpora
-#: use more of it, up to all, for at least LEAST_TOKENS tokens, and several passes.
-TRAIN_SHARE, LEAST_TOKENS, MOST_PASSES = 1 / 16, 1_500_000, 6
-#: Tokens of a training shard, rounds of averaging, lanes and steps of a training window, step size.
-SHARD_TOKENS, ROUNDS, LANES, STEPS, RATE = 700_000, 2, 48, 20, 0.01
-#: Lanes and steps of a scoring window.
-SCORE_LANES, SCORE_STEPS = 768, 32
+#: The weights are trained on all training texts; a corpus of fewer tokens is passed over several times.
+LEAST_TOKENS, MOST_PASSES = 1_500_000, 6
+#: Tokens of a training shard, rounds of averaging (each with its own part of the texts), steps of a training window, step size.
+SHARD_TOKENS, ROUNDS, STEPS, RATE = 8_000_000, 2, 20, 0.01
+#: Least and most lanes of a training window; between them, as many as make WINDOWS windows.
+LANES, MOST_LANES, WINDOWS = 48, 512, 400
+#: Lanes and steps of a scoring window; rows whose logits are worked on at once, so that they stay in the cache.
+SCORE_LANES, SCORE_STEPS, CACHED_ROWS = 768, 32, 2048
 
 LOG10 = float(np.log(10))
 
@@ -87,9 +88,9 @@ class Lexicon:
         tails = np.array([tail_class(w) for w in words[self.own :]], np.int64)
         self.log_tail = np.log(tail_n + 0.5 * (tail_v + 1))
         number = np.arange(len(words))
-        self.kind = np.concatenate([number[: self.own] // CLASS_WORDS, WORD_CLASSES + tails]).astype(np.int64)
-        self.slot = np.where(number < self.own, number % CLASS_WORDS, 0)
-        self.row = np.concatenate([number[: self.own], CLASS_WORDS * WORD_CLASSES + tails]).astype(np.int64)
+        self.kind = np.concatenate([number[: self.own] // CLASS_WORDS, WORD_CLASSES + tails]).astype(np.int16)
+        self.slot = np.where(number < self.own, number % CLASS_WORDS, 0).astype(np.int16)
+        self.row = np.concatenate([number[: self.own], CLASS_WORDS * WORD_CLASSES + tails]).astype(np.int16)
         self.inside = np.concatenate([np.zeros(self.own), np.log(self.counts[self.own :] + 0.5) - self.log_tail[tails]])
         self.log_base = float(np.log(total + 0.5 * (distinct + 1)))
         self.base = np.log(self.counts + 0.5) - self.log_base
@@ -151,33 +152,52 @@ def step(x: np.ndarray, h: np.ndarray, state: np.ndarray):
     return n + z * (h - n), (r, z, inner, n)
 
 
-def log_softmax_at(logits: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log probability of one column of each row; the logits become the probabilities."""
-    logits -= logits.max(axis=1, keepdims=True)
-    rows = np.arange(len(at))
-    chosen = logits[rows, at].copy()
+def tame(p) -> bool:
+    """Whether no exponential of a logit can leave the range of its type: states are in [-1, 1], so the weights bound the logits."""
+    return max(np.abs(p[f"{k}_w"]).sum(axis=-2).max() + np.abs(p[f"{k}_b"]).max() for k in ("class", "word")) < 80
+
+
+def exponentials(h: np.ndarray, w: np.ndarray, b: np.ndarray, at: np.ndarray, plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log probability of one column of each row of h @ w + b; the exponentials of all columns, and their sums.
+
+    Unless `plain`, the maximum of a row is taken off first.
+    """
+    logits = h @ w
+    logits += b
+    if not plain:
+        logits -= logits.max(axis=1, keepdims=True)
+    chosen = logits[np.arange(len(at)), at]
     np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
-    logits /= total[:, None]
-    return chosen - np.log(total), logits
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    return chosen - np.log(total), logits, total
 
 
-def by_class(kind: np.ndarray):
-    """Numbers of the rows of each word class that occurs."""
-    order = np.argsort(kind, kind="stable")
-    ends = np.searchsorted(kind[order], np.arange(WORD_CLASSES + 1))
-    for k in range(WORD_CLASSES):
-        if ends[k] < ends[k + 1]:
-            yield k, order[ends[k] : ends[k + 1]]
+def by_class(kind: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """Order of the rows by class, and the place that each word class has in it."""
+    order = np.argsort(kind.astype(np.int16), kind="stable")  # sorted by digits
+    ends = np.searchsorted(kind[order], np.arange(WORD_CLASSES + 1)).tolist()
+    return order, [(k, slice(ends[k], ends[k + 1])) for k in range(WORD_CLASSES) if ends[k] < ends[k + 1]]
+
+
+def cached(rows: slice):
+    """The rows in runs of CACHED_ROWS."""
+    for begin in range(rows.start, rows.stop, CACHED_ROWS):
+        yield slice(begin, min(begin + CACHED_ROWS, rows.stop))
 
 
 def output(p, h: np.ndarray, kind: np.ndarray, slot: np.ndarray) -> np.ndarray:
     """Natural log of class given state and, for own words, word given class and state."""
-    logp, _ = log_softmax_at(h @ p["class_w"] + p["class_b"], kind)
-    for k, at in by_class(kind):
-        own, _ = log_softmax_at(h[at] @ p["word_w"][k] + p["word_b"][k], slot[at])
-        logp[at] += own
-    return logp
+    plain, (order, classes) = tame(p), by_class(kind)
+    h, kind, slot = h[order], kind[order], slot[order]
+    logp = np.empty(len(h), h.dtype)
+    for own in cached(slice(0, len(h))):
+        logp[own] = exponentials(h[own], p["class_w"], p["class_b"], kind[own], plain)[0]
+    for k, rows in classes:
+        for own in cached(rows):
+            logp[own] += exponentials(h[own], p["word_w"][k], p["word_b"][k], slot[own], plain)[0]
+    out = np.empty_like(logp)
+    out[order] = logp
+    return out
 
 
 def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
@@ -237,10 +257,18 @@ def score_texts(p, rows: list[np.ndarray], kinds: list[np.ndarray], slots: list[
 
 
 def train(p, rows: list[np.ndarray], kinds: list[np.ndarray], slots: list[np.ndarray], passes: int, rate: float = RATE):
-    """Truncated backpropagation through windows of STEPS tokens, the state carried on; Adam steps."""
-    place, fresh, size = strips(rows, LANES)
+    """Truncated backpropagation through windows of STEPS tokens, the state carried on; Adam steps.
+
+    The texts in a row are cut into lanes of equal length, so every token is trained on; a lane that begins
+    inside a text begins without a state.
+    """
     row, kind, slot = np.concatenate(rows), np.concatenate(kinds), np.concatenate(slots)
-    place = place[: int(np.median(size))] if len(size) > 1 else place  # the ragged end is left to the next round's order
+    lengths = np.array([len(r) for r in rows], np.int64)
+    lanes = min(MOST_LANES, max(LANES, passes * len(row) // (STEPS * WINDOWS)), max(1, len(row) // STEPS))
+    place, fresh = (np.full(-(-len(row) // lanes) * lanes, x) for x in (np.int32(-1), False))
+    place[: len(row)] = np.arange(len(row))
+    fresh[np.cumsum(lengths) - lengths] = True
+    place, fresh = (x.reshape(lanes, -1).T.copy() for x in (place, fresh))
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
     turn, windows = 0, max(1, -(-len(place) // STEPS) * passes)
     for _ in range(passes):
@@ -250,10 +278,9 @@ def train(p, rows: list[np.ndarray], kinds: list[np.ndarray], slots: list[np.nda
             saved, at = [], []
             for t in range(begin, upto):
                 now = place[t]
-                old = place[t - 1] if t else now
                 new = fresh[t] | (now < 0)
                 h = np.where(new[:, None], np.float32(0), h)
-                x = np.where(new | (old < 0), ROWS - 1, row[old])
+                x = np.where(new, ROWS - 1, row[now - 1])
                 nxt, gates = step(p["input"][x], h, p["state"])
                 saved.append((x, h, gates, nxt, new))
                 at.append(now)
@@ -266,28 +293,49 @@ def train(p, rows: list[np.ndarray], kinds: list[np.ndarray], slots: list[np.nda
             for k in p:
                 m[k] += 0.1 * (g[k] - m[k])
                 v[k] += 0.001 * (g[k] * g[k] - v[k])
-                p[k] -= (pace * m[k] / (np.sqrt(v[k]) + 1e-8)).astype(np.float32)
+                root = np.sqrt(v[k])
+                root += np.float32(1e-8)
+                np.divide(m[k], root, out=root)
+                root *= np.float32(pace)
+                p[k] -= root
     return p
 
 
+def softmax_gradients(h: np.ndarray, w: np.ndarray, b: np.ndarray, at: np.ndarray, n: int, plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gradients of a softmax for its weights, biases and states, a row having the weight 1/n."""
+    _, probs, total = exponentials(h, w, b, at, plain)
+    probs *= (1 / (n * total))[:, None]
+    probs[np.arange(len(at)), at] -= np.float32(1 / n)
+    return h.T @ probs, np.ones(len(at), probs.dtype) @ probs, probs @ w.T
+
+
+def summed_rows(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sum of the rows of `values` that share a number below `size`, which is less than 32,768."""
+    out = np.zeros((size, values.shape[1]), values.dtype)
+    order = np.argsort(at.astype(np.int16), kind="stable")  # sorted by digits
+    own = at[order]
+    begin = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    out[own[begin]] = np.add.reduceat(values[order], begin, axis=0)
+    return out
+
+
 def gradients(p, saved, at, real, kind, slot) -> dict[str, np.ndarray]:
     """Mean gradient of the negative log-likelihood of a window."""
     n = max(1, int(real.sum()))
     h = np.concatenate([s[3] for s in saved])
     g = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
     own = np.flatnonzero(real)
+    plain, (order, classes) = tame(p), by_class(kind[at[own]])
+    own = own[order]
     states, kinds, slots = h[own], kind[at[own]], slot[at[own]]
-    _, probs = log_softmax_at(states @ p["class_w"] + p["class_b"], kinds)
-    probs[np.arange(len(own)), kinds] -= 1
-    probs /= n
-    g["class_w"], g["class_b"] = states.T @ probs, probs.sum(axis=0)
-    back = probs @ p["class_w"].T
-    for k, rows in by_class(kinds):
-        _, probs = log_softmax_at(states[rows] @ p["word_w"][k] + p["word_b"][k], slots[rows])
-        probs[np.arange(len(rows)), slots[rows]] -= 1
-        probs /= n
-        g["word_w"][k], g["word_b"][k] = states[rows].T @ probs, probs.sum(axis=0)
-        back[rows] += probs @ p["word_w"][k].T
+    back = np.empty_like(states)
+    for rows in cached(slice(0, len(own))):
+        w, b, back[rows] = softmax_gradients(states[rows], p["class_w"], p["class_b"], kinds[rows], n, plain)
+        g["class_w"] += w
+        g["class_b"] += b
+    for k, rows in classes:
+        g["word_w"][k], g["word_b"][k], more = softmax_gradients(states[rows], p["word_w"][k], p["word_b"][k], slots[rows], n, plain)
+        back[rows] += more
     dh = np.zeros_like(h)
     dh[own] = back
     dh = dh.reshape(len(saved), -1, HIDDEN)
@@ -303,7 +351,7 @@ def gradients(p, saved, at, real, kind, slot) -> dict[str, np.ndarray]:
         carry[fresh] = 0
         gates_back.append(np.concatenate([da[:, : 2 * HIDDEN], dn], axis=1))
         inputs.append(x)
-    np.add.at(g["input"], np.concatenate(inputs), np.concatenate(gates_back))
+    g["input"] = summed_rows(np.concatenate(inputs), np.concatenate(gates_back), ROWS)
     norm = float(np.sqrt(sum((x * x).sum() for x in g.values())))
     if norm > 1:
         for k in g:
@@ -360,7 +408,7 @@ def _encoder(lexicon: Lexicon):
         if len(lexicon.words):
             row, kind, slot = lexicon.row[ids], lexicon.kind[ids], lexicon.slot[ids]
         else:
-            row, kind, slot = (np.zeros(len(ids), np.int64) for _ in range(3))
+            row, kind, slot = (np.zeros(len(ids), np.int16) for _ in range(3))
         if len(rare):
             tails = np.fromiter((tail_class(words[i]) for i in rare), np.int64, len(rare))
             row[rare], kind[rare], slot[rare] = rows_of_tail + tails, WORD_CLASSES + tails, 0
@@ -375,23 +423,21 @@ def fit(known: DataFrame, lexicon: Lexicon, shared, text: str = "text") -> np.nd
     p = flat(initial(lexicon))
     if not lexicon.total:
         return p
-    share = min(1.0, max(TRAIN_SHARE, LEAST_TOKENS / lexicon.total))
-    shards = max(1, int(lexicon.total * share / SHARD_TOKENS))
-    passes = max(1, min(MOST_PASSES, int(LEAST_TOKENS / max(1.0, lexicon.total * share))))
-    picked = known.select(F.col(f"`{text}`").cast("string").alias("text")).where("text IS NOT NULL")
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
-    picked = picked.where(place < int(share * (1 << 20)) + 1).withColumn("shard", F.pmod(F.xxhash64("text", F.lit("shard")), F.lit(shards)))
-    picked = held(picked.repartition(shards, "shard"))
+    shards = -(-lexicon.total // SHARD_TOKENS)
+    passes = max(1, min(MOST_PASSES, LEAST_TOKENS // lexicon.total))
+    picked = known.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    picked = held(picked.repartition(shards))  # in turn, so that many copies of a text are no load of one task
     for turn in range(ROUNDS):
         now = spark.sparkContext.broadcast(p)
 
         def run(batches, now=now, turn=turn):
             encode = _encoder(Lexicon(*shared.value))
-            texts = [t for batch in batches for t in utf8(batch.column(0))]
+            texts = sorted(t for batch in batches for t in utf8(batch.column(0)))
             if not texts:
                 return
-            order = np.random.default_rng(turn).permutation(len(texts))
-            made = [encode(texts[i])[3:] for i in order if i % ROUNDS == turn or passes > 1]
+            order = np.random.default_rng(len(texts)).permutation(len(texts))  # the same in every round
+            own = order if passes > 1 else order[turn::ROUNDS]
+            made = [encode(texts[i])[3:] for i in own]
             if not made:
                 return
             rows, kinds, slots = (list(x) for x in zip(*made))
@@ -399,7 +445,7 @@ def fit(known: DataFrame, lexicon: Lexicon, shared, text: str = "text") -> np.nd
             weight = float(sum(map(len, rows)))
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values)), pa.int32()), pa.array(values.astype(np.float64) * weight), pa.array(np.full(len(values), weight))], names=["i", "value", "weight"])
 
-        trained = picked.select("text").mapInArrow(run, "i int, value double, weight double").groupBy("i").agg((F.sum("value") / F.sum("weight")).alias("value"))
+        trained = picked.mapInArrow(run, "i int, value double, weight double").groupBy("i").agg((F.sum("value") / F.sum("weight")).alias("value"))
         found = trained.collect()  # one row for each parameter
         if found:
             p = p.copy()

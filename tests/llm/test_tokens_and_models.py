@@ -207,6 +207,29 @@ def test_gradients_are_slopes():
         assert g[name][place] == pytest.approx(slope, rel=2e-2, abs=1e-5)
 
 
+def test_model_is_trained_on_every_text(spark, monkeypatch):
+    def counted(p, rows, kinds, slots, passes, rate):
+        p["class_b"][0] += sum(map(len, rows))
+        return p
+
+    monkeypatch.setattr(gru_lm, "train", counted)
+    monkeypatch.setattr(gru_lm, "LEAST_TOKENS", 1)
+    docs = spark.createDataFrame([(None if i % 50 == 0 else f"a w{i} " * (i % 7),) for i in range(400)], "text string")
+    own = gru_lm._lexicon(gru_lm.word_counts(docs))
+    p = gru_lm.unflat(gru_lm.fit(docs, own, spark.sparkContext.broadcast(own.given)))
+    assert p["class_b"][0] - gru_lm.initial(own)["class_b"][0] == pytest.approx(own.total, abs=0.01)
+
+
+def test_training_has_no_ragged_end():
+    own = lexicon()
+    before = gru_lm.initial(own)
+    rows = [np.zeros(10, int) for _ in range(9)] + [np.r_[np.zeros(400, int), 1000]]
+    p = gru_lm.train({k: x.copy() for k, x in before.items()}, rows, [x // gru_lm.CLASS_WORDS for x in rows], [x % gru_lm.CLASS_WORDS for x in rows], 1)
+    late = 1000 // gru_lm.CLASS_WORDS  # the class of the last word of the longest text
+    changed = [k for k in range(gru_lm.WORD_CLASSES) if (p["word_w"][k] != before["word_w"][k]).any()]
+    assert changed == [0, late]
+
+
 SF = "/root/testdata/sf0.01"
 
 
