@@ -39,20 +39,21 @@ def exam_star(
     """Screening exams with follow-up, risk, both lesion codes, person and imaging columns.
 
     Every right side has a unique key, so the row count is that of `screening`; a null key
-    matches nothing.  What has the key of the exam is joined first, in the partitioning that
-    forcing that key has left; then the exams are shuffled by person once, for both tables of
-    people, which need no exchange where they are stored by person.  Adaptive execution can
+    matches nothing.  The labels of lesion codes are looked up for the rows of the follow-up, before
+    these meet the far wider rows of the exams.  What has the key of the exam is joined next, in the
+    partitioning that forcing that key has left; then the exams are shuffled by person once, for both
+    tables of people, which need no exchange where they are stored by person.  Adaptive execution can
     split the exam side when one person holds many exams.
     """
     follow = follow_up.drop("num_ref", "id_assure", "id_bci", "Date_Mammo")
     risks = risk.drop("num_ref", "id_assure", "id_bci", "Date_Mammo")
     first = codes.select(F.col("code_adicap"), F.col("adicap"))
     second = codes.select(F.col("code_adicap").alias("code_adicap2"), F.col("adicap").alias("adicap2"))
+    labelled = follow.join(first, F.col("k_adicap") == F.col("code_adicap"), "left")
+    labelled = labelled.join(second, F.col("k_adicap2") == F.col("code_adicap2"), "left")
     return (
-        screening.join(follow, "id_event", "left")
+        screening.join(labelled, "id_event", "left")
         .join(risks, "id_event", "left")
-        .join(first, F.col("k_adicap") == F.col("code_adicap"), "left")
-        .join(second, F.col("k_adicap2") == F.col("code_adicap2"), "left")
         .join(population.drop("num_ref", "id_assure"), "id_bci", "left")
         .join(imaging.withColumnRenamed("person_id", "id_bci"), "id_bci", "left")
     )
