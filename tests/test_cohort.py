@@ -158,3 +158,52 @@ def test_round_trip_is_complete_without_refusals(spark):
 def test_fk_between_derived_tables(study):
     study[2].check_fks()
     assert keys.repeated_keys(study[2].depistage_pseudo(), ["id_random", "Date_Mammo"]).isEmpty()
+
+
+def test_labels_are_looked_up_for_the_follow_up(spark):
+    """Exams, which are far wider, are not shuffled by lesion code."""
+    screening = spark.createDataFrame([(1, 5)], "id_event long, id_bci long")
+    follow = spark.createDataFrame([(1, "A", "B")], "id_event long, k_adicap string, k_adicap2 string")
+    risk = spark.createDataFrame([(2, 50)], "id_event long, Age_Mammo int")
+    codes = spark.createDataFrame([("A", "a"), ("B", "b")], "code_adicap string, adicap string")
+    people = spark.createDataFrame([(5, "x")], "id_bci long, nom string")
+    imaging = spark.createDataFrame([(6, 2)], "person_id long, dicom_files long")
+    star = cohort.exam_star(screening, follow, risk, codes, people, imaging)
+    assert rows(star, "adicap", "adicap2") == [("a", "b")]
+    joins = [line for line in star._jdf.queryExecution().analyzed().toString().splitlines() if "Join LeftOuter" in line]
+    assert [("k_adicap" in line) for line in joins] == [False, False, False, False, True, True]  # outermost first
+
+
+def test_sources_are_typed_and_written_once(study, spark, tmp_path):
+    c = Cohort.from_folders(spark, *study[1])
+    c.stage(str(tmp_path / "s"))
+    for name in spec.COHORT_SOURCES:
+        assert c.typed(name).inputFiles() and all("/typed_" in f for f in c.typed(name).inputFiles())
+    assert c.source("population").dup.count() == 2 and c.source_df("population").count() == 4
+
+
+def test_raw_views_are_dealt_in_parts(spark, tmp_path, monkeypatch):
+    from cohortloom.workload import fixtures
+
+    orders = "/root/testdata/sf0.001/orders.parquet"
+    spark.read.parquet(orders).write.parquet(str(tmp_path / "orders.parquet"))
+    d = fixtures.Data(spark, str(tmp_path))
+    whole = rows(d.r_depistage)
+    monkeypatch.setattr(fixtures, "PART_BYTES", 1 << 10)
+    parts = d.r_depistage
+    made = parts._jdf.queryExecution().optimizedPlan().toString()
+    n = -(-fixtures.store.size(spark, str(tmp_path / "orders.parquet")) // (1 << 10))
+    assert n > spark.sparkContext.defaultParallelism and f", {n}" in made and rows(parts) == whole
+
+
+def test_wide_projections_are_split_in_any_session(spark):
+    from cohortloom.session import wide_rows
+
+    key, before = "spark.sql.codegen.hugeMethodLimit", spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        spark.conf.set(key, "65535")
+        assert wide_rows(spark).conf.get(key) == "8000"
+        spark.conf.set(key, "7000")
+        assert wide_rows(spark).conf.get(key) == "7000"
+    finally:
+        spark.conf.set(key, before)
