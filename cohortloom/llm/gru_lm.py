@@ -264,7 +264,7 @@ def train(p, rows: list[np.ndarray], kinds: list[np.ndarray], slots: list[np.nda
     """
     row, kind, slot = np.concatenate(rows), np.concatenate(kinds), np.concatenate(slots)
     lengths = np.array([len(r) for r in rows], np.int64)
-    lanes = min(MOST_LANES, max(LANES, passes * len(row) // (STEPS * WINDOWS)), max(1, len(row) // STEPS))
+    lanes = min(MOST_LANES, max(LANES, len(row) // (STEPS * WINDOWS)), max(1, len(row) // STEPS))
     place, fresh = (np.full(-(-len(row) // lanes) * lanes, x) for x in (np.int32(-1), False))
     place[: len(row)] = np.arange(len(row))
     fresh[np.cumsum(lengths) - lengths] = True
