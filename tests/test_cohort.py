@@ -207,3 +207,46 @@ def test_wide_projections_are_split_in_any_session(spark):
         assert wide_rows(spark).conf.get(key) == "7000"
     finally:
         spark.conf.set(key, before)
+
+
+def shuffled_columns(df):
+    """Number of columns of every shuffle in the plan of a frame."""
+    found, plans = [], [df._jdf.queryExecution().sparkPlan()]
+    execution = df.sparkSession._jvm.org.apache.spark.sql.execution
+    prepared = execution.QueryExecution.prepareExecutedPlan(df.sparkSession._jsparkSession, plans[0])
+    plans = [prepared.inputPlan() if "Adaptive" in prepared.nodeName() else prepared]
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName() == "Exchange":
+            found.append(plan.output().size())
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_wide_exams_are_not_shuffled_by_person_code_or_final_key(study, spark):
+    c = Cohort.from_folders(spark, *study[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = c.depistage_pseudo()
+        widths = shuffled_columns(table)
+        assert widths and max(widths) <= 12 < len(table.columns)
+        got = sorted(str(r) for r in table.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    kept = keys.force_key(c.kept("depistage_pseudo"), spec.COHORT_KEYS["depistage_pseudo"], extracts.ROW_ORDER)
+    assert got == sorted(str(r) for r in kept.drop(*extracts.ROW_ORDER).collect())
+
+
+def test_narrow_and_wide_star_are_the_same(spark):
+    screening = spark.createDataFrame([(1, 5, "a"), (2, 6, "b"), (3, None, "c"), (4, 6, None)], "id_event long, id_bci long, wide string")
+    follow = spark.createDataFrame([(1, "A", None, "x"), (9, "B", "A", "y"), (4, "B", "A", None)], "id_event long, k_adicap string, k_adicap2 string, size string")
+    risk = spark.createDataFrame([(2, 50)], "id_event long, Age_Mammo int")
+    codes = spark.createDataFrame([("A", "a"), (None, "nothing")], "code_adicap string, adicap string")
+    people = spark.createDataFrame([(5, "x"), (None, "nobody")], "id_bci long, nom string")
+    imaging = spark.createDataFrame([(6, 2)], "person_id long, dicom_files long")
+    whole = cohort.exam_star(screening, follow, risk, codes, people, imaging)
+    narrow = cohort.exam_star(screening, follow, risk, codes, people, imaging, ["id_event", "id_bci"])
+    assert rows(narrow, *whole.columns) == rows(whole, *whole.columns) and len(narrow.columns) == len(whole.columns)
+    some = cohort.exam_star(screening, follow, risk, codes, people, imaging, ["id_event", "id_bci"], lambda x: x.where("id_event > 3"))
+    assert rows(some, "id_event", "code_adicap", "adicap2", "dicom_files") == [(4, None, "a", 2)]
