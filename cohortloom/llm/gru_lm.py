@@ -2,7 +2,8 @@
 
 Words are counted on Spark.  The most frequent ones are outputs of the model, in classes of equal
 size; every other word belongs to a tail class named by its ending and has the unigram probability
-of its class.  The output softmax is factored: class given state, then word given class and state.
+of its class.  The output softmax is factored: class given state, then word given class and state; the tail
+classes are the members of a few classes more, so that no softmax is wide.
 The model is trained in numpy with truncated backpropagation, shard by shard on all training texts,
 and the shards' parameters are averaged after every round.  Scoring runs many texts side by
 side; the state is carried from window to window until a text ends.  Only bounded tables are
@@ -17,18 +18,21 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import carried, gathered, held, lower_words, parts, small_batches, utf8
+from cohortloom.llm.text import carried, gathered, held, lower_words, small_batches, utf8
 from cohortloom.session import durable
 
 #: The end of a text, counted as a word; no word is empty.
 END = b""
 #: Words in an output class, output classes, classes of other words.
 CLASS_WORDS, WORD_CLASSES, TAILS = 48, 42, 64
+#: Tail classes that are members of one output class.
+CLASS_TAILS = 32
 #: Words whose counts are broadcast, at most: all that reach a count.
 TABLE_WORDS = 1 << 17
 HIDDEN = 16
@@ -40,32 +44,61 @@ SHARD_TOKENS, ROUNDS, STEPS, RATE = 8_000_000, 2, 20, 0.01
 LANES, MOST_LANES, WINDOWS = 48, 512, 400
 #: Lanes and steps of a scoring window; rows whose logits are worked on at once, so that they stay in the cache.
 SCORE_LANES, SCORE_STEPS, CACHED_ROWS = 768, 32, 2048
+#: Tokens that are scored side by side, about: a run takes as many steps as its longest text has.
+SCORE_TOKENS = 3 << 20
 
 LOG10 = float(np.log(10))
+#: Bytes of text that are cut into words at once; a longer text is cut alone.
+TEXT_BYTES = 6 << 20
 
 
 # ---- counts -----------------------------------------------------------------------------------------
 
 
+def text_slices(column: pa.Array):
+    """The texts in slices of TEXT_BYTES, a longer one alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < len(column):
+        before = ends[begin - 1] if begin else 0
+        upto = max(begin + 1, int(np.searchsorted(ends, before + TEXT_BYTES, "right")))
+        yield column.slice(begin, upto - begin)
+        begin = upto
+
+
+def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """`lower_words` of all texts of a string column, one after the other, and their number in each text; null has none."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(column.fill_null("")))
+    words = lists.flatten().cast(pa.binary())
+    there = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # white space at an end of a text leaves an empty word
+    upto = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    counts = np.diff(np.concatenate([[0], np.cumsum(there)])[upto])
+    return words if there.all() else words.filter(pa.array(there)), counts
+
+
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """word (binary, empty for the end of a text) and n over all rows; null is an empty text."""
 
     def run(batches):
-        counts: Counter = Counter()
+        counts = None
 
         def rows():
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-            counts.clear()
-            return out
-
-        for batch in parts(batches):
-            for content in utf8(batch.column(0)):
-                counts.update(lower_words(content or b""))
-                counts[END] += 1
+            return [pa.RecordBatch.from_arrays([b.column("word"), b.column("n")], names=["word", "n"]) for b in counts.combine_chunks().to_batches()]
+
+        for batch in gathered(batches, TEXT_BYTES):
+            for column in text_slices(batch.column(0)):
+                words, _ = split_words(column)
+                found = words.value_counts()
+                more = pa.table({"word": pa.concat_arrays([found.field(0), pa.array([END], pa.binary())]), "n": pa.concat_arrays([found.field(1), pa.array([len(column)], pa.int64())])})
+                counts = more if counts is None else pa.concat_tables([counts, more])
                 if len(counts) > 400_000:
-                    yield rows()
-        if counts:
-            yield rows()
+                    counts = counts.group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+                if len(counts) > 400_000:
+                    yield from rows()
+                    counts = None
+        if counts is not None:
+            counts = counts.group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+            yield from rows()
 
     small_batches(docs.sparkSession)
     made = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(run, "word binary, n long")
@@ -100,7 +133,10 @@ class Lexicon:
 
 #: Input rows: own words, tail classes, and the beginning of a text.
 ROWS = CLASS_WORDS * WORD_CLASSES + TAILS + 1
-CLASSES = WORD_CLASSES + TAILS
+#: Output classes with those of the tails.
+CLASSES = WORD_CLASSES + -(-TAILS // CLASS_TAILS)
+#: Output class of a class of words or a tail class.
+CLASS_OF = np.concatenate([np.arange(WORD_CLASSES), WORD_CLASSES + np.arange(TAILS) // CLASS_TAILS]).astype(np.int16)
 
 
 # ---- model --------------------------------------------------------------------------------------------
@@ -110,8 +146,8 @@ SHAPES = {
     "state": (HIDDEN, 3 * HIDDEN),
     "class_w": (HIDDEN, CLASSES),
     "class_b": (CLASSES,),
-    "word_w": (WORD_CLASSES, HIDDEN, CLASS_WORDS),
-    "word_b": (WORD_CLASSES, CLASS_WORDS),
+    "word_w": (CLASSES, HIDDEN, CLASS_WORDS),
+    "word_b": (CLASSES, CLASS_WORDS),
 }
 
 
@@ -119,11 +155,14 @@ def initial(lexicon: Lexicon) -> dict[str, np.ndarray]:
     """Small random weights; the biases make it the class-factored unigram model."""
     rng = np.random.default_rng(7)
     p = {k: (rng.standard_normal(s) * 0.1).astype(np.float32) for k, s in SHAPES.items()}
-    counts = lexicon.class_counts + 0.5
+    counts = np.bincount(CLASS_OF, weights=lexicon.class_counts + 0.5)
     p["class_b"] = np.log(counts / counts.sum()).astype(np.float32)
     words = np.full(WORD_CLASSES * CLASS_WORDS, 1e-9)
     words[: lexicon.own] = lexicon.counts[: lexicon.own] + 0.5
-    p["word_b"] = np.log(words).reshape(WORD_CLASSES, CLASS_WORDS).astype(np.float32)
+    p["word_b"] = np.zeros(SHAPES["word_b"], np.float32)
+    p["word_b"][:WORD_CLASSES] = np.log(words).reshape(WORD_CLASSES, CLASS_WORDS)
+    tails = np.arange(TAILS)
+    p["word_b"][WORD_CLASSES + tails // CLASS_TAILS, tails % CLASS_TAILS] = np.log(lexicon.class_counts[WORD_CLASSES:] + 0.5)
     p["class_w"] *= 0.1
     p["word_w"] *= 0.1
     return p
@@ -145,11 +184,20 @@ def unflat(values: np.ndarray) -> dict[str, np.ndarray]:
 def step(x: np.ndarray, h: np.ndarray, state: np.ndarray):
     """One gated step; x holds the input's part of the three gates."""
     a = h @ state
-    gates = 1 / (1 + np.exp(-(x[:, : 2 * HIDDEN] + a[:, : 2 * HIDDEN])))
+    gates = x[:, : 2 * HIDDEN] + a[:, : 2 * HIDDEN]
+    np.negative(gates, out=gates)
+    np.exp(gates, out=gates)
+    gates += 1
+    np.reciprocal(gates, out=gates)
     r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
     inner = a[:, 2 * HIDDEN :]
-    n = np.tanh(x[:, 2 * HIDDEN :] + r * inner)
-    return n + z * (h - n), (r, z, inner, n)
+    n = r * inner
+    n += x[:, 2 * HIDDEN :]
+    np.tanh(n, out=n)
+    nxt = h - n
+    nxt *= z
+    nxt += n
+    return nxt, (r, z, inner, n)
 
 
 def tame(p) -> bool:
@@ -172,11 +220,21 @@ def exponentials(h: np.ndarray, w: np.ndarray, b: np.ndarray, at: np.ndarray, pl
     return chosen - np.log(total), logits, total
 
 
+def members(kind: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Output class, and place in it, of words and tail classes."""
+    return CLASS_OF[kind], np.where(kind < WORD_CLASSES, slot, (kind - WORD_CLASSES) % CLASS_TAILS)
+
+
+def width(k: int) -> int:
+    """Members of an output class."""
+    return CLASS_WORDS if k < WORD_CLASSES else CLASS_TAILS
+
+
 def by_class(kind: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
-    """Order of the rows by class, and the place that each word class has in it."""
+    """Order of the rows by output class, and the place that each class has in it."""
     order = np.argsort(kind.astype(np.int16), kind="stable")  # sorted by digits
-    ends = np.searchsorted(kind[order], np.arange(WORD_CLASSES + 1)).tolist()
-    return order, [(k, slice(ends[k], ends[k + 1])) for k in range(WORD_CLASSES) if ends[k] < ends[k + 1]]
+    ends = np.searchsorted(kind[order], np.arange(CLASSES + 1)).tolist()
+    return order, [(k, slice(ends[k], ends[k + 1])) for k in range(CLASSES) if ends[k] < ends[k + 1]]
 
 
 def cached(rows: slice):
@@ -186,7 +244,8 @@ def cached(rows: slice):
 
 
 def output(p, h: np.ndarray, kind: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    """Natural log of class given state and, for own words, word given class and state."""
+    """Natural log of a word given the state, or of the tail class that it belongs to."""
+    kind, slot = members(kind, slot)
     plain, (order, classes) = tame(p), by_class(kind)
     h, kind, slot = h[order], kind[order], slot[order]
     logp = np.empty(len(h), h.dtype)
@@ -194,7 +253,7 @@ def output(p, h: np.ndarray, kind: np.ndarray, slot: np.ndarray) -> np.ndarray:
         logp[own] = exponentials(h[own], p["class_w"], p["class_b"], kind[own], plain)[0]
     for k, rows in classes:
         for own in cached(rows):
-            logp[own] += exponentials(h[own], p["word_w"][k], p["word_b"][k], slot[own], plain)[0]
+            logp[own] += exponentials(h[own], p["word_w"][k, :, : width(k)], p["word_b"][k, : width(k)], slot[own], plain)[0]
     out = np.empty_like(logp)
     out[order] = logp
     return out
@@ -213,9 +272,8 @@ def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
     return [out[k] for k in sorted(range(len(out)), key=lambda k: -load[k])]
 
 
-def strips(rows: list[np.ndarray], lanes: int):
-    """Per lane: token positions (into the joined rows) and where a text begins."""
-    lengths = np.array([len(r) for r in rows], np.int64)
+def strips(lengths: np.ndarray, lanes: int):
+    """Per lane: token positions (into the joined texts) and where a text begins."""
     begin = np.cumsum(lengths) - lengths
     dealt = lanes_of(lengths, lanes)
     size = np.array([lengths[own].sum() for own in dealt], np.int64)
@@ -233,27 +291,31 @@ def score_texts(p, rows: list[np.ndarray], kinds: list[np.ndarray], slots: list[
 
     rows, kinds, slots: input row, class and place of every token of a text, the end included.
     """
-    place, fresh, size = strips(rows, SCORE_LANES)
-    row, kind, slot = np.concatenate(rows), np.concatenate(kinds), np.concatenate(slots)
+    return score_tokens(p, np.concatenate(rows), np.concatenate(kinds), np.concatenate(slots), np.array([len(r) for r in rows], np.int64))
+
+
+def score_tokens(p, row: np.ndarray, kind: np.ndarray, slot: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """`score_texts` of texts that lie one after the other."""
+    place, fresh, size = strips(lengths, SCORE_LANES)
     logp = np.zeros(len(row))
+    alive, begins = np.searchsorted(-size, -np.arange(len(place)), "left").tolist(), fresh.any(axis=1).tolist()
     h = np.zeros((place.shape[1], HIDDEN), np.float32)
     before = np.full(place.shape[1], ROWS - 1)
     for begin in range(0, len(place), SCORE_STEPS):
         states, tokens = [], []
         for t in range(begin, min(begin + SCORE_STEPS, len(place))):
-            alive = int(np.searchsorted(-size, -t, "left"))
-            new = fresh[t, :alive]
-            h = np.where(new[:, None], np.float32(0), h[:alive])  # a copy: the old states are still to be scored
-            x = np.where(new, ROWS - 1, before[:alive])
-            h, _ = step(p["input"][x], h, p["state"])
-            now = place[t, :alive]
-            before = row[now]
+            h, x, now = h[: alive[t]], before[: alive[t]], place[t, : alive[t]]
+            if begins[t]:
+                new = fresh[t, : alive[t]]
+                h = np.where(new[:, None], np.float32(0), h)  # a copy: the old states are still to be scored
+                x = np.where(new, ROWS - 1, x)
+            h, _ = step(p["input"].take(x, axis=0), h, p["state"])
+            before = row.take(now)
             states.append(h)
             tokens.append(now)
         tokens = np.concatenate(tokens)
         logp[tokens] = output(p, np.concatenate(states), kind[tokens], slot[tokens])
-    begin = np.cumsum([len(r) for r in rows]) - [len(r) for r in rows]
-    return np.add.reduceat(logp, begin)
+    return np.add.reduceat(logp, np.cumsum(lengths) - lengths)
 
 
 def train(p, rows: list[np.ndarray], kinds: list[np.ndarray], slots: list[np.ndarray], passes: int, rate: float = RATE):
@@ -268,7 +330,9 @@ def train(p, rows: list[np.ndarray], kinds: list[np.ndarray], slots: list[np.nda
     place, fresh = (np.full(-(-len(row) // lanes) * lanes, x) for x in (np.int32(-1), False))
     place[: len(row)] = np.arange(len(row))
     fresh[np.cumsum(lengths) - lengths] = True
+    fresh |= place < 0
     place, fresh = (x.reshape(lanes, -1).T.copy() for x in (place, fresh))
+    begins = fresh.any(axis=1).tolist()
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
     turn, windows = 0, max(1, -(-len(place) // STEPS) * passes)
     for _ in range(passes):
@@ -278,10 +342,12 @@ def train(p, rows: list[np.ndarray], kinds: list[np.ndarray], slots: list[np.nda
             saved, at = [], []
             for t in range(begin, upto):
                 now = place[t]
-                new = fresh[t] | (now < 0)
-                h = np.where(new[:, None], np.float32(0), h)
-                x = np.where(new, ROWS - 1, row[now - 1])
-                nxt, gates = step(p["input"][x], h, p["state"])
+                new = fresh[t]
+                x = row.take(now - 1, mode="wrap")
+                if begins[t]:
+                    h = np.where(new[:, None], np.float32(0), h)
+                    x = np.where(new, ROWS - 1, x)
+                nxt, gates = step(p["input"].take(x, axis=0), h, p["state"])
                 saved.append((x, h, gates, nxt, new))
                 at.append(now)
                 h = nxt
@@ -291,9 +357,14 @@ def train(p, rows: list[np.ndarray], kinds: list[np.ndarray], slots: list[np.nda
             turn += 1
             pace = rate * (1 - 0.9 * turn / windows) * np.sqrt(1 - 0.999**turn) / (1 - 0.9**turn)
             for k in p:
-                m[k] += 0.1 * (g[k] - m[k])
-                v[k] += 0.001 * (g[k] * g[k] - v[k])
-                root = np.sqrt(v[k])
+                root = g[k] * g[k]
+                root -= v[k]
+                root *= np.float32(0.001)
+                v[k] += root
+                g[k] -= m[k]
+                g[k] *= np.float32(0.1)
+                m[k] += g[k]
+                np.sqrt(v[k], out=root)
                 root += np.float32(1e-8)
                 np.divide(m[k], root, out=root)
                 root *= np.float32(pace)
@@ -325,33 +396,45 @@ def gradients(p, saved, at, real, kind, slot) -> dict[str, np.ndarray]:
     h = np.concatenate([s[3] for s in saved])
     g = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
     own = np.flatnonzero(real)
-    plain, (order, classes) = tame(p), by_class(kind[at[own]])
-    own = own[order]
-    states, kinds, slots = h[own], kind[at[own]], slot[at[own]]
+    kinds, slots = members(kind[at[own]], slot[at[own]])
+    plain, (order, classes) = tame(p), by_class(kinds)
+    own, kinds, slots = own[order], kinds[order], slots[order]
+    states = h[own]
     back = np.empty_like(states)
     for rows in cached(slice(0, len(own))):
         w, b, back[rows] = softmax_gradients(states[rows], p["class_w"], p["class_b"], kinds[rows], n, plain)
         g["class_w"] += w
         g["class_b"] += b
     for k, rows in classes:
-        g["word_w"][k], g["word_b"][k], more = softmax_gradients(states[rows], p["word_w"][k], p["word_b"][k], slots[rows], n, plain)
+        columns = width(k)
+        g["word_w"][k, :, :columns], g["word_b"][k, :columns], more = softmax_gradients(states[rows], p["word_w"][k, :, :columns], p["word_b"][k, :columns], slots[rows], n, plain)
         back[rows] += more
     dh = np.zeros_like(h)
     dh[own] = back
     dh = dh.reshape(len(saved), -1, HIDDEN)
+    before, r, z, inner, new_state = (np.stack(x) for x in ([s[1] for s in saved], *zip(*(s[2] for s in saved))))
+    # slopes of a step: of its inner state for the state, and of its gates for those
+    for_inner = (1 - z) * (1 - new_state * new_state)
+    for_r = inner * r * (1 - r)
+    for_z = (before - new_state) * z * (1 - z)
     carry = np.zeros_like(dh[0])
-    gates_back, inputs = [], []
+    back = np.empty((len(saved), len(carry), 3 * HIDDEN), dh.dtype)
+    inner_back, across = np.empty_like(dh), np.ascontiguousarray(p["state"].T)
     for t in reversed(range(len(saved))):
-        x, before, (r, z, inner, new_state), _, fresh = saved[t]
-        d = dh[t] + carry
-        dn = d * (1 - z) * (1 - new_state * new_state)
-        da = np.concatenate([dn * inner * r * (1 - r), d * (before - new_state) * z * (1 - z), dn * r], axis=1)
-        g["state"] += before.T @ da
-        carry = d * z + da @ p["state"].T
-        carry[fresh] = 0
-        gates_back.append(np.concatenate([da[:, : 2 * HIDDEN], dn], axis=1))
-        inputs.append(x)
-    g["input"] = summed_rows(np.concatenate(inputs), np.concatenate(gates_back), ROWS)
+        d, dn, da = dh[t], inner_back[t], back[t]
+        d += carry
+        np.multiply(d, for_inner[t], out=dn)
+        np.multiply(dn, for_r[t], out=da[:, :HIDDEN])
+        np.multiply(d, for_z[t], out=da[:, HIDDEN : 2 * HIDDEN])
+        np.multiply(dn, r[t], out=da[:, 2 * HIDDEN :])
+        carry = da @ across
+        d *= z[t]
+        carry += d
+        if saved[t][4].any():
+            carry[saved[t][4]] = 0
+    g["state"] += before.reshape(-1, HIDDEN).T @ back.reshape(-1, 3 * HIDDEN)
+    back[:, :, 2 * HIDDEN :] = inner_back
+    g["input"] = summed_rows(np.concatenate([s[0] for s in saved]), back.reshape(-1, 3 * HIDDEN), ROWS)
     norm = float(np.sqrt(sum((x * x).sum() for x in g.values())))
     if norm > 1:
         for k in g:
@@ -394,29 +477,59 @@ def _lexicon(counts: DataFrame) -> Lexicon:
     return Lexicon(words, [r["n"] for r in top], int(total["n"]), int(total["v"]), tail_n, tail_v)
 
 
-def _encoder(lexicon: Lexicon):
-    """Function from a text to its words, their numbers in the table (-1: not there) and row, class, place."""
-    number = {w: i for i, w in enumerate(lexicon.words)}
-    get, missing = number.get, -1
-    rows_of_tail = CLASS_WORDS * WORD_CLASSES
-
-    def encode(content: bytes):
-        words = lower_words(content)
-        words.append(END)
-        ids = np.fromiter((get(w, missing) for w in words), np.int64, len(words))
+def _batch_encoder(lexicon: Lexicon):
+    """Function from a string column to the tokens of all its texts, one after the other, each text with its end.
+
+    It gives the number of tokens of each text, their numbers in the table (-1: not there), the places and the
+    words of those not there, and row, class, place of all.
+    """
+    table, rows_of_tail = pa.array(lexicon.words, pa.binary()), CLASS_WORDS * WORD_CLASSES
+    end = lexicon.words.index(END) if END in lexicon.words else -1
+
+    def encode(column: pa.Array):
+        words, lengths = split_words(column)
+        lengths = lengths + 1
+        inside = np.ones(int(lengths.sum()), bool)
+        inside[np.cumsum(lengths) - 1] = False
+        ids = np.full(len(inside), end, np.int64)
+        ids[inside] = pc.fill_null(pc.index_in(words, value_set=table), -1).to_numpy(zero_copy_only=False)
         rare = np.flatnonzero(ids < 0)
+        place = np.where(inside, np.cumsum(inside) - 1, len(words))[rare]
+        rare_words = pa.concat_arrays([words, pa.array([END], pa.binary())]).take(pa.array(place))
         if len(lexicon.words):
             row, kind, slot = lexicon.row[ids], lexicon.kind[ids], lexicon.slot[ids]
         else:
             row, kind, slot = (np.zeros(len(ids), np.int16) for _ in range(3))
         if len(rare):
-            tails = np.fromiter((tail_class(words[i]) for i in rare), np.int64, len(rare))
+            endings = pc.binary_slice(rare_words, -2).dictionary_encode()
+            tails = np.array([tail_class(w) for w in endings.dictionary.to_pylist()], np.int64)[endings.indices.to_numpy()]
             row[rare], kind[rare], slot[rare] = rows_of_tail + tails, WORD_CLASSES + tails, 0
-        return words, ids, rare, row, kind, slot
+        return lengths, ids, rare, rare_words, row, kind, slot
 
     return encode
 
 
+def _encoder(lexicon: Lexicon):
+    """Function from a text to its words, their numbers in the table (-1: not there), places of those not there, and row, class, place."""
+    encode = _batch_encoder(lexicon)
+
+    def one(content: bytes):
+        _, ids, rare, _, row, kind, slot = encode(pa.array([content], pa.binary()).view(pa.string()))
+        return [*lower_words(content), END], ids, rare, row, kind, slot
+
+    return one
+
+
+def rare_lists(lengths: np.ndarray, rare: np.ndarray, words: pa.Array) -> pa.Array:
+    """For each text its words that are not in the table, with the times that it has them."""
+    kind = pa.struct([("word", pa.binary()), ("times", pa.int64())])
+    coded = words.dictionary_encode()
+    text, size = np.searchsorted(np.cumsum(lengths), rare, "right"), max(1, len(coded.dictionary))
+    keys, times = np.unique(text * size + coded.indices.to_numpy().astype(np.int64), return_counts=True)
+    found = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(keys % size)), pa.array(times, pa.int64())], fields=list(kind))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(keys // size, np.arange(len(lengths) + 1)), pa.int32()), found)
+
+
 def fit(known: DataFrame, lexicon: Lexicon, shared, text: str = "text") -> np.ndarray:
     """Parameters after ROUNDS of local training and averaging; each shard is one task."""
     spark = known.sparkSession
@@ -431,16 +544,20 @@ def fit(known: DataFrame, lexicon: Lexicon, shared, text: str = "text") -> np.nd
         now = spark.sparkContext.broadcast(p)
 
         def run(batches, now=now, turn=turn):
-            encode = _encoder(Lexicon(*shared.value))
+            encode = _batch_encoder(Lexicon(*shared.value))
             texts = sorted(t for batch in batches for t in utf8(batch.column(0)))
             if not texts:
                 return
             order = np.random.default_rng(len(texts)).permutation(len(texts))  # the same in every round
             own = order if passes > 1 else order[turn::ROUNDS]
-            made = [encode(texts[i])[3:] for i in own]
-            if not made:
+            if not len(own):
                 return
-            rows, kinds, slots = (list(x) for x in zip(*made))
+            rows, kinds, slots = [], [], []
+            chosen, texts = pa.array([texts[i] for i in own], pa.large_binary()).view(pa.large_string()), None
+            for column in text_slices(chosen):
+                lengths, _, _, _, *found = encode(column)
+                for out, x in zip((rows, kinds, slots), found):
+                    out += np.split(x, np.cumsum(lengths)[:-1])
             values = flat(train(unflat(now.value), rows, kinds, slots, passes, RATE / (1 + turn)))
             weight = float(sum(map(len, rows)))
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values)), pa.int32()), pa.array(values.astype(np.float64) * weight), pa.array(np.full(len(values), weight))], names=["i", "value", "weight"])
@@ -471,37 +588,42 @@ def score(docs: DataFrame, known: DataFrame, text: str = "text", carry: list[str
 
     def run(batches):
         own = Lexicon(*shared.value)
-        encode, p = _encoder(own), unflat(weights.value)
+        encode, p = _batch_encoder(own), unflat(weights.value)
         at = TaskContext.get().partitionId() << 40
-        for batch in gathered(batches, 6 << 20):
-            texts = [t or b"" for t in utf8(batch.column(1))]
-            begin = 0
-            while begin < len(texts):
-                upto, size = begin, 0
-                while upto < len(texts) and (upto == begin or size + len(texts[upto]) <= 6 << 20):
-                    size += len(texts[upto])
-                    upto += 1
-                n, known_n, base, model, rare_words, rows, kinds, slots = ([] for _ in range(8))
-                for content in texts[begin:upto]:
-                    words, ids, rare, row, kind, slot = encode(content)
-                    there = ids[ids >= 0]
-                    n.append(len(words))
-                    known_n.append(int((own.counts[there] > 0).sum()) if len(there) else 0)
-                    base.append((float(own.base[there].sum()) if len(there) else 0.0) - len(rare) * own.log_base)
-                    model.append((float(own.inside[there].sum()) if len(there) else 0.0) - float(own.log_tail[kind[rare] - WORD_CLASSES].sum()))
-                    rare_words.append([{"word": w, "times": t} for w, t in Counter(words[i] for i in rare).items()])
-                    rows.append(row)
-                    kinds.append(kind)
-                    slots.append(slot)
-                made = np.array(model) + score_texts(p, rows, kinds, slots)
-                ids = np.arange(at, at + len(n))
-                at += len(n)
+        kept: list[list] = []
+
+        def scored():
+            nonlocal at
+            lengths = [x[1] for x in kept]
+            made = score_tokens(p, *(np.concatenate([x[k] for x in kept]) for k in (2, 3, 4)), np.concatenate(lengths))
+            upto = np.cumsum([len(x) for x in lengths])
+            for (rows, own_lengths, _, _, _, known_n, base, model, rare), more in zip(kept, np.split(made, upto[:-1])):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, upto - begin), pa.array(ids), pa.array(n, pa.int64()), pa.array(known_n, pa.int64()), pa.array(base), pa.array(made),
-                     pa.array(rare_words, pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])))],
+                    [rows, pa.array(np.arange(at, at + len(rows))), pa.array(own_lengths, pa.int64()), pa.array(known_n), pa.array(base), pa.array(model + more), rare],
                     names=schema.names,
-                )
-                begin = upto
+                )
+                at += len(rows)
+            kept.clear()
+
+        size = 0
+        for batch in gathered(batches, TEXT_BYTES):
+            begin = 0
+            for column in text_slices(batch.column(1)):
+                lengths, ids, rare, rare_words, row, kind, slot = encode(column)
+                there, first = ids >= 0, np.cumsum(lengths) - lengths
+                base, model = np.full(len(ids), -own.log_base), np.zeros(len(ids))
+                base[there], model[there] = own.base[ids[there]], own.inside[ids[there]]
+                model[rare] = -own.log_tail[kind[rare] - WORD_CLASSES]
+                sums = [np.add.reduceat(x, first, dtype=t) for x, t in ((there, np.int64), (base, float), (model, float))]
+                names = batch.column(0).take(pa.array(np.arange(begin, begin + len(column))))  # a copy: the batch's texts are not kept
+                kept.append([names, lengths, row, kind, slot, *sums, rare_lists(lengths, rare, rare_words)])
+                begin += len(column)
+                size += len(ids)
+                if size >= SCORE_TOKENS:
+                    yield from scored()
+                    size = 0
+        if kept:
+            yield from scored()
 
     made = durable(slim.mapInArrow(run, schema), "lm-scores")
     rare = made.select("id", F.explode("rare").alias("x")).select("id", "x.word", "x.times")

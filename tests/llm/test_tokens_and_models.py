@@ -6,6 +6,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,6 +231,33 @@ def test_training_has_no_ragged_end():
     assert changed == [0, late]
 
 
+def test_texts_are_encoded_side_by_side(monkeypatch):
+    own = lexicon()
+    texts = ["".join(map(chr, range(128))), None, "", " a B\x0bword1 ", "x y  zz\u00e9 x", "\t\n", "\x1ca\x1fb WORD2999", "a " * 50, "b"]
+    column = pa.array(["left out", *texts]).slice(1)
+    plain = [words_of(t) for t in texts]
+    words, counts = gru_lm.split_words(column)
+    assert words.to_pylist() == [w for t in plain for w in t[:-1]] and counts.tolist() == [len(t) - 1 for t in plain]
+    number = {w: i for i, w in enumerate(own.words)}
+    encode = gru_lm._batch_encoder(own)
+    lengths, ids, rare, rare_words, row, kind, slot = encode(column)
+    flat = [w for t in plain for w in t]
+    assert lengths.tolist() == [len(t) for t in plain] and ids.tolist() == [number.get(w, -1) for w in flat]
+    assert rare_words.to_pylist() == [flat[i] for i in rare] == [w for w in flat if w not in number]
+    assert kind[rare].tolist() == [gru_lm.WORD_CLASSES + gru_lm.tail_class(w) for w in rare_words.to_pylist()]
+    lists = gru_lm.rare_lists(lengths, rare, rare_words).to_pylist()
+    assert [{x["word"]: x["times"] for x in t} for t in lists] == [{w: t.count(w) for w in t if w not in number} for t in plain]
+    monkeypatch.setattr(gru_lm, "TEXT_BYTES", 40)
+    slices = list(gru_lm.text_slices(column))
+    assert [len(s) for s in slices] != [len(texts)] and [t for s in slices for t in s.to_pylist()] == texts
+
+
+def test_no_softmax_of_the_model_is_wide():
+    """Tail classes beside the classes of words made the first softmax 106 columns wide."""
+    shapes = gru_lm.SHAPES
+    assert shapes["class_w"][1] + shapes["word_w"][2] < 100
+
+
 SF = "/root/testdata/sf0.01"
 
 
