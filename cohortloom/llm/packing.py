@@ -13,13 +13,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import PIECE_BYTES, carried, parts
-from cohortloom.llm.token_ids import encoder, strings
+from cohortloom.llm.text import PIECE_BYTES, carried, gathered
+from cohortloom.llm.token_ids import LOT_BYTES, encoder, strings
 from cohortloom.session import durable
 
 CAPACITY = 1024
@@ -143,16 +144,15 @@ def cut(docs: DataFrame, text: str = "text", carry: list[str] | None = None, cap
 
     def run(batches):
         work, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), {}
-        for batch in parts(batches):
+        for batch in gathered(batches, LOT_BYTES):
             texts = strings(batch.column(1))
+            ids, counts = work.encode(texts)
+            ids, first = ids.astype("<u4", copy=False), np.concatenate([[0], np.cumsum(counts)])
+            ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
             at = 0
             while at < len(texts):
-                upto, size = at, 0
-                while upto < len(texts) and (upto == at or size + len(texts[upto]) <= PIECE_BYTES):
-                    size += len(texts[upto])
-                    upto += 1
-                ids, counts = work.encode(texts[at:upto])
-                yield from made(batch, at, ids.astype("<u4"), counts, part, seen)
+                upto = max(at + 1, int(np.searchsorted(ends, PIECE_BYTES + (ends[at - 1] if at else 0), "right")))
+                yield from made(batch, at, ids[first[at] : first[upto]], counts[at:upto], part, seen)
                 at = upto
 
     def made(batch, at, ids, counts, part, seen):

@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.text import PIECE_BYTES, parts, small_batches
-from cohortloom.llm.token_ids import encoder, strings
+from cohortloom.llm.text import gathered, small_batches
+from cohortloom.llm.token_ids import LOT_BYTES, encoder
 from cohortloom.session import durable
 
 MAGIC = b"RPR1"
@@ -105,14 +105,15 @@ def grammar(symbols: np.ndarray, end_id: int) -> tuple[np.ndarray, list[tuple[in
         left, right = np.zeros(size, bool), np.zeros(size, bool)
         left[[x for x, _ in others]] = True
         right[[y for _, y in others]] = True
-        keep, new, open_ = np.ones(len(symbols), bool), np.zeros(len(symbols), bool), np.zeros(len(symbols), bool)
+        keep, marked = np.ones(len(symbols), bool), np.zeros(len(symbols), bool)
         keep[where + 1] = False
-        new[where] = True
-        open_[at[left[a] & right[b]]] = True
+        # where a place before a new symbol is dropped, the one before it has a new symbol too; before the first is the last, which begins no pair
+        marked[where] = marked[where - 1] = True
+        marked[at[left[a] & right[b]]] = True
         symbols[where] = size + rule
         rules += pairs
-        symbols, new, open_ = symbols[keep], new[keep], open_[keep]
-        at = np.flatnonzero(new[:-1] | new[1:] | open_[:-1])
+        symbols, marked = symbols[keep], marked[keep]
+        at = np.flatnonzero(marked[:-1])
         at = at[(symbols[at] != end_id) & (symbols[at + 1] != end_id)]
 
 
@@ -228,21 +229,14 @@ def write_shards(docs: DataFrame, doc: str = "doc_id", text: str = "text", token
             names, kept, size = [], [], 0
             return out
 
-        for batch in parts(batches):
-            ids_of, texts, at = batch.column(0).to_pylist(), strings(batch.column(1)), 0
-            while at < len(texts):
-                upto, length = at, 0
-                while upto < len(texts) and (upto == at or length + len(texts[upto]) <= PIECE_BYTES):
-                    length += len(texts[upto])
-                    upto += 1
-                ids, counts = work.encode(texts[at:upto])
-                for k, own in enumerate(np.split(ids, np.cumsum(counts)[:-1])):
-                    names.append(ids_of[at + k])
-                    kept.append(np.concatenate([own, end]))
-                    size += len(own) + 1
-                    if size >= shard_ids:
-                        yield shard()
-                at = upto
+        for batch in gathered(batches, LOT_BYTES):
+            ids, counts = work.encode(batch.column(1))
+            for doc, own in zip(batch.column(0).to_pylist(), np.split(ids, np.cumsum(counts)[:-1])):
+                names.append(doc)
+                kept.append(np.concatenate([own, end]))
+                size += len(own) + 1
+                if size >= shard_ids:
+                    yield shard()
         if kept:
             yield shard()
 

@@ -4,6 +4,9 @@ A byte-level pre-tokenizer never joins a character with white space that follows
 there, and equal pieces need the tokenizer once.  Nor does it join a line end between two words with
 either, or a letter with a mark after it: such pieces are put together from known ones.  Everything else is
 the tokenizer's own work.
+
+Texts are cut and their distinct pieces found by Arrow, a lot of some megabytes at a time; only the lot's
+distinct words and odd pieces are looked up in what a worker remembers.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Distinct pieces that a worker remembers; beyond, it goes on with the half that it met most often.
 REMEMBERED = 500_000
@@ -24,8 +28,11 @@ _CUT = re.compile(r"(?<=\S)(?=[ \n\t\r])")
 _MARKS = frozenset(".,;:!?&$%*#)]}>/-+=_@|~^\"")
 #: Letters below are letters in every version of the tables, so words of them are not cut by a pre-tokenizer.
 _PLAIN = "\u0530"
+_LETTER = np.array([chr(k).isalpha() and chr(k) < _PLAIN for k in range(1 << 11)])
 #: Pieces that the tokenizer sees in one text.
 _BLOCK = 500
+#: Texts of so many bytes are encoded at once; an Arrow batch that has more is a lot alone.
+LOT_BYTES = 2 << 20
 
 
 def default_tokenizer() -> str:
@@ -159,28 +166,71 @@ class Encoder:
         self.length[numbers] = length
         self.filled += len(ids)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids and the number of ids of each text; an empty text has none."""
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids and the number of ids of each text; an empty text, or a null, has none."""
         if self.size > self.remembered:
             self._forget()
-        numbers = [self._numbers(text) for text in texts]
+        texts = strings(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        sizes = pc.list_value_length(cut).to_numpy().astype(np.int64)
+        pieces = cut.flatten().dictionary_encode()
+        entries, distinct = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary
+        begin = np.cumsum(sizes) - sizes
+        inner = np.bincount(entries, minlength=len(distinct))
+        inner -= np.bincount(entries[begin], minlength=len(distinct))
+        # an entry is a number and that of a mark after it, or 0: first those of distinct pieces, then of the texts' first pieces, then of odd texts
+        number, mark = self._entries(distinct, np.flatnonzero(inner))
+        own = np.fromiter(map(self.first.__getitem__, distinct.take(pa.array(entries[begin])).to_numpy(zero_copy_only=False)), np.int64, len(texts))
+        entries[begin] = len(number) + np.arange(len(texts))
+        number = np.concatenate([number, own])
+        odd = np.flatnonzero(np.logical_or.reduceat(number[entries] < 0, begin))
+        if len(odd):
+            split, more = np.split(entries, begin[1:]), []
+            for k, text in zip(odd.tolist(), texts.take(pa.array(odd)).to_numpy(zero_copy_only=False)):
+                at = len(number) + len(more)
+                more.extend([self._number(piece) for piece in _CUT.split(text)] if text else [])
+                split[k] = np.arange(at, len(number) + len(more))
+            number = np.concatenate([number, np.array(more, np.int64)])
+            entries, sizes = np.concatenate(split), np.array([len(x) for x in split])
+        mark = np.concatenate([mark, np.zeros(len(number) - len(mark), np.int64)])
         self._learn()
-        which = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
-        self.met[: self.size] += np.bincount(which, minlength=self.size).astype(np.int32)
-        upto = np.concatenate([[0], np.cumsum(self.length[which], dtype=np.int64)])
-        counts = upto[np.concatenate([[0], np.cumsum([len(n) for n in numbers])]).astype(np.int64)]
-        return _expanded(which, self.flat, self.begin, self.length), np.diff(counts)
-
-    def _numbers(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int64)
-        pieces = text.replace("\n", " \n").split(" ")
-        own = np.empty(len(pieces), np.int64)
-        own[0] = self.first[pieces[0]]
-        own[1:] = np.fromiter(map(self.later.__getitem__, pieces[1:]), np.int64, len(pieces) - 1)
-        if own.min() >= 0:
-            return own
-        return np.array([self._number(piece) for piece in _CUT.split(text)], np.int64)
+        used = np.bincount(entries, minlength=len(number))
+        number, mark = np.where(used, number, 0), np.where(used, mark, 0)
+        for which, times in ((number, used), (mark, np.where(mark, used, 0))):
+            self.met[: self.size] += np.bincount(which, times, self.size).astype(np.int32)
+        both = np.stack([number, mark], axis=1)
+        flat = _expanded(both[(both > 0) | [True, False]], self.flat, self.begin, self.length)
+        length = self.length[number] + np.where(mark, self.length[mark], 0)
+        upto = np.concatenate([[0], np.cumsum(length[entries], dtype=np.int64)])
+        counts = np.diff(upto[np.concatenate([[0], np.cumsum(sizes)])])
+        return _expanded(entries, flat, np.cumsum(length, dtype=np.int64) - length, length), counts
+
+    def _entries(self, distinct: pa.Array, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the used ones of distinct pieces that follow a space, and of the mark that ends them; 0 is no mark."""
+        number, mark = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        words, last = _words(distinct)
+        plain = words[used]
+        marked = used[plain & (last[used] > 0)]
+        mark_number = np.zeros(128, np.int64)
+        for code in np.unique(last[marked]).tolist():
+            mark_number[code] = self.first[chr(code)]
+        mark[marked] = mark_number[last[marked]]
+        found = pc.ascii_rtrim(distinct.take(pa.array(used[plain])), "".join(_MARKS)).dictionary_encode()
+        names = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.array([self.later.get(name, -2) for name in names], np.int64)
+        new = np.flatnonzero(numbers < 0)
+        numbers[new] = self.size + np.arange(len(new))
+        self.size += len(new)
+        new_names = [names[k] for k in new.tolist()]
+        self.later.update(zip(new_names, numbers[new].tolist()))
+        self.words[0].extend(numbers[new].tolist())
+        self.words[1].extend([" " + name for name in new_names])
+        number[used[plain]] = numbers[found.indices.to_numpy()]
+        others = used[~plain]
+        number[others] = [self.later[piece] for piece in distinct.take(pa.array(others)).to_numpy(zero_copy_only=False)]
+        return number, mark
 
     def _number(self, piece: str) -> int:
         """Number of a piece with the white space before it; odd ones have a key that no piece of a split has."""
@@ -199,7 +249,9 @@ def _expanded(numbers: np.ndarray, flat: np.ndarray, begin: np.ndarray, length:
     """The ids of numbered pieces, one after the other."""
     size = length[numbers]
     ends = np.cumsum(size, dtype=np.int64)
-    return flat[np.repeat(begin[numbers] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+    places = np.repeat(begin[numbers] - (ends - size), size)
+    places += np.arange(len(places))
+    return flat[places]
 
 
 def encoder(path: str | None = None) -> Encoder:
@@ -211,6 +263,28 @@ def encoder(path: str | None = None) -> Encoder:
     return kept[path]
 
 
-def strings(column: pa.Array) -> list[str]:
+def _words(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Which strings are plain letters, or those and one mark; and the code of that mark, 0 for none."""
+    wide = np.int64 if pa.types.is_large_string(pieces.type) else np.int32
+    _, places, data = pieces.buffers()
+    if not len(pieces) or data is None:
+        return np.zeros(len(pieces), bool), np.zeros(len(pieces), np.int64)
+    at = np.frombuffer(places, wide)[pieces.offset : pieces.offset + len(pieces) + 1].astype(np.int64)
+    data, at = np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
+    # a byte within a character counts as a letter; what begins three or four of them is none
+    letter = np.concatenate([_LETTER[:128], np.ones(64, bool), np.zeros(64, bool)])[data]
+    lead = np.flatnonzero((data >= 0xC0) & (data < 0xE0))
+    letter[lead] = _LETTER[(data[lead] & np.uint16(0x1F)) << np.uint16(6) | data[lead + 1] & np.uint16(0x3F)]
+    others = np.diff(np.concatenate([[0], np.cumsum(~letter)])[at])
+    size = np.diff(at)
+    last = np.where(size > 0, data[np.maximum(at[1:], 1) - 1] if len(data) else 0, 0).astype(np.int64)
+    marks = np.zeros(256, bool)
+    marks[[ord(x) for x in _MARKS]] = True
+    marked = (others == 1) & (size > 1) & marks[last]
+    return (others == 0) & (size > 0) | marked, np.where(marked, last, 0)
+
+
+def strings(column: pa.Array) -> pa.Array:
     """Whole texts; null counts as empty."""
-    return [x or "" for x in column.to_pylist()]
+    column = column.cast(pa.string() if column.nbytes < 1 << 29 else pa.large_string())
+    return column.fill_null("") if column.null_count else column

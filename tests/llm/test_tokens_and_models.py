@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.llm import gru_lm, langid, packing, repair_store, text, wrappers, zstd_quality
+from cohortloom.llm import gru_lm, langid, packing, repair_store, text, token_ids, wrappers, zstd_quality
 from cohortloom.llm.token_ids import Encoder
 
 ODD = ["", " ", "\n", "\n\n", " \n b", "a\n b", "a\n\n\nb c\n", "a\t\nb", "a\x1c b\x1c\nc \x1cd", "a.\nB. c\n'sd\n.x", "  a b", "a  b ", " x", "x \n y", "a\xa0 b", "<|endoftext|> a <|endoftext|>b", "don't 's  're", "\0a b", "tab\t x", "ünï cödé 漢字 かな", "a.b, c! d?", "x" * 3000, "word. Word.  word,\n\nword"]
@@ -33,6 +33,29 @@ def test_encoder_is_the_tokenizer(remembered):
         assert ids.tolist() == sum(expected, [])
 
 
+def test_encoder_remembers_words_not_words_with_marks():
+    words = [a + b + c for a in ("ber", "lón", "ДаШ", "Q") for b in ("", "xe", "ß") for c in ("ta", "rÿ")]
+    texts = ["first " + " ".join(w + m for w in words for m in ("", ",", ".", "!")), "", None, "odd  " + words[0], words[1] + "."]
+    encoder = Encoder()
+    for column in (pa.array(texts), pa.array(["cut off", *texts])[1:], pa.array(texts, pa.large_string())):
+        ids, counts = encoder.encode(column)
+        expected = [direct(encoder, t or "") for t in texts]
+        assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == sum(expected, [])
+    # beside the words: the line end, three marks, the texts' first pieces, the parts of an odd text
+    assert encoder.size <= len(words) + 12
+
+
+def test_plain_words_are_letters_and_one_mark():
+    strings = [chr(k) for k in range(1, 0x900) if not 0xD800 <= k < 0xE000] + ["", "ab", "a.", "a..", ".a", ".", "é,", "漢", "漢.", "a漢", "a1", "1.", "a\u0301", "\U0001f600"]
+    strings += ["x" + s + m for s in strings for m in ("", ".")]
+    is_word = [s.isalpha() and max(s) < token_ids._PLAIN for s in strings]
+    marked = [s[-1:] in token_ids._MARKS and s[:-1].isalpha() and max(s[:-1]) < token_ids._PLAIN for s in strings]
+    for column in (pa.array(strings), pa.array(["é", *strings], pa.large_string())[1:]):
+        plain, last = token_ids._words(column)
+        assert plain.tolist() == [a or b for a, b in zip(is_word, marked)]
+        assert last.tolist() == [ord(s[-1]) if b else 0 for s, b in zip(strings, marked)]
+
+
 def test_shards_decode_to_the_same_ids():
     rng = np.random.default_rng(1)
     words = [rng.integers(3, 300, rng.integers(1, 6)) for _ in range(40)]
