@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.llm import graph, jaccard_join, pivot_index
+from cohortloom.llm import graph, jaccard_join, pivot_index, text
 
 
 def brute_components(sets, percent=80):
@@ -91,6 +91,35 @@ def test_a_pair_is_named_by_few_tasks(spark, monkeypatch):
     assert sum(rows) < 2 * 40
 
 
+def test_keys_take_few_bytes_however_many_tasks(spark):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(4000)}" for _ in range(400)) for _ in range(60)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    keys = sum(len(jaccard_join.keys_of(s, np.zeros(0, np.uint64))[0]) for t in texts for s in jaccard_join.shingle_sets([t.encode()]))
+    for tasks in (3, 400):
+        keyed = jaccard_join._keyed(docs, np.zeros(0, np.uint64), tasks, "text", 5, 80)
+        dealt = keyed.select(sum(F.octet_length(c) for c in keyed.columns if c != "task").alias("n")).agg(F.sum("n")).first()[0]
+        assert dealt <= 14 * keys
+
+
+def test_levels_never_lose_a_pair():
+    counts = [*range(1, 700), 12_345, 200_000, 10**7]
+    names = np.array([jaccard_join._named(bytes(16), n, n) for n in counts], np.uint64)
+    assert all(jaccard_join.LEVELS[int(x) & 255] <= n for x, n in zip(names, counts))
+    for n, x in zip(counts, names):
+        fits = jaccard_join._fitting(np.full(len(names), x), names, 80)
+        assert all(f or 100 * min(n, m) < 80 * max(n, m) for f, m in zip(fits, counts))
+
+
+@pytest.mark.parametrize("words", [1, 1 << 10])
+def test_lone_documents_stay_where_they_are(spark, monkeypatch, words):
+    monkeypatch.setattr(text, "SIEVE", words)
+    base = "one two three four five six seven eight nine ten eleven twelve".split()
+    rows = [(9, " ".join(base)), (4, " ".join(base)), (4, " ".join(base)), (None, " ".join(base).upper()), (2, "alone here"), (None, "also alone"), (3, None), (3, None)]
+    kept = jaccard_join.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((tuple(r) for r in kept.collect()), key=repr) == sorted([(4, " ".join(base)), (2, "alone here"), (None, "also alone"), (3, None), (3, None)], key=repr)
+
+
 def test_shingles_match_words():
     texts = [b"a b c d e f", b"", b"A  B c", b"a b c d e a b c d e", b"\n x" * 700]
     for text, own in zip(texts, jaccard_join.shingle_sets(texts)):
