@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.llm import graph, jaccard_join, pivot_index, text
+from cohortloom.llm import graph, jaccard_join, pivot_index
+from cohortloom.operators import sieve
 
 
 def brute_components(sets, percent=80):
@@ -113,7 +114,7 @@ def test_levels_never_lose_a_pair():
 
 @pytest.mark.parametrize("words", [1, 1 << 10])
 def test_lone_documents_stay_where_they_are(spark, monkeypatch, words):
-    monkeypatch.setattr(text, "SIEVE", words)
+    monkeypatch.setattr(sieve, "SIEVE", words)
     base = "one two three four five six seven eight nine ten eleven twelve".split()
     rows = [(9, " ".join(base)), (4, " ".join(base)), (4, " ".join(base)), (None, " ".join(base).upper()), (2, "alone here"), (None, "also alone"), (3, None), (3, None)]
     kept = jaccard_join.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"))

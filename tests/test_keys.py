@@ -72,3 +72,17 @@ def test_empty_columns(spark):
     df = spark.createDataFrame([(1, "None", None, "a"), (2, None, None, None)], "k int, t string, n double, s string")
     assert keys.empty_columns(df) == ["t", "n"]
     assert keys.drop_empty_columns(df).columns == ["k", "s"]
+
+
+@pytest.mark.parametrize("words", [1 << 10, 1, 0])
+def test_keyed_apart_equals_keyed(spark, monkeypatch, words):
+    monkeypatch.setattr(keys.sieve, "SIEVE", words)
+    values = [(1, "a", 1), (1, "b", 2), (None, "c", 3), (2, "d", 4), (3, None, 5), (3, "e", 6), (3, "e", 7), *((k, "x", k) for k in range(10, 60))]
+    df = spark.createDataFrame(values, "k long, v string, place long")
+    apart, plain = keys.keyed_apart(df, "k", ["place"]), keys.keyed(df, "k", ["place"])
+    for a, b in ((apart.clean, plain.clean), (apart.na, plain.na), (apart.dup, plain.dup)):
+        assert rows(a) == rows(b)
+    if words > 1:  # what is in an exchange by key is one of the two branches, that of rows which may be repeated
+        assert "LeftAnti" in plan(apart.clean) and "BroadcastHashJoin" in plan(apart.clean)
+    two = keys.keyed_apart(df, ["k", "v"], ["place"])
+    assert rows(two.dup) == rows(keys.keyed(df, ["k", "v"], ["place"]).dup) and len(rows(two.dup)) == 2
